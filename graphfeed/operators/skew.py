@@ -48,7 +48,7 @@ def skew_join(
     """
     hot_rows = hot_rows or HOT_ROWS
     keys = list(keys)
-    if sizes is None and estimated_bytes(big) <= SMALL_INPUT_BYTES and hot_rows >= HOT_ROWS:
+    if hot_rows >= HOT_ROWS and estimated_bytes(big) <= SMALL_INPUT_BYTES:
         return big.join(small, keys, how)
     if sizes is None:
         sizes = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -87,7 +87,7 @@ def number_within(
     if not keys:
         return _number_by_range(df, [], order, name)
     ordinary = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    if sizes is None and estimated_bytes(df) <= SMALL_INPUT_BYTES and hot_rows >= HOT_ROWS:
+    if hot_rows >= HOT_ROWS and estimated_bytes(df) <= SMALL_INPUT_BYTES:
         return df.withColumn(name, ordinary.cast("long"))
     if sizes is None:
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -138,7 +138,7 @@ def previous_within(
     hot_rows = hot_rows or HOT_ROWS
     keys = list(keys)
     lagged = F.lag(value).over(Window.partitionBy(*keys).orderBy(*order))
-    if estimated_bytes(df) <= SMALL_INPUT_BYTES and hot_rows >= HOT_ROWS:
+    if hot_rows >= HOT_ROWS and estimated_bytes(df) <= SMALL_INPUT_BYTES:
         return df.withColumn(name, lagged)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     if hot_keys(sizes, keys, hot_rows).isEmpty():

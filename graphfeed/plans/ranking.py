@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphfeed.functions.scalars import rounded
+from graphfeed.lineage import stored
 from graphfeed.operators import edges as E
 from graphfeed.operators import ranking as R
 from graphfeed.operators import recommend
@@ -32,10 +33,6 @@ def graph_weights(t: Tables) -> DataFrame:
     return E.weighted_edges(graph_edges(t))
 
 
-def ranks_after(t: Tables, passes: int, variant: R.Variant = R.CLUSTER) -> DataFrame:
-    return R.run_passes(graph_weights(t), E.seeds(t.interests()), variant, passes)[0]
-
-
 def _rounded(ranks: DataFrame, column: str = "value") -> DataFrame:
     return ranks.withColumn(column, rounded(F.col(column), 8))
 
@@ -47,8 +44,10 @@ def rec_ranks(t: Tables) -> DataFrame:
 
 def _second_pass(t: Tables, upto: str) -> DataFrame:
     """The named intermediate of pass 2, starting from the ranks after pass 1."""
-    seeds = E.seeds(t.interests())
-    step = R.sum_labels(R.propagate(graph_weights(t), ranks_after(t, 1)))
+    seeds = stored(E.seeds(t.interests()), "seeds")
+    weights = stored(graph_weights(t), "weights")
+    first = stored(R.run_passes(weights, seeds, passes=1)[0], "ranks")
+    step = R.sum_labels(R.propagate(weights, first))
     if upto == "sum_labels":
         return _rounded(step)
     step = R.normalise_by_label(step)

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphfeed.plans import ranking
+from graphfeed.plans import ranking, social, sources
 from graphfeed.sources.tables import Tables
 
-_MODULES = [ranking]
+_MODULES = [sources, ranking, social]
 
 
 def _bound(plan: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -43,6 +43,72 @@ VIEWS = {
         select src, dst, min(ts) as ts from (
           select src, dst, ts from v_friend_pairs
           union all select dst, src, ts from v_friend_pairs) group by src, dst""",
+    "v_opened": """
+        select distinct cast(user_id as varchar) as viewer,
+               cast((user_id + k) % (select nu from v_n) as varchar) as friend
+        from v_ev where event_type = 'click'""",
+    "v_signup_forms": """
+        select event_id as form_id, case when k % 11 = 0 then '' else 'user' || user_id end
+                 as username,
+               case when k % 13 <> 0 then 'pw' || k end as password,
+               case when k % 5 = 0 then '' else user_id || '@x.org' end as email,
+               case when k % 17 <> 0 then '1990' end as year,
+               case when k % 7 = 0 then '' else 'aff' || user_id end as affiliation,
+               case k % 3 when 0 then 1 when 1 then 2 else 0 end as n_interests
+        from v_ev where event_type = 'signup'""",
+    "v_update_forms": """
+        select event_id as form_id, cast(user_id as varchar) as username,
+               case when k % 10 = 0 then '' else user_id || '@x.org' end as email,
+               case when k % 9 <> 0 then 'aff' || user_id end as affiliation,
+               case when k % 4 < 2 then 'old' else '' end as old_password,
+               case when k % 4 in (0, 2) then 'new' else '' end as new_password,
+               case k % 3 when 1 then 1 when 2 then 2 end as n_interests
+        from v_ev where event_type = 'view'""",
+    "v_attempts": """
+        select event_id as op_id, cast(user_id as varchar) as usr,
+               cast((user_id + k) % (select nu from v_n) as varchar) as friend
+        from v_ev where event_type = 'click'""",
+    "v_leavers": """
+        select distinct k % (select nchats from v_n) as chat_id,
+               cast(user_id as varchar) as member
+        from v_ev where event_type = 'error'""",
+    "v_open_chats": """
+        select cast(user_id as varchar) as usr,
+               arg_max(k % (select nchats from v_n), ts) as chat_id
+        from v_ev where event_type = 'view' group by user_id""",
+    "v_live": """
+        select conv_id as chat_id, turn,
+               cast((conv_id % 10 + turn * 2) % (select nu from v_n) as varchar) as sender, text
+        from conversations""",
+    "v_new_messages": """
+        select chat_id, cast((chat_id % 10 + event_id % 8) % (select nu from v_n) as varchar)
+                 as sender, event_id as op_id, 'message ' || event_id as text
+        from (select *, k % (select nchats from v_n) as chat_id from v_ev
+              where event_type = 'click')""",
+    "v_queries": """
+        select conv_id * 1000 + turn as query_id, text from conversations where role = 'user'""",
+    "v_terms": "select distinct cast(cast(floor(value) as bigint) as varchar) as term from events",
+    "v_presence_now": """
+        select id, is_online, last_seen from (
+          select *, row_number() over (partition by id order by ts desc, op_id desc) as latest
+          from v_presence) where latest = 1""",
+    "v_comment_summary": """
+        select post_id, count(*) as n_comments, arg_min(comment_id, ts) as first_comment,
+               arg_max(comment_id, ts) as last_comment
+        from v_comments group by post_id""",
+    "v_feed_posts": """
+        select p.post_id, p.author, p.ts, p.wall, p.likes,
+               coalesce(c.n_comments, 0) as n_comments, c.first_comment, c.last_comment
+        from v_posts p left join v_comment_summary c using (post_id)""",
+    "v_home": """
+        select *, row_number() over (partition by reader order by ts desc, post_id) as position
+        from (select src as reader, dst as author from v_friends
+              union all select distinct author, author from v_posts) r
+        join v_feed_posts using (author)""",
+    "v_numbered_comments": """
+        select *, row_number() over (partition by post_id order by ts, comment_id)
+                 as comment_position
+        from v_comments""",
     "v_requests": """
         select src, dst, max(ts) as ts from (
           select cast(user_id as varchar) as src,

@@ -123,6 +123,101 @@ class Tables:
         back = pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "ts")
         return pairs.unionByName(back).groupBy("src", "dst").agg(F.min("ts").alias("ts"))
 
+    def opened(self) -> DataFrame:
+        """(viewer, friend) rows: nodes opened in the graph view, from clicks."""
+        other = (F.col("user_id") + F.col("k")) % self.n_users
+        return (
+            self.events("click")
+            .select(text_id("user_id").alias("viewer"), text_id(other).alias("friend"))
+            .distinct()
+        )
+
+    def signup_forms(self) -> DataFrame:
+        k, usr = F.col("k"), text_id("user_id")
+        tag = [F.concat(F.lit("src"), ((k + i) % self.n_sources).cast("string")) for i in (0, 1)]
+        return self.events("signup").select(
+            F.col("event_id").alias("form_id"),
+            F.when(k % 11 == 0, "").otherwise(F.concat(F.lit("user"), usr)).alias("username"),
+            F.when(k % 13 != 0, F.concat(F.lit("pw"), k.cast("string"))).alias("password"),
+            F.concat(F.lit("first"), usr).alias("firstname"),
+            F.concat(F.lit("last"), usr).alias("surname"),
+            F.when(k % 5 == 0, "").otherwise(F.concat(usr, F.lit("@x.org"))).alias("email"),
+            (k % 28 + 1).cast("string").alias("day"),
+            (k % 12 + 1).cast("string").alias("month"),
+            F.when(k % 17 != 0, F.lit("1990")).alias("year"),
+            F.when(k % 7 == 0, "").otherwise(F.concat(F.lit("aff"), usr)).alias("affiliation"),
+            F.when(k % 3 == 0, F.array(tag[0])).when(k % 3 == 1, F.array(*tag))
+            .alias("interests"),
+        )
+
+    def update_forms(self) -> DataFrame:
+        k, usr = F.col("k"), text_id("user_id")
+        return self.events("view").select(
+            F.col("event_id").alias("form_id"),
+            usr.alias("username"),
+            F.when(k % 10 == 0, "").otherwise(F.concat(usr, F.lit("@x.org"))).alias("email"),
+            F.when(k % 9 != 0, F.concat(F.lit("aff"), usr)).alias("affiliation"),
+            F.when(k % 4 < 2, "old").otherwise("").alias("old_password"),
+            F.when(k % 4 % 2 == 0, "new").otherwise("").alias("new_password"),
+            F.when(k % 3 == 1, F.array(F.lit("src1")))
+            .when(k % 3 == 2, F.array(F.lit("src1"), F.lit("src2"))).alias("interests"),
+        )
+
+    def search_queries(self) -> DataFrame:
+        """What users write in conversations, as search texts."""
+        return (
+            self.raw("conversations")
+            .filter(F.col("role") == "user")
+            .select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text")
+        )
+
+    def chat_attempts(self) -> DataFrame:
+        """(op_id, usr, friend): attempts to open a private chat, from clicks."""
+        other = (F.col("user_id") + F.col("k")) % self.n_users
+        return self.events("click").select(
+            F.col("event_id").alias("op_id"),
+            text_id("user_id").alias("usr"),
+            text_id(other).alias("friend"),
+        )
+
+    def leavers(self) -> DataFrame:
+        """(chat_id, member) rows of users who leave a chat, from errors."""
+        return self.events("error").select(
+            (F.col("k") % self.n_chats).alias("chat_id"), text_id("user_id").alias("member")
+        ).distinct()
+
+    def open_chats(self) -> DataFrame:
+        """(usr, chat_id): the chat each user has open, from the last view."""
+        return (
+            self.events("view")
+            .groupBy(text_id("user_id").alias("usr"))
+            .agg(F.max_by(F.col("k") % self.n_chats, F.struct("ts", "event_id")).alias("chat_id"))
+        )
+
+    def shape_live_messages(self, conversations: DataFrame) -> DataFrame:
+        """(chat_id, turn, sender, text); some senders are not members."""
+        sender = (F.col("conv_id") % 10 + F.col("turn") * 2) % self.n_users
+        return conversations.select(
+            F.col("conv_id").alias("chat_id"), "turn", text_id(sender).alias("sender"), "text"
+        )
+
+    def new_messages(self) -> DataFrame:
+        """(chat_id, sender, op_id, text) from clicks; some senders are not members."""
+        chat = F.col("k") % self.n_chats
+        sender = (chat % 10 + F.col("event_id") % 8) % self.n_users
+        return self.events("click").select(
+            chat.alias("chat_id"),
+            text_id(sender).alias("sender"),
+            F.col("event_id").alias("op_id"),
+            F.concat(F.lit("message "), F.col("event_id").cast("string")).alias("text"),
+        )
+
+    def search_terms(self) -> DataFrame:
+        """Search texts for user ids: the distinct whole parts of event values."""
+        return self.raw("events").select(
+            F.floor("value").cast("long").cast("string").alias("term")
+        ).distinct()
+
     def requests(self) -> DataFrame:
         target = (F.col("user_id") + F.col("k") * 3 + 1) % self.n_users
         return (
