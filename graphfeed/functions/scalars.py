@@ -14,3 +14,21 @@ def rounded(value: Column, digits: int) -> Column:
     """
     scale = F.lit(float(10**digits))
     return F.floor(value * scale + F.lit(0.5001)) / scale
+
+
+def chat_time(epoch_ms: Column) -> Column:
+    """Time of day shown with a message, H:mm:ss in UTC."""
+    seconds = F.floor(epoch_ms / 1000)
+    hour = F.floor(seconds % 86_400 / 3600).cast("string")
+    minute = F.lpad(F.floor(seconds % 3600 / 60).cast("string"), 2, "0")
+    return F.concat_ws(":", hour, minute, F.lpad((seconds % 60).cast("string"), 2, "0"))
+
+
+def shifted_year(date: Column, year: int) -> Column:
+    """The same month and day in another year, as yyyy-MM-dd text."""
+    return F.concat(F.lit(f"{year:04d}"), F.date_format(date, "-MM-dd"))
+
+
+def split_shown_article(shown: Column, part: int) -> Column:
+    """A field of the article line shown in recommendations, counted from 1."""
+    return F.split_part(shown, F.lit(",:"), F.lit(part))

@@ -87,7 +87,9 @@ def trending(posts: DataFrame, n: int | None = None) -> DataFrame:
     """Posts by likes. With ``n`` only the best are kept; without, all are numbered."""
     order = [F.col("likes").desc(), F.col("post_id").asc()]
     if n is not None:
-        posts = posts.orderBy(*order).limit(n)
+        best = posts.orderBy(*order).limit(n)
+        # at most n rows are left to number
+        return best.withColumn("position", F.row_number().over(Window.orderBy(*order)).cast("long"))
     return number_within(posts, [], order)
 
 

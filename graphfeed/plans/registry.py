@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphfeed.plans import ranking, social, sources
+from graphfeed.plans import chat, ranking, search, social, sources
 from graphfeed.sources.tables import Tables
 
-_MODULES = [sources, ranking, social]
+_MODULES = [sources, ranking, social, chat, search]
 
 
 def _bound(plan: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
