@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphfeed.functions.stemmer import with_stem
+from graphfeed.lineage import stored
 from graphfeed.operators.skew import skew_join
 
 TOKEN = "[a-z0-9']+"
@@ -34,8 +35,12 @@ def tokens(news: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame
 
 
 def stem_tokens(found: DataFrame) -> DataFrame:
-    """(token, stem) of the distinct tokens: each is stemmed once."""
-    return with_stem(found.select("token").distinct(), "token", "stem")
+    """(token, stem) of the distinct tokens: each is stemmed once.
+
+    Written to a table before use. A join filter pushed into the chain of projections would
+    repeat its expressions in every step.
+    """
+    return stored(with_stem(found.select("token").distinct(), "token", "stem"), "stems")
 
 
 def build_index(

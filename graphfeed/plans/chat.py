@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from graphfeed.operators import changelog as M
 from graphfeed.operators import chat as L
 from graphfeed.operators import social
+from graphfeed.operators.skew import skew_join
 from graphfeed.plans.views_sql import with_views
 from graphfeed.sources.tables import Tables, text_id
 from graphfeed.streaming import jobs as S
@@ -26,11 +27,15 @@ def batch_get_chats(t: Tables) -> DataFrame:
 
 
 def same_member_set(t: Tables) -> DataFrame:
-    """Candidates: invitee and inviter of each private invite."""
-    inbox = L.invite_inbox(t.invites())
-    name = F.concat_ws(">", "invitee", "inviter").alias("set_id")
-    candidates = inbox.select(name, F.explode(F.array("invitee", "inviter")).alias("member"))
-    return L.find_matching_chats(t.membership(), candidates)
+    """Candidates: the two of each private invite, and each group invite's chat with both."""
+    invites, membership = t.invites(), t.membership()
+    both = F.explode(F.array("invitee", "inviter")).alias("member")
+    name = F.concat_ws(">", "invitee", "inviter", F.col("chat_id").cast("string")).alias("set_id")
+    people = invites.select(name, both)
+    inside = skew_join(L.group_invite_inbox(invites), membership, ["chat_id"]).select(
+        name, "member"
+    )
+    return L.find_matching_chats(membership, people.unionByName(inside))
 
 
 def append_message(t: Tables) -> DataFrame:
@@ -175,8 +180,14 @@ ORACLES = {
         select chat_id, member from v_membership
         where chat_id in (select chat_id from v_invites)"""),
     "same_member_set": _sql(f"""
-        select invitee || '>' || inviter as set_id, first_chat, n_chats
-        from v_inbox join v_first_chats on members = {_PAIR}"""),
+        select set_id, first_chat, n_chats from (
+          select set_id, string_agg(member, ',' order by member) as members from (
+            select concat_ws('>', invitee, inviter, chat_id) as set_id, invitee as member
+            from v_invites
+            union select concat_ws('>', invitee, inviter, chat_id), inviter from v_invites
+            union select concat_ws('>', invitee, inviter, chat_id), member
+            from v_invites join v_membership using (chat_id)) group by set_id)
+        join v_first_chats using (members)"""),
     "duplicate_chats": _sql("""
         select first_chat, chat_id, n_members, n_chats
         from v_chat_keys join v_first_chats using (members) where n_chats > 1"""),
@@ -190,8 +201,8 @@ ORACLES = {
         from v_messages"""),
     "append_message": _sql("""
         select chat_id, text,
-               row_number() over (partition by chat_id order by is_new, at) as position
-        from (select chat_id, 0 as is_new, turn as at, text from v_messages
+               row_number() over (partition by chat_id order by is_new, seq) as position
+        from (select chat_id, 0 as is_new, turn as seq, text from v_messages
               union all
               select n.chat_id, 1, op_id, text from v_new_messages n
               join v_membership m on m.chat_id = n.chat_id and m.member = n.sender)"""),
