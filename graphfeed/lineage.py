@@ -17,8 +17,6 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if named:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(named)
         return named
     if sc.getCheckpointDir() is None:
         if not sc.master.startswith("local"):
@@ -32,14 +30,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/graphfeed/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage once and go on from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a written table in the shared folder, whose true size Catalyst can see."""
+    """``df`` as a table written to the shared folder: the lineage ends there.
+
+    Unlike a checkpoint it is columnar, and Catalyst knows its true size.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

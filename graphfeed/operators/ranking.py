@@ -21,7 +21,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphfeed.lineage import cut_lineage, stored
+from graphfeed.lineage import stored
 from graphfeed.operators.edges import ARTICLE, CATEGORY, USER
 from graphfeed.operators.skew import skew_join
 
@@ -30,6 +30,9 @@ RANK_COLUMNS = ["node_type", "node", "label", "value"]
 # More edges than this are joined by shuffling instead of broadcasting.
 BROADCAST_EDGES = 2_000_000
 
+# Sums of (label, node) that one task of a pass should hold at once.
+SUMS_PER_TASK = 500_000
+
 # Node types are kept in the two lowest bits of a node number.
 _TYPE_CODES = {USER: 0, ARTICLE: 1, CATEGORY: 2}
 
@@ -109,6 +112,7 @@ class _Graph:
     out_mass: DataFrame
     seeds: DataFrame
     broadcast: bool
+    label_parts: int
 
     def lookup(self, ranks: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
         """Join a table with one row per node or label, none larger than the edges."""
@@ -154,7 +158,19 @@ def _number_nodes(edges: DataFrame, seeds: DataFrame, broadcast_edges: int) -> _
     mass = numbered.groupBy(F.col("src").alias("node")).agg(
         F.sum("weight").alias("mass"), F.count(F.lit(1)).alias("n")
     )
-    return _Graph(nodes, numbered, stored(mass, "mass"), stored(starts, "seeds"), few)
+    starts = stored(starts, "seeds")
+    return _Graph(nodes, numbered, stored(mass, "mass"), starts, few, _label_parts(nodes, starts))
+
+
+def _label_parts(nodes: DataFrame, starts: DataFrame) -> int:
+    """Tasks of a pass such that the sums of one task stay in fast memory.
+
+    A task can hold one sum per node for each of its labels.
+    """
+    least = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    labels = starts.select("label").distinct().count()
+    sums = labels * nodes.count()
+    return min(max(least, sums // SUMS_PER_TASK), max(least, labels))
 
 
 def _is_article(node: Column) -> Column:
@@ -177,8 +193,7 @@ def _moved(ranks: DataFrame, graph: _Graph) -> DataFrame:
     out = ranks.select(F.col("node").alias("src"), "label", "value")
     if graph.broadcast:
         # with all rows of a label in one task, the sums below need no further shuffle
-        parts = int(ranks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        joined = out.repartition(parts, "label").join(F.broadcast(graph.edges), "src")
+        joined = out.repartition(graph.label_parts, "label").join(F.broadcast(graph.edges), "src")
     else:
         sizes = graph.out_mass.select(F.col("node").alias("src"), "n")
         joined = skew_join(graph.edges, out, ["src"], sizes=sizes)
@@ -193,14 +208,14 @@ def _moved(ranks: DataFrame, graph: _Graph) -> DataFrame:
 def _one_pass(ranks: DataFrame, graph: _Graph, variant: Variant) -> DataFrame:
     value = F.col("value")
     if variant.prune_first:
-        summed = cut_lineage(_moved(ranks, graph).filter(above(value, variant.min_weight)))
+        summed = stored(_moved(ranks, graph).filter(above(value, variant.min_weight)), "summed")
         kept = graph.lookup(summed, label_totals(summed), ["label"]).select(
             "node", "label", (value / F.col("total")).alias("value")
         )
     else:
         kept = _moved(_scaled(ranks, graph), graph).filter(above(value, variant.min_weight))
     kept = kept.filter(F.col("node") != F.col("label")).unionByName(graph.seeds)
-    return cut_lineage(kept)
+    return stored(kept, "ranks")
 
 
 def _max_change(new: DataFrame, old: DataFrame) -> float:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphfeed.lineage import cut_lineage
+from graphfeed.lineage import stored
 
 HOT_ROWS = 1_000_000
 
@@ -94,7 +94,7 @@ def number_within(
     hot = hot_keys(sizes, keys, hot_rows).drop("_pieces")
     if hot.isEmpty():
         return df.withColumn(name, ordinary.cast("long"))
-    hot = F.broadcast(cut_lineage(hot))
+    hot = F.broadcast(stored(hot, "hot-keys"))
     cold_rows = df.join(hot, keys, "left_anti").withColumn(name, ordinary.cast("long"))
     hot_rows_df = df.join(hot, keys, "left_semi")
     return cold_rows.unionByName(_number_by_range(hot_rows_df, keys, order, name))
@@ -103,11 +103,13 @@ def number_within(
 def _number_by_range(
     df: DataFrame, keys: list[str], order: Sequence[Column], name: str
 ) -> DataFrame:
-    placed = cut_lineage(
+    # numbers given by place must not change once given, hence written before they are used
+    placed = stored(
         df.repartitionByRange(*[F.col(k) for k in keys], *order)
         .sortWithinPartitions(*[F.col(k) for k in keys], *order)
         .withColumn("_seq", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_seq", 33))
+        .withColumn("_part", F.shiftright("_seq", 33)),
+        "placed",
     )
     # one row per group and range: at most (hot groups + ranges) rows
     runs = placed.groupBy(*keys, "_part").agg(
@@ -144,7 +146,7 @@ def previous_within(
     if hot_keys(sizes, keys, hot_rows).isEmpty():
         return df.withColumn(name, lagged)
     # joined by position, so that the rows of a hot group spread over all tasks
-    numbered = cut_lineage(number_within(df, keys, order, "_pos", hot_rows, sizes))
+    numbered = stored(number_within(df, keys, order, "_pos", hot_rows, sizes), "numbered")
     before = numbered.select(*keys, (F.col("_pos") + 1).alias("_pos"), F.col(value).alias(name))
     return numbered.join(before, [*keys, "_pos"], "left").drop("_pos")
 

@@ -38,8 +38,9 @@ def _rounded(ranks: DataFrame, column: str = "value") -> DataFrame:
 
 
 def rec_ranks(t: Tables) -> DataFrame:
-    """The rank table that the recommendation queries start from."""
-    return R.adsorption(graph_weights(t), E.seeds(t.interests()), passes=REC_PASSES)
+    """The written rank table that the recommendation queries start from."""
+    ranks = R.adsorption(graph_weights(t), E.seeds(t.interests()), passes=REC_PASSES)
+    return stored(ranks, "rank-table")
 
 
 def _second_pass(t: Tables, upto: str) -> DataFrame:

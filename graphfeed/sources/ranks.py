@@ -39,7 +39,7 @@ def read_version(spark: SparkSession, path: str, version: int, schema: str) -> D
 
 
 def read_recs(spark: SparkSession, path: str) -> DataFrame:
-    return read_version(spark, path, versions(spark, path)[-1], RECS)
+    return read_version(spark, path, versions(spark, path)[-1], RECS).drop("label_bucket")
 
 
 def write_recs(ranks: DataFrame, path: str, mode: str = "replace") -> DataFrame:
