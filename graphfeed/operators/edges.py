@@ -26,13 +26,15 @@ def _edges(df: DataFrame, src_type: str, src: Column, dst_type: str, dst: Column
 
 
 def with_reverse(edges: DataFrame) -> DataFrame:
-    swapped = edges.select(
+    """Each edge and its reverse, from one read of the input."""
+    ahead = F.struct(*EDGE_COLUMNS)
+    back = F.struct(
         F.col("dst_type").alias("src_type"),
         F.col("dst").alias("src"),
         F.col("src_type").alias("dst_type"),
         F.col("src").alias("dst"),
     )
-    return edges.unionByName(swapped)
+    return edges.select(F.explode(F.array(ahead, back)).alias("_edge")).select("_edge.*")
 
 
 def article_category_edges(news: DataFrame) -> DataFrame:

@@ -9,6 +9,11 @@ two facts about it:
 
 * the total a label has after a pass is the sum of value x out-mass before it, so values can
   be divided before they are moved and pruned in the same stage that sums them;
+* a normalised label keeps fewer than 1 / min_weight rows, but before pruning it reaches
+  nearly every node, because a category passes a sliver on to all of its articles and
+  users. If all that the categories can add to a node is no more than the limit, only nodes
+  that something else reaches too can stay, and the category part is looked up for those
+  alone (``_moved_quietly``). The work per label then follows the rows kept, not the nodes;
 * labels never mix. When the edges are few enough to broadcast, ranks stay partitioned by
   label and a pass needs no shuffle but that of the rows it keeps. A label has at most one
   row per node, so the same limit bounds the rows of the largest label.
@@ -113,6 +118,8 @@ class _Graph:
     seeds: DataFrame
     broadcast: bool
     label_parts: int
+    n_labels: int
+    most_categories: int
 
     def lookup(self, ranks: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
         """Join a table with one row per node or label, none larger than the edges."""
@@ -155,26 +162,44 @@ def _number_nodes(edges: DataFrame, seeds: DataFrame, broadcast_edges: int) -> _
     starts = with_number(seeds, "node_type", "node", "id").select(
         F.col("id").alias("node"), F.col("id").alias("label"), "value"
     )
+    starts = stored(starts, "seeds")
     mass = numbered.groupBy(F.col("src").alias("node")).agg(
-        F.sum("weight").alias("mass"), F.count(F.lit(1)).alias("n")
+        F.sum("weight").alias("mass"),
+        F.max("weight").alias("widest"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    categories = (
+        numbered.filter(_has_type("src", CATEGORY))
+        .groupBy("dst")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.max("n"))
+        .first()[0]
+    )
+    n_labels = starts.select("label").distinct().count()
+    return _Graph(
+        nodes,
+        numbered,
+        stored(mass, "mass"),
+        starts,
+        few,
+        _label_parts(nodes, n_labels),
+        n_labels,
+        categories or 0,
     )
-    starts = stored(starts, "seeds")
-    return _Graph(nodes, numbered, stored(mass, "mass"), starts, few, _label_parts(nodes, starts))
 
 
-def _label_parts(nodes: DataFrame, starts: DataFrame) -> int:
+def _label_parts(nodes: DataFrame, n_labels: int) -> int:
     """Tasks of a pass such that the sums of one task stay in fast memory.
 
     A task can hold one sum per node for each of its labels.
     """
     least = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    labels = starts.select("label").distinct().count()
-    sums = labels * nodes.count()
-    return min(max(least, sums // SUMS_PER_TASK), max(least, labels))
+    sums = n_labels * nodes.count()
+    return min(max(least, sums // SUMS_PER_TASK), max(least, n_labels))
 
 
-def _is_article(node: Column) -> Column:
-    return node.bitwiseAND(F.lit(3)) == _TYPE_CODES[ARTICLE]
+def _has_type(node: str, node_type: str) -> Column:
+    return F.col(node).bitwiseAND(F.lit(3)) == _TYPE_CODES[node_type]
 
 
 def _scaled(ranks: DataFrame, graph: _Graph) -> DataFrame:
@@ -189,14 +214,15 @@ def _scaled(ranks: DataFrame, graph: _Graph) -> DataFrame:
     )
 
 
-def _moved(ranks: DataFrame, graph: _Graph) -> DataFrame:
+def _spread(ranks: DataFrame, edges: DataFrame, graph: _Graph) -> DataFrame:
+    """Move values along ``edges`` and sum them per (label, node)."""
     out = ranks.select(F.col("node").alias("src"), "label", "value")
     if graph.broadcast:
         # with all rows of a label in one task, the sums below need no further shuffle
-        joined = out.repartition(graph.label_parts, "label").join(F.broadcast(graph.edges), "src")
+        joined = out.repartition(graph.label_parts, "label").join(F.broadcast(edges), "src")
     else:
         sizes = graph.out_mass.select(F.col("node").alias("src"), "n")
-        joined = skew_join(graph.edges, out, ["src"], sizes=sizes)
+        joined = skew_join(edges, out, ["src"], sizes=sizes)
     return (
         joined.withColumn("moved", F.col("value") * F.col("weight"))
         .groupBy("label", F.col("dst").alias("node"))
@@ -205,23 +231,86 @@ def _moved(ranks: DataFrame, graph: _Graph) -> DataFrame:
     )
 
 
+def _category_bounds(ranks: DataFrame, graph: _Graph) -> DataFrame:
+    """Per label the most that its categories together can add to any one node."""
+    each = F.col("value") * F.col("widest")
+    from_categories = ranks.filter(_has_type("node", CATEGORY))
+    bound = F.least(F.max(each) * graph.most_categories, F.sum(each))
+    # a little room, as the sums that are compared with it differ in the last bits
+    return (
+        graph.lookup(from_categories, graph.out_mass, ["node"])
+        .groupBy("label")
+        .agg((bound * 1.000001).alias("bound"))
+    )
+
+
+def _moved_quietly(
+    ranks: DataFrame, bounds: DataFrame, graph: _Graph, limit: float
+) -> DataFrame:
+    """``_moved`` for labels whose categories alone lift no node above the limit."""
+    from_category = _has_type("src", CATEGORY)
+    near = _spread(
+        ranks.filter(~_has_type("node", CATEGORY)), graph.edges.filter(~from_category), graph
+    )
+    reach = F.col("value") + F.coalesce("bound", F.lit(0.0))
+    if graph.broadcast:
+        bounded = near.join(F.broadcast(bounds), "label", "left")
+    else:
+        bounded = skew_join(near, bounds, ["label"], "left")
+    near = stored(bounded.filter(reach > limit).select("node", "label", "value"), "near")
+    into = graph.edges.filter(from_category).withColumnRenamed("dst", "node")
+    if graph.broadcast:
+        asked = near.drop("value").join(F.broadcast(into), "node")
+    else:
+        asked = skew_join(near.drop("value"), into, ["node"])
+    held = ranks.filter(_has_type("node", CATEGORY)).withColumnRenamed("node", "src")
+    far = skew_join(asked, held, ["label", "src"]).select(
+        "node", "label", (F.col("value") * F.col("weight")).alias("value")
+    )
+    return near.unionByName(far).groupBy("node", "label").agg(F.sum("value").alias("value"))
+
+
+def _moved(ranks: DataFrame, graph: _Graph, limit: float) -> DataFrame:
+    """Sums per (label, node) after moving; rows not above the limit may be missing."""
+    bounds = stored(_category_bounds(ranks, graph), "bounds")
+    loud = bounds.filter(F.col("bound") > limit).select("label")
+    n_loud = loud.count()
+    if n_loud == graph.n_labels:
+        return _spread(ranks, graph.edges, graph)
+    if n_loud == 0:
+        return _moved_quietly(ranks, bounds, graph, limit)
+    if graph.broadcast:
+        loud = F.broadcast(loud)
+    loud_ranks = skew_join(ranks, loud, ["label"], "left_semi")
+    quiet_ranks = skew_join(ranks, loud, ["label"], "left_anti")
+    return _spread(loud_ranks, graph.edges, graph).unionByName(
+        _moved_quietly(quiet_ranks, bounds, graph, limit)
+    )
+
+
 def _one_pass(ranks: DataFrame, graph: _Graph, variant: Variant) -> DataFrame:
     value = F.col("value")
     if variant.prune_first:
-        summed = stored(_moved(ranks, graph).filter(above(value, variant.min_weight)), "summed")
+        summed = stored(
+            _moved(ranks, graph, variant.min_weight).filter(above(value, variant.min_weight)),
+            "summed",
+        )
         kept = graph.lookup(summed, label_totals(summed), ["label"]).select(
             "node", "label", (value / F.col("total")).alias("value")
         )
     else:
-        kept = _moved(_scaled(ranks, graph), graph).filter(above(value, variant.min_weight))
+        scaled = stored(_scaled(ranks, graph), "scaled")
+        kept = _moved(scaled, graph, variant.min_weight).filter(
+            above(value, variant.min_weight)
+        )
     kept = kept.filter(F.col("node") != F.col("label")).unionByName(graph.seeds)
     return stored(kept, "ranks")
 
 
 def _max_change(new: DataFrame, old: DataFrame) -> float:
     """Largest change over (article, label); rows on one side only count in full."""
-    signed = new.filter(_is_article(F.col("node"))).unionByName(
-        old.filter(_is_article(F.col("node"))).withColumn("value", -F.col("value"))
+    signed = new.filter(_has_type("node", ARTICLE)).unionByName(
+        old.filter(_has_type("node", ARTICLE)).withColumn("value", -F.col("value"))
     )
     changes = signed.groupBy("label", "node").agg(F.abs(F.sum("value")).alias("change"))
     return changes.agg(F.max("change")).first()[0] or 0.0

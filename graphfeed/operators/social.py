@@ -69,9 +69,11 @@ def requests_of(
 
 def symmetric(pairs: DataFrame) -> DataFrame:
     """Both directions of each friendship, once; nobody is the own friend."""
-    ahead = pairs.select("src", "dst")
-    back = pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    return ahead.unionByName(back).filter(F.col("src") != F.col("dst")).distinct()
+    back = F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    both = F.explode(F.array(F.struct("src", "dst"), back)).alias("_pair")
+    return (
+        pairs.filter(F.col("src") != F.col("dst")).select(both).select("_pair.*").distinct()
+    )
 
 
 def remove_friends(friends: DataFrame, removals: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ def graph_edges(t: Tables) -> DataFrame:
 
 
 def graph_weights(t: Tables) -> DataFrame:
-    return E.weighted_edges(graph_edges(t))
+    return E.weighted_edges(stored(graph_edges(t), "edges"))
 
 
 def _rounded(ranks: DataFrame, column: str = "value") -> DataFrame:

@@ -119,9 +119,10 @@ class Tables:
         )
 
     def friends(self) -> DataFrame:
-        pairs = self.friend_pairs()
-        back = pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "ts")
-        return pairs.unionByName(back).groupBy("src", "dst").agg(F.min("ts").alias("ts"))
+        back = F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))
+        both = F.explode(F.array(F.struct("src", "dst"), back)).alias("_pair")
+        pairs = self.friend_pairs().select(both, "ts").select("_pair.*", "ts")
+        return pairs.groupBy("src", "dst").agg(F.min("ts").alias("ts"))
 
     def opened(self) -> DataFrame:
         """(viewer, friend) rows: nodes opened in the graph view, from clicks."""

@@ -5,6 +5,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from graphfeed.lineage import stored
 from graphfeed.operators import edges as E
 from graphfeed.operators import ranking as R
 from graphfeed.operators import recommend
@@ -98,6 +99,61 @@ def test_loop_matches_brute_force(small, variant, passes, broadcast_edges):
     assert got == pytest.approx(brute(edges, seeds, variant, passes))
 
 
+def by_steps(weights, seeds, limit, passes):
+    ranks = seeds
+    for _ in range(passes):
+        step = R.normalise_by_label(R.sum_labels(R.propagate(weights, ranks)))
+        ranks = stored(R.prune(R.reseed(R.drop_self(step), seeds), limit), "steps")
+    return {(r.node_type + r.node, r.label): r.value for r in ranks.collect()}
+
+
+# the lowest limit has loud labels only, the highest quiet ones only
+@pytest.mark.parametrize("limit", [0.0001, 0.0083, 0.0085, 0.0088, 0.05])
+def test_quiet_labels_lose_nothing(tables, limit):
+    from graphfeed.plans.ranking import graph_weights
+
+    weights = stored(graph_weights(tables), "weights")
+    seeds = stored(E.seeds(tables.interests()), "seeds")
+    want = by_steps(weights, seeds, limit, 3)
+    for broadcast_edges in (R.BROADCAST_EDGES, 0):
+        ranks, _ = R.run_passes(weights, seeds, R.Variant(limit, 0.001, False), 3,
+                                broadcast_edges=broadcast_edges)
+        got = {(r.node_type + r.node, r.label): r.value for r in ranks.collect()}
+        assert got == pytest.approx(want)
+
+
+def test_limits_above_meet_loud_and_quiet_labels(tables, monkeypatch):
+    """Which way a pass goes, so that the test before covers each of them."""
+    from graphfeed.plans.ranking import graph_weights
+
+    weights = stored(graph_weights(tables), "weights")
+    seeds = stored(E.seeds(tables.interests()), "seeds")
+    ways = set()
+    real_quiet, real_spread = R._moved_quietly, R._spread
+
+    def quiet(*args):
+        ways.add("quiet")
+        return real_quiet(*args)
+
+    def spread(ranks, edges, graph):
+        if edges is graph.edges:
+            ways.add("loud")
+        return real_spread(ranks, edges, graph)
+
+    monkeypatch.setattr(R, "_moved_quietly", quiet)
+    monkeypatch.setattr(R, "_spread", spread)
+    seen = {}
+    for limit in (0.0001, 0.0083, 0.0085, 0.0088, 0.05):
+        ways.clear()
+        graph = R._number_nodes(weights, seeds, R.BROADCAST_EDGES)
+        ranks = R._one_pass(graph.seeds, graph, R.Variant(limit, 0.001, False))
+        ways.clear()
+        R._one_pass(ranks, graph, R.Variant(limit, 0.001, False))
+        seen[limit] = set(ways)
+    assert seen[0.0001] == {"loud"} and seen[0.05] == {"quiet"}
+    assert {"loud", "quiet"} in seen.values()
+
+
 def test_shuffled_loop_on_tables(tables):
     """Shuffling the edges gives what broadcasting them gives."""
     from graphfeed.plans.ranking import graph_weights
