@@ -11,9 +11,9 @@ two facts about it:
   be divided before they are moved and pruned in the same stage that sums them;
 * a normalised label keeps fewer than 1 / min_weight rows, but before pruning it reaches
   nearly every node, because a category passes a sliver on to all of its articles and
-  users. If all that the categories can add to a node is no more than the limit, only nodes
-  that something else reaches too can stay, and the category part is looked up for those
-  alone (``_moved_quietly``). The work per label then follows the rows kept, not the nodes;
+  users. Where all that a node's categories can add is no more than the limit, the node can
+  only stay if something else reaches it too, and the category part is looked up for such
+  nodes alone (``_moved``). The work per label then follows the rows kept, not the nodes;
 * labels never mix. When the edges are few enough to broadcast, ranks stay partitioned by
   label and a pass needs no shuffle but that of the rows it keeps. A label has at most one
   row per node, so the same limit bounds the rows of the largest label.
@@ -38,6 +38,9 @@ BROADCAST_EDGES = 2_000_000
 # Sums of (label, node) that one task of a pass should hold at once.
 SUMS_PER_TASK = 500_000
 
+# Share of the category edges from which on all of them are moved along as they are.
+MOSTLY = 0.25
+
 # Node types are kept in the two lowest bits of a node number.
 _TYPE_CODES = {USER: 0, ARTICLE: 1, CATEGORY: 2}
 
@@ -118,14 +121,17 @@ class _Graph:
     seeds: DataFrame
     broadcast: bool
     label_parts: int
-    n_labels: int
+    from_categories: DataFrame
+    n_categories: DataFrame
     most_categories: int
 
-    def lookup(self, ranks: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-        """Join a table with one row per node or label, none larger than the edges."""
+    def lookup(
+        self, ranks: DataFrame, table: DataFrame, keys: list[str], how: str = "inner"
+    ) -> DataFrame:
+        """Join a table no larger than the edges: one row per node, label or edge."""
         if self.broadcast:
-            return ranks.join(F.broadcast(table), keys)
-        return skew_join(ranks, table, keys)
+            return ranks.join(F.broadcast(table), keys, how)
+        return skew_join(ranks, table, keys, how)
 
 
 def _number_nodes(edges: DataFrame, seeds: DataFrame, broadcast_edges: int) -> _Graph:
@@ -168,32 +174,36 @@ def _number_nodes(edges: DataFrame, seeds: DataFrame, broadcast_edges: int) -> _
         F.max("weight").alias("widest"),
         F.count(F.lit(1)).alias("n"),
     )
-    categories = (
-        numbered.filter(_has_type("src", CATEGORY))
-        .groupBy("dst")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.max("n"))
-        .first()[0]
-    )
-    n_labels = starts.select("label").distinct().count()
+    from_categories = numbered.filter(_has_type("src", CATEGORY))
+    # small derivations of a written table: cached, and recomputed if an executor is lost
+    n_categories = from_categories.groupBy(F.col("dst").alias("node")).agg(
+        F.count(F.lit(1)).alias("n_categories")
+    ).persist()
+    counted = n_categories.withColumnRenamed("node", "dst")
+    if few:
+        from_categories = from_categories.join(F.broadcast(counted), "dst")
+    else:
+        from_categories = skew_join(from_categories, counted, ["dst"])
     return _Graph(
         nodes,
         numbered,
-        stored(mass, "mass"),
+        mass.persist(),
         starts,
         few,
-        _label_parts(nodes, n_labels),
-        n_labels,
-        categories or 0,
+        _label_parts(nodes, starts),
+        from_categories.persist(),
+        n_categories,
+        n_categories.agg(F.max("n_categories")).first()[0] or 0,
     )
 
 
-def _label_parts(nodes: DataFrame, n_labels: int) -> int:
+def _label_parts(nodes: DataFrame, starts: DataFrame) -> int:
     """Tasks of a pass such that the sums of one task stay in fast memory.
 
     A task can hold one sum per node for each of its labels.
     """
     least = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_labels = starts.count()
     sums = n_labels * nodes.count()
     return min(max(least, sums // SUMS_PER_TASK), max(least, n_labels))
 
@@ -214,15 +224,19 @@ def _scaled(ranks: DataFrame, graph: _Graph) -> DataFrame:
     )
 
 
-def _spread(ranks: DataFrame, edges: DataFrame, graph: _Graph) -> DataFrame:
+def _spread(
+    ranks: DataFrame, edges: DataFrame, graph: _Graph, where: Column | None = None
+) -> DataFrame:
     """Move values along ``edges`` and sum them per (label, node)."""
-    out = ranks.select(F.col("node").alias("src"), "label", "value")
+    out = ranks.withColumnRenamed("node", "src")
     if graph.broadcast:
         # with all rows of a label in one task, the sums below need no further shuffle
         joined = out.repartition(graph.label_parts, "label").join(F.broadcast(edges), "src")
     else:
         sizes = graph.out_mass.select(F.col("node").alias("src"), "n")
         joined = skew_join(edges, out, ["src"], sizes=sizes)
+    if where is not None:
+        joined = joined.filter(where)
     return (
         joined.withColumn("moved", F.col("value") * F.col("weight"))
         .groupBy("label", F.col("dst").alias("node"))
@@ -231,65 +245,81 @@ def _spread(ranks: DataFrame, edges: DataFrame, graph: _Graph) -> DataFrame:
     )
 
 
-def _category_bounds(ranks: DataFrame, graph: _Graph) -> DataFrame:
-    """Per label the most that its categories together can add to any one node."""
+def _category_bounds(held: DataFrame, graph: _Graph) -> DataFrame:
+    """Per label the most one category adds to a node, and all categories together."""
     each = F.col("value") * F.col("widest")
-    from_categories = ranks.filter(_has_type("node", CATEGORY))
-    bound = F.least(F.max(each) * graph.most_categories, F.sum(each))
     # a little room, as the sums that are compared with it differ in the last bits
+    room = F.lit(1.000001)
     return (
-        graph.lookup(from_categories, graph.out_mass, ["node"])
+        graph.lookup(held, graph.out_mass, ["node"])
         .groupBy("label")
-        .agg((bound * 1.000001).alias("bound"))
+        .agg((F.max(each) * room).alias("one"), (F.sum(each) * room).alias("all"))
     )
 
 
-def _moved_quietly(
-    ranks: DataFrame, bounds: DataFrame, graph: _Graph, limit: float
-) -> DataFrame:
-    """``_moved`` for labels whose categories alone lift no node above the limit."""
-    from_category = _has_type("src", CATEGORY)
-    near = _spread(
-        ranks.filter(~_has_type("node", CATEGORY)), graph.edges.filter(~from_category), graph
-    )
-    reach = F.col("value") + F.coalesce("bound", F.lit(0.0))
-    if graph.broadcast:
-        bounded = near.join(F.broadcast(bounds), "label", "left")
-    else:
-        bounded = skew_join(near, bounds, ["label"], "left")
-    near = stored(bounded.filter(reach > limit).select("node", "label", "value"), "near")
-    into = graph.edges.filter(from_category).withColumnRenamed("dst", "node")
-    if graph.broadcast:
-        asked = near.drop("value").join(F.broadcast(into), "node")
-    else:
-        asked = skew_join(near.drop("value"), into, ["node"])
-    held = ranks.filter(_has_type("node", CATEGORY)).withColumnRenamed("node", "src")
-    far = skew_join(asked, held, ["label", "src"]).select(
-        "node", "label", (F.col("value") * F.col("weight")).alias("value")
-    )
-    return near.unionByName(far).groupBy("node", "label").agg(F.sum("value").alias("value"))
+def _mostly_moved(bounds: DataFrame, graph: _Graph, limit: float) -> bool:
+    """Whether so many nodes can pass the limit by categories that looking up saves nothing.
+
+    Also true if no label has reached a category yet.
+    """
+    one, all_ = bounds.agg(F.avg("one"), F.avg("all")).first()
+    if one is None:
+        return True
+    if all_ <= limit:
+        return False
+    within = F.avg((F.col("n_categories") * one > limit).cast("double"))
+    share = graph.from_categories.agg(within).first()[0] or 0.0
+    return share > MOSTLY
 
 
 def _moved(ranks: DataFrame, graph: _Graph, limit: float) -> DataFrame:
-    """Sums per (label, node) after moving; rows not above the limit may be missing."""
-    bounds = stored(_category_bounds(ranks, graph), "bounds")
-    loud = bounds.filter(F.col("bound") > limit).select("label")
-    n_loud = loud.count()
-    if n_loud == graph.n_labels:
+    """Sums per (label, node) after moving; sums not above the limit may be missing.
+
+    ``reach`` is the most that the categories of a node can add to it. Pairs whose reach is
+    above the limit get the category values by moving them as usual. The others come up only
+    if something else reaches them and both together may pass the limit; for those few the
+    category values are looked up.
+    """
+    is_category = _has_type("node", CATEGORY)
+    held = ranks.filter(is_category)
+    bounds = _category_bounds(held, graph)
+    if _mostly_moved(bounds, graph, limit):
         return _spread(ranks, graph.edges, graph)
-    if n_loud == 0:
-        return _moved_quietly(ranks, bounds, graph, limit)
-    if graph.broadcast:
-        loud = F.broadcast(loud)
-    loud_ranks = skew_join(ranks, loud, ["label"], "left_semi")
-    quiet_ranks = skew_join(ranks, loud, ["label"], "left_anti")
-    return _spread(loud_ranks, graph.edges, graph).unionByName(
-        _moved_quietly(quiet_ranks, bounds, graph, limit)
+    reach = F.least(F.col("one") * F.col("n_categories"), F.col("all"))
+
+    near = _spread(
+        ranks.filter(~is_category), graph.edges.filter(~_has_type("src", CATEGORY)), graph
+    )
+    near = graph.lookup(near, bounds, ["label"], "left")
+    near = graph.lookup(near, graph.n_categories, ["node"], "left")
+    near = near.withColumn("reach", F.coalesce(reach, F.lit(0.0))).filter(
+        (F.col("reach") > limit) | (F.col("value") + F.col("reach") > limit)
+    )
+    near = stored(near.select("node", "label", "value", "reach"), "near")
+
+    strong = F.least(F.col("one") * graph.most_categories, F.col("all")) > limit
+    moved = _spread(
+        graph.lookup(held, bounds.filter(strong), ["label"]),
+        graph.from_categories,
+        graph,
+        reach > limit,
     )
 
+    asked = near.filter((F.col("reach") > 0) & (F.col("reach") <= limit)).select("node", "label")
+    into = graph.from_categories.select(F.col("dst").alias("node"), "src", "weight")
+    found = skew_join(
+        graph.lookup(asked, into, ["node"]),
+        held.withColumnRenamed("node", "src"),
+        ["label", "src"],
+    ).select("node", "label", (F.col("value") * F.col("weight")).alias("value"))
+
+    parts = near.select("node", "label", "value").unionByName(moved).unionByName(found)
+    return parts.groupBy("node", "label").agg(F.sum("value").alias("value"))
+
 
 def _one_pass(ranks: DataFrame, graph: _Graph, variant: Variant) -> DataFrame:
     value = F.col("value")
+    scaled = ranks
     if variant.prune_first:
         summed = stored(
             _moved(ranks, graph, variant.min_weight).filter(above(value, variant.min_weight)),
@@ -299,12 +329,14 @@ def _one_pass(ranks: DataFrame, graph: _Graph, variant: Variant) -> DataFrame:
             "node", "label", (value / F.col("total")).alias("value")
         )
     else:
-        scaled = stored(_scaled(ranks, graph), "scaled")
+        scaled = _scaled(ranks, graph).persist()
         kept = _moved(scaled, graph, variant.min_weight).filter(
             above(value, variant.min_weight)
         )
     kept = kept.filter(F.col("node") != F.col("label")).unionByName(graph.seeds)
-    return stored(kept, "ranks")
+    ranks = stored(kept, "ranks")
+    scaled.unpersist()
+    return ranks
 
 
 def _max_change(new: DataFrame, old: DataFrame) -> float:

@@ -90,7 +90,7 @@ VARIANTS = {
 
 @pytest.mark.parametrize("broadcast_edges", [R.BROADCAST_EDGES, 0])
 @pytest.mark.parametrize("variant", VARIANTS.values(), ids=VARIANTS)
-@pytest.mark.parametrize("passes", [1, 3])
+@pytest.mark.parametrize("passes", [3])
 def test_loop_matches_brute_force(small, variant, passes, broadcast_edges):
     edges, seeds = small
     ranks, _ = R.run_passes(E.weighted_edges(edges), seeds, variant, passes,
@@ -107,51 +107,35 @@ def by_steps(weights, seeds, limit, passes):
     return {(r.node_type + r.node, r.label): r.value for r in ranks.collect()}
 
 
-# the lowest limit has loud labels only, the highest quiet ones only
-@pytest.mark.parametrize("limit", [0.0001, 0.0083, 0.0085, 0.0088, 0.05])
-def test_quiet_labels_lose_nothing(tables, limit):
+# from limits that the categories of most nodes can pass to one that none can
+@pytest.mark.parametrize("limit", [0.0001, 0.004, 0.0085, 0.05])
+def test_looking_categories_up_loses_nothing(tables, limit, monkeypatch):
     from graphfeed.plans.ranking import graph_weights
 
+    monkeypatch.setattr(R, "MOSTLY", 1.0)
     weights = stored(graph_weights(tables), "weights")
     seeds = stored(E.seeds(tables.interests()), "seeds")
-    want = by_steps(weights, seeds, limit, 3)
+    want = by_steps(weights, seeds, limit, 2)
     for broadcast_edges in (R.BROADCAST_EDGES, 0):
-        ranks, _ = R.run_passes(weights, seeds, R.Variant(limit, 0.001, False), 3,
+        ranks, _ = R.run_passes(weights, seeds, R.Variant(limit, 0.001, False), 2,
                                 broadcast_edges=broadcast_edges)
         got = {(r.node_type + r.node, r.label): r.value for r in ranks.collect()}
         assert got == pytest.approx(want)
 
 
-def test_limits_above_meet_loud_and_quiet_labels(tables, monkeypatch):
-    """Which way a pass goes, so that the test before covers each of them."""
+def test_limits_above_cover_both_ways(tables):
+    """At the middle limits some pairs are moved to and others looked up."""
     from graphfeed.plans.ranking import graph_weights
 
-    weights = stored(graph_weights(tables), "weights")
-    seeds = stored(E.seeds(tables.interests()), "seeds")
-    ways = set()
-    real_quiet, real_spread = R._moved_quietly, R._spread
-
-    def quiet(*args):
-        ways.add("quiet")
-        return real_quiet(*args)
-
-    def spread(ranks, edges, graph):
-        if edges is graph.edges:
-            ways.add("loud")
-        return real_spread(ranks, edges, graph)
-
-    monkeypatch.setattr(R, "_moved_quietly", quiet)
-    monkeypatch.setattr(R, "_spread", spread)
-    seen = {}
-    for limit in (0.0001, 0.0083, 0.0085, 0.0088, 0.05):
-        ways.clear()
-        graph = R._number_nodes(weights, seeds, R.BROADCAST_EDGES)
-        ranks = R._one_pass(graph.seeds, graph, R.Variant(limit, 0.001, False))
-        ways.clear()
-        R._one_pass(ranks, graph, R.Variant(limit, 0.001, False))
-        seen[limit] = set(ways)
-    assert seen[0.0001] == {"loud"} and seen[0.05] == {"quiet"}
-    assert {"loud", "quiet"} in seen.values()
+    graph = R._number_nodes(graph_weights(tables), E.seeds(tables.interests()),
+                            R.BROADCAST_EDGES)
+    ranks = R._scaled(R._one_pass(graph.seeds, graph, R.CLUSTER), graph)
+    bounds = R._category_bounds(ranks.filter(R._has_type("node", "c")), graph)
+    reach = F.least(F.col("one") * F.col("n_categories"), F.col("all"))
+    reaches = [r[0] for r in bounds.crossJoin(graph.n_categories).select(reach).collect()]
+    for limit in (0.004, 0.0085):
+        assert min(reaches) < limit < max(reaches)
+    assert max(reaches) < 0.05
 
 
 def test_shuffled_loop_on_tables(tables):
@@ -159,8 +143,8 @@ def test_shuffled_loop_on_tables(tables):
     from graphfeed.plans.ranking import graph_weights
 
     weights, seeds = graph_weights(tables), E.seeds(tables.interests())
-    small, _ = R.run_passes(weights, seeds, passes=3)
-    large, _ = R.run_passes(weights, seeds, passes=3, broadcast_edges=0)
+    small, _ = R.run_passes(weights, seeds, passes=2)
+    large, _ = R.run_passes(weights, seeds, passes=2, broadcast_edges=0)
     key = ["node_type", "node", "label"]
     joined = small.join(large.withColumnRenamed("value", "other"), key, "full")
     worst = joined.agg(F.max(F.abs(F.coalesce("value", F.lit(9.0))
