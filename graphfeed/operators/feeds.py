@@ -109,9 +109,8 @@ def _feed(
     How long a feed gets is known from post counts, before any post is joined.
     """
     per_author = posts.groupBy("author").agg(F.count(F.lit(1)).alias("n"))
-    lengths = (
-        pairs.join(per_author, "author").groupBy("reader").agg(F.sum("n").alias("n"))
-    )
+    reached = skew_join(pairs, per_author, ["author"])
+    lengths = reached.groupBy("reader").agg(F.sum("n").alias("n"))
     joined = skew_join(rows, pairs, ["author"], "inner", hot_rows, sizes=per_author)
     if n is not None:
         position = F.row_number().over(

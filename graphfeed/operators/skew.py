@@ -44,10 +44,13 @@ def skew_join(
 
     Rows of a hot key take one of its pieces by their own content; the matching rows of
     ``small`` are repeated once per piece. Other keys are joined as they are. ``how`` is
-    any type that keeps at most the rows of ``big``: inner, left, left_semi, left_anti.
+    any type that keeps at most the rows of ``big``: inner, left, left_semi, left_anti. A
+    stream is joined as it is, since a micro-batch is bounded by its trigger.
     """
     hot_rows = hot_rows or HOT_ROWS
     keys = list(keys)
+    if big.isStreaming:
+        return big.join(small, keys, how)
     if hot_rows >= HOT_ROWS and estimated_bytes(big) <= SMALL_INPUT_BYTES:
         return big.join(small, keys, how)
     if sizes is None:

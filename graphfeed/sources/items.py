@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphfeed.operators.skew import skew_join
+
 # Sort-key marks of the stored entities (fixed values).
 PROFILE = "user"
 PREFIXES = {
@@ -59,7 +61,7 @@ def by_prefix(items: DataFrame, prefix: str, ids: DataFrame | None = None) -> Da
     """Items whose sort key begins with ``prefix``, of all ids or of those in ``ids``."""
     found = items.filter(F.col("user_relation").startswith(prefix))
     if ids is not None:
-        found = found.join(ids.select("id").distinct(), "id", "left_semi")
+        found = skew_join(found, ids.select("id").distinct(), ["id"], "left_semi")
     return found
 
 

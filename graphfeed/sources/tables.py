@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphfeed.operators.skew import dense_index
+from graphfeed.operators.skew import dense_index, skew_join
 
 _EPOCH_MICROS = (
     "cast(cast(ts - timestamp_ntz'1970-01-01 00:00:00' as interval second)"
@@ -247,32 +247,33 @@ class Tables:
 
     def posts_with_text(self) -> DataFrame:
         headlines = self.news().select(F.col("id").alias("_doc"), F.col("headline").alias("text"))
-        return (
-            self.posts()
-            .withColumn("_doc", F.col("post_id") % self.n_docs)
-            .join(headlines, "_doc")
-            .drop("_doc")
-        )
+        posts = self.posts().withColumn("_doc", F.col("post_id") % self.n_docs)
+        return skew_join(posts, headlines, ["_doc"]).drop("_doc")
 
     def numbered_posts(self) -> DataFrame:
         """(post_id, rn): posts counted from 0 by id, the target of comments and likes."""
         ids = self.events("purchase").select(F.col("event_id").alias("post_id"))
         return dense_index(ids, "post_id", "rn")
 
+    def _at_post(self, events: DataFrame, rn: F.Column) -> DataFrame:
+        """Events with the post they are about; one post may get very many."""
+        return skew_join(events.withColumn("rn", rn % self.n_posts), self.numbered_posts(), ["rn"])
+
+    def _at_comment(self, events: DataFrame, rn: F.Column) -> DataFrame:
+        ids = self.events("error").select(F.col("event_id").alias("comment_id"))
+        placed = events.withColumn("rn", rn % ids.count())
+        return skew_join(placed, dense_index(ids, "comment_id", "rn"), ["rn"])
+
     def comments(self) -> DataFrame:
         """Comment text is 'c' and the id; likes follow from the id."""
-        return (
-            self.events("error")
-            .withColumn("rn", (F.col("event_id") * 17 + F.col("k")) % self.n_posts)
-            .join(self.numbered_posts(), "rn")
-            .select(
-                F.col("event_id").alias("comment_id"),
-                "post_id",
-                text_id("user_id").alias("commenter"),
-                "ts",
-                F.concat(F.lit("c"), F.col("event_id").cast("string")).alias("text"),
-                F.floor("value").cast("long").alias("likes"),
-            )
+        placed = self._at_post(self.events("error"), F.col("event_id") * 17 + F.col("k"))
+        return placed.select(
+            F.col("event_id").alias("comment_id"),
+            "post_id",
+            text_id("user_id").alias("commenter"),
+            "ts",
+            F.concat(F.lit("c"), F.col("event_id").cast("string")).alias("text"),
+            F.floor("value").cast("long").alias("likes"),
         )
 
     def shape_presence(self, events: DataFrame) -> DataFrame:
@@ -289,33 +290,22 @@ class Tables:
         return self.shape_presence(self.events("signup", "error"))
 
     def shape_like_log(self, events: DataFrame) -> DataFrame:
-        return (
-            events.filter(F.col("event_type") == "click")
-            .withColumn("rn", (F.col("event_id") * 13 + F.col("k")) % self.n_posts)
-            .join(self.numbered_posts(), "rn")
-            .select("post_id", F.col("event_id").alias("op_id"), "ts")
-        )
+        clicks = events.filter(F.col("event_type") == "click")
+        placed = self._at_post(clicks, F.col("event_id") * 13 + F.col("k"))
+        return placed.select("post_id", F.col("event_id").alias("op_id"), "ts")
 
     def like_log(self) -> DataFrame:
         return self.shape_like_log(self.events("click"))
 
     def comment_like_log(self) -> DataFrame:
         """Each click also likes the comment with the same position among comments."""
-        ids = self.events("error").select(F.col("event_id").alias("comment_id"))
-        n_comments = ids.count()
-        return (
-            self.events("click")
-            .withColumn("rn", (F.col("event_id") * 13 + F.col("k")) % n_comments)
-            .join(dense_index(ids, "comment_id", "rn"), "rn")
-            .select("comment_id", F.col("event_id").alias("op_id"), "ts")
-        )
+        placed = self._at_comment(self.events("click"), F.col("event_id") * 13 + F.col("k"))
+        return placed.select("comment_id", F.col("event_id").alias("op_id"), "ts")
 
     def shape_post_log(self, events: DataFrame) -> DataFrame:
         """(post_id, op_ts, op_id, op, text): create, edit and delete."""
         kind = F.col("event_type")
-        changes = events.filter(
-            (kind == "view") | ((kind == "error") & (F.col("k") < 10))
-        ).withColumn("rn", F.col("event_id") % self.n_posts)
+        changes = events.filter((kind == "view") | ((kind == "error") & (F.col("k") < 10)))
         creates = events.filter(kind == "purchase").select(
             F.col("event_id").alias("post_id"),
             F.col("ts").alias("op_ts"),
@@ -323,7 +313,7 @@ class Tables:
             F.lit("create").alias("op"),
             F.concat(F.lit("post "), F.col("event_id").cast("string")).alias("text"),
         )
-        later = changes.join(self.numbered_posts(), "rn").select(
+        later = self._at_post(changes, F.col("event_id")).select(
             "post_id",
             F.col("ts").alias("op_ts"),
             F.col("event_id").alias("op_id"),
@@ -338,8 +328,6 @@ class Tables:
 
     def comment_log(self) -> DataFrame:
         """The same for comments: errors create, signups edit, clicks with k < 10 delete."""
-        ids = self.events("error").select(F.col("event_id").alias("comment_id"))
-        n_comments = ids.count()
         kind = F.col("event_type")
         creates = self.events("error").select(
             F.col("event_id").alias("comment_id"),
@@ -348,19 +336,14 @@ class Tables:
             F.lit("create").alias("op"),
             F.concat(F.lit("c"), F.col("event_id").cast("string")).alias("text"),
         )
-        later = (
-            self.events("signup", "click")
-            .filter((kind == "signup") | (F.col("k") < 10))
-            .withColumn("rn", F.col("event_id") % n_comments)
-            .join(dense_index(ids, "comment_id", "rn"), "rn")
-            .select(
-                "comment_id",
-                F.col("ts").alias("op_ts"),
-                F.col("event_id").alias("op_id"),
-                F.when(kind == "signup", "edit").otherwise("delete").alias("op"),
-                F.when(kind == "signup",
-                       F.concat(F.lit("edit "), F.col("event_id").cast("string"))).alias("text"),
-            )
+        changes = self.events("signup", "click").filter((kind == "signup") | (F.col("k") < 10))
+        later = self._at_comment(changes, F.col("event_id")).select(
+            "comment_id",
+            F.col("ts").alias("op_ts"),
+            F.col("event_id").alias("op_id"),
+            F.when(kind == "signup", "edit").otherwise("delete").alias("op"),
+            F.when(kind == "signup", F.concat(F.lit("edit "), F.col("event_id").cast("string")))
+            .alias("text"),
         )
         return creates.unionByName(later)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from graphfeed.lineage import scratch_path
-from graphfeed.operators.skew import newest
+from graphfeed.operators.skew import skew_join
 from graphfeed.streaming.tables import KeyedTable
 
 
@@ -40,13 +40,16 @@ def delivered_messages(
 ) -> DataFrame:
     """A message goes to each member who has its chat open; it is stored only if the sender
     is a member. Stateless, so it runs on streams and tables alike."""
-    recipients = open_chats.withColumnRenamed("usr", "recipient").join(
-        membership.withColumnRenamed("member", "recipient"), ["chat_id", "recipient"], "left_semi"
+    recipients = skew_join(
+        open_chats.withColumnRenamed("usr", "recipient"),
+        membership.withColumnRenamed("member", "recipient"),
+        ["chat_id", "recipient"],
+        "left_semi",
     )
     senders = membership.select("chat_id", F.col("member").alias("sender"),
                                 F.lit(True).alias("is_stored"))
-    reached = messages.join(recipients, "chat_id")
-    return reached.join(senders, ["chat_id", "sender"], "left").select(
+    reached = skew_join(messages, recipients, ["chat_id"])
+    return skew_join(reached, senders, ["chat_id", "sender"], "left").select(
         "chat_id", "turn", "sender", "recipient",
         F.coalesce("is_stored", F.lit(False)).alias("is_stored"),
     )
@@ -111,9 +114,5 @@ def apply_changes(log: DataFrame) -> DataFrame:
         "post_id long, op_ts long, op_id long, op string, text string",
         ["post_id"], ["op_ts", "op_id"],
     )
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        table.merge(newest(batch, table.keys, table.order), batch_id)
-
-    drain(log.writeStream.foreachBatch(merge), "changes", spark)
+    drain(log.writeStream.foreachBatch(table.merge), "changes", spark)
     return table.read().filter(F.col("op") != "delete")

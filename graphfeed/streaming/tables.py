@@ -1,9 +1,4 @@
-"""A keyed table that micro-batches are merged into.
-
-Every batch writes a new version from the newest complete one before it. The version number
-is the batch number, so a batch that is run again writes the same version again and the
-result counts it once.
-"""
+"""A keyed table that micro-batches are merged into."""
 
 from __future__ import annotations
 
@@ -12,29 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from graphfeed.operators.skew import newest
-from graphfeed.sources.ranks import read_version, versions
 
 
 class KeyedTable:
-    """Rows by ``keys``; the row with the highest ``order`` wins."""
+    """Rows by ``keys``; of the rows with one key that with the highest ``order`` counts.
+
+    A batch writes only its own newest rows, in a folder named after it. Writing it again
+    replaces that folder, so a repeated batch counts once. Readers take the newest row per key
+    over all batches, in whatever order these came.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str],
                  order: Sequence[str]):
         self.spark, self.path, self.schema = spark, path, schema
         self.keys, self.order = list(keys), list(order)
-
-    def read(self) -> DataFrame:
-        known = versions(self.spark, self.path)
-        if not known:
-            return self.spark.createDataFrame([], self.schema)
-        return read_version(self.spark, self.path, known[-1], self.schema)
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch=-1")
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
-        """Put the newest row per key of old table and batch together."""
-        older = [v for v in versions(self.spark, self.path) if v < batch_id]
-        rows = batch
-        if older:
-            rows = read_version(self.spark, self.path, older[-1], self.schema).unionByName(batch)
-        newest(rows, self.keys, self.order).write.mode("overwrite").parquet(
-            f"{self.path}/v={batch_id}"
+        newest(batch, self.keys, self.order).write.mode("overwrite").parquet(
+            f"{self.path}/batch={batch_id}"
         )
+
+    def read(self) -> DataFrame:
+        rows = self.spark.read.schema(self.schema).parquet(self.path).drop("batch")
+        return newest(rows, self.keys, self.order)
