@@ -55,7 +55,10 @@ def skew_join(
         return big.join(small, keys, how)
     if sizes is None:
         sizes = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = F.broadcast(hot_keys(sizes, keys, hot_rows))
+    hot = hot_keys(sizes, keys, hot_rows)
+    if hot.isEmpty():
+        return big.join(small, keys, how)
+    hot = F.broadcast(stored(hot, "hot-keys"))
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
     salted = (
         big.join(hot, keys, "left")

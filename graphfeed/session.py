@@ -17,7 +17,10 @@ def local_session(cores: str | None = None) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("graphfeed")
-        .config("spark.driver.memory", "12g")
+        .config("spark.driver.memory", "16g")
+        .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC")
+        # sums of one ranking task fit the fast map of the hash aggregate
+        .config("spark.sql.codegen.aggregate.fastHashMap.capacityBit", "20")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
