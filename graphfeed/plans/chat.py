@@ -27,11 +27,11 @@ def batch_get_chats(t: Tables) -> DataFrame:
 
 
 def same_member_set(t: Tables) -> DataFrame:
-    """Candidates: the two of each private invite, and each group invite's chat with both."""
+    """Candidates: the two of each private invite, and the members of a group invite's chat."""
     invites, membership = t.invites(), t.membership()
     both = F.explode(F.array("invitee", "inviter")).alias("member")
     name = F.concat_ws(">", "invitee", "inviter", F.col("chat_id").cast("string")).alias("set_id")
-    people = invites.select(name, both)
+    people = invites.filter(F.col("chat_id").isNull()).select(name, both)
     inside = skew_join(L.group_invite_inbox(invites), membership, ["chat_id"]).select(
         name, "member"
     )
@@ -182,9 +182,8 @@ ORACLES = {
     "same_member_set": _sql(f"""
         select set_id, first_chat, n_chats from (
           select set_id, string_agg(member, ',' order by member) as members from (
-            select concat_ws('>', invitee, inviter, chat_id) as set_id, invitee as member
-            from v_invites
-            union select concat_ws('>', invitee, inviter, chat_id), inviter from v_invites
+            select concat_ws('>', invitee, inviter) as set_id, invitee as member from v_inbox
+            union select concat_ws('>', invitee, inviter), inviter from v_inbox
             union select concat_ws('>', invitee, inviter, chat_id), member
             from v_invites join v_membership using (chat_id)) group by set_id)
         join v_first_chats using (members)"""),
