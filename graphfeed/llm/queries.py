@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphfeed.llm import archive, mixing, quality_rules, secret_scan
-from graphfeed.llm.common import table
+from graphfeed.llm import archive, minhash, mixing, ngram_lm, quality_rules, secret_scan
+from graphfeed.llm.common import id_remainder, table
 from graphfeed.llm.queries_sql import ORACLES
 
 
@@ -17,6 +17,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents; those whose remainder is not 1 train."""
+    found = ngram_lm.scored(table(spark, sf_dir, "documents"), F.col("doc_id"),
+                            id_remainder(F.col("doc_id")) != 1, F.col("text"))
+    return found.withColumnRenamed("_id", "doc_id")
+
+
 def op3_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page by way of ARC files and the WARC files made from them."""
     records = archive.archived(table(spark, sf_dir, "pages"))
@@ -45,11 +52,21 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents, by shingles of four words."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4)
+    return found.select(
+        F.col("_id").alias("doc_id"), "n_shingles", "component_id",
+        F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_ngram_lm": op2_ngram_lm,
     "op3_archive": op3_archive,
     "op5_secret_scan": op5_secret_scan,
     "op9_mixing": op9_mixing,
+    "op10_minhash": op10_minhash,
 }
 
 

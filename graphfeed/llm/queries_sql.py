@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from graphfeed.llm import mixing, quality_rules, secret_scan
+from graphfeed.llm import mixing, ngram_lm, quality_rules, secret_scan
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
-# crc32 of a text, bit by bit, and its remainder mod 5
-CRC_MOD_5 = """((list_reduce(list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT for c in
-  string_split({text}, '')]), (crc, b) -> list_reduce(list_prepend(xor(crc, b),
-  [1::BIGINT,2,3,4,5,6,7,8]), (a, k) -> xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384::BIGINT
-  ELSE 0::BIGINT END))) # 4294967295::BIGINT) % 5)""".replace("#", "# ").replace("# ", "^ ")
-
+# crc32 of the id as text, bit by bit, and its remainder mod 5
+_CRC_MOD_5 = """(xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT FOR c IN
+  string_split(doc_id::VARCHAR, '')]), lambda crc, b: list_reduce(list_prepend(xor(crc, b),
+  [1::BIGINT, 2, 3, 4, 5, 6, 7, 8]), lambda a, k: xor(a >> 1, CASE WHEN a & 1 = 1
+  THEN 3988292384::BIGINT ELSE 0::BIGINT END))), 4294967295::BIGINT) % 5)"""
 
 def _quality_rules() -> str:
     tests = " UNION ALL ".join(
@@ -156,9 +155,58 @@ SELECT doc_id, size, source_size, target,
 FROM placed"""
 
 
+# lower-case A-Z only
+_LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          "'abcdefghijklmnopqrstuvwxyz')")
+
+NGRAM_LM = rf"""
+WITH seqs AS (
+  SELECT doc_id, {_CRC_MOD_5} = 1 AS held_out,
+    list_append(regexp_extract_all({_LOWER}, '{_WORD}'), '') AS w FROM documents),
+tokens AS (
+  SELECT doc_id, held_out, unnest(w) AS word, unnest(list_prepend('', w[:len(w) - 1])) AS prev,
+  FROM seqs),
+single AS (SELECT word, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY word),
+pairs AS (SELECT prev, word, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY prev, word),
+total AS (SELECT sum(c)::BIGINT AS n, count(*) AS v FROM single),
+chances AS (
+  SELECT t.*, coalesce(s.c, 0) AS c, (coalesce(s.c, 0) + 0.5) / (n + 0.5 * (v + 1)) AS p,
+    coalesce(h.c, 0) AS ch, coalesce(q.c, 0) AS cq, n
+  FROM tokens t CROSS JOIN total LEFT JOIN single s ON s.word = t.word
+  LEFT JOIN single h ON h.word = t.prev
+  LEFT JOIN pairs q ON q.prev = t.prev AND q.word = t.word)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (c > 0) AS n_known,
+  any_value(n) AS train_tokens, sum(log10(p)) AS base_score,
+  sum(log10((cq + {ngram_lm.MU} * p) / (ch + {ngram_lm.MU}))) AS score
+FROM chances GROUP BY doc_id, held_out"""
+
+MINHASH = rf"""
+WITH RECURSIVE seqs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN w ELSE w[i:i + 3] END AS s FROM (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM seqs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM shingles x JOIN shingles y
+    ON x.s = y.s AND x.doc_id < y.doc_id
+  JOIN sizes p ON p.doc_id = x.doc_id JOIN sizes q ON q.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM seqs UNION
+  SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a)
+SELECT s.doc_id, coalesce(z.n, 0) AS n_shingles, min(r.b) AS component_id,
+  s.doc_id = min(r.b) AS kept
+FROM seqs s LEFT JOIN sizes z USING (doc_id) JOIN reach r ON r.a = s.doc_id
+GROUP BY s.doc_id, z.n"""
+
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _quality_rules(),
+    "op2_ngram_lm": NGRAM_LM,
     "op3_archive": ARCHIVE,
     "op5_secret_scan": _secret_scan(),
     "op9_mixing": MIXING,
+    "op10_minhash": MINHASH,
 }
