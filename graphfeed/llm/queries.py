@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphfeed.llm import archive, minhash, mixing, ngram_lm, quality_rules, secret_scan
+from graphfeed.llm import (
+    ann,
+    archive,
+    minhash,
+    mixing,
+    ngram_lm,
+    pairwise_quality,
+    quality_rules,
+    secret_scan,
+)
 from graphfeed.llm.common import id_remainder, table
 from graphfeed.llm.queries_sql import ORACLES
 
@@ -47,6 +56,20 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.filter("spans", lambda s: s.live)).cast("long").alias("n_live"))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op8_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents; those with remainder 0 teach nothing."""
+    held_out = id_remainder(F.col("_id")) == 0
+    found = pairwise_quality.ranked(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("doc_id"),
+        F.col("text"), ~held_out)
+    return found.select(F.col("_id").alias("doc_id"), held_out.alias("held_out"), "score", "predicted")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of every document the mix of sources takes."""
     return mixing.taken(table(spark, sf_dir, "documents"))
@@ -65,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_lm": op2_ngram_lm,
     "op3_archive": op3_archive,
     "op5_secret_scan": op5_secret_scan,
+    "op6_ann": op6_ann,
+    "op8_pairwise_quality": op8_pairwise_quality,
     "op9_mixing": op9_mixing,
     "op10_minhash": op10_minhash,
 }
