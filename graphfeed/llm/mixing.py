@@ -117,8 +117,9 @@ def taken(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: s
     Size is the number of words, 0 for null. Null ids and repeated rows are rows like others.
     An empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(source).alias("source"),
-                       sized(F.col(text)).alias("size"))
+    # stored, since sums and places both read the sizes
+    rows = stored(docs.select(F.col(id_col).alias("_id"), F.col(source).alias("source"),
+                              sized(F.col(text)).alias("size")), "mix-sizes")
     return copies(rows, seed).select(
         F.col("_id").alias(id_col), "size", "source_size", "target",
         (F.col("size") * F.col("copies")).alias("taken"))
@@ -129,9 +130,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: s
     """The rows of the mix with the columns of ``docs``, each as often as it is taken."""
     rows = stored(docs.select(F.struct(*docs.columns).alias("_doc"))
                   .withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
-    sizes = rows.select("_row", F.col(f"_doc.{id_col}").alias("_id"),
-                        F.col(f"_doc.{source}").alias("source"),
-                        sized(F.col(f"_doc.{text}")).alias("size"))
+    sizes = stored(rows.select("_row", F.col(f"_doc.{id_col}").alias("_id"),
+                               F.col(f"_doc.{source}").alias("source"),
+                               sized(F.col(f"_doc.{text}")).alias("size")), "mix-sizes")
     often = copies(sizes, seed).filter("copies > 0").select("_row", "copies")
     return (rows.join(often, "_row")
             .select("_doc", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))

@@ -217,8 +217,11 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text:
     by_stratum = on.groupBy(F.col("stratum").alias("_stratum")).agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_cutoffs"))
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
+    # the number keeps the filter above the counts, which it would otherwise work out anew for
+    # every place where it names them
     counted = text_counts(
-        docs.select(row, F.col(stratum).alias("stratum"), F.col(text).alias("_text")), "_text")
+        docs.select(row, F.col(stratum).alias("stratum"), F.col(text).alias("_text")), "_text"
+    ).withColumn("_n", F.monotonically_increasing_id())
     broken = [F.coalesce(value > F.element_at(F.col("_cutoffs"), rule), F.lit(False))
               for rule, value in measures().items()]
     any_broken = broken[0]
@@ -227,6 +230,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text:
     return (
         counted.join(stored(by_stratum, "cutoffs"),
                      F.col("stratum").eqNullSafe(F.col("_stratum")), "left")
-        .filter(~base_failed() & ~any_broken)
+        .filter((F.col("_n") >= 0) & ~base_failed() & ~any_broken)
         .select("_row.*")
     )

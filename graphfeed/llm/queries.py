@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphfeed.llm import (
@@ -14,8 +14,10 @@ from graphfeed.llm import (
     mixing,
     ngram_lm,
     pairwise_quality,
+    pii,
     quality_rules,
     secret_scan,
+    sentencepiece,
 )
 from graphfeed.llm.common import id_remainder, table
 from graphfeed.llm.queries_sql import ORACLES
@@ -41,6 +43,13 @@ def op3_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("refers_key").alias("refers_to"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as piece ids, and whether they decode to its text."""
+    return sentencepiece.encoded(
+        table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text")
+    ).withColumnRenamed("_id", "doc_id")
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document. The source owns it; its part in a language is the repository."""
     docs = table(spark, sf_dir, "documents")
@@ -61,6 +70,23 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document; counts and digest are of the base spans."""
+    found = pii.found(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text"))
+    names = F.array(*[F.lit(k) for k in pii.KINDS])
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", F.get(names, s["rank"]), s.start.cast("string"), s.end.cast("string"))), ",")
+
+    ranks = F.transform("base", lambda s: s["rank"])
+    counts = [(F.size(ranks) - F.size(F.array_remove(ranks, i))).cast("long").alias(f"n_{kind}")
+              for i, kind in enumerate(pii.KINDS)]
+    return found.select(F.col("_id").alias("doc_id"), *counts,
+                        F.sha2(listed("base"), 256).alias("base_sha256"),
+                        listed("spans").alias("spans"))
+
+
 def op8_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents; those with remainder 0 teach nothing."""
     held_out = id_remainder(F.col("_id")) == 0
@@ -87,8 +113,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_lm": op2_ngram_lm,
     "op3_archive": op3_archive,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_secret_scan": op5_secret_scan,
     "op6_ann": op6_ann,
+    "op7_pii": op7_pii,
     "op8_pairwise_quality": op8_pairwise_quality,
     "op9_mixing": op9_mixing,
     "op10_minhash": op10_minhash,
