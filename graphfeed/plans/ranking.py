@@ -13,10 +13,6 @@ from graphfeed.operators import recommend
 from graphfeed.plans.views_sql import rounded_sql, with_views
 from graphfeed.sources.tables import Tables
 
-RANK_PASSES = 4
-REC_PASSES = 2
-
-
 # -- Spark side -------------------------------------------------------------------------
 
 
@@ -39,8 +35,7 @@ def _rounded(ranks: DataFrame, column: str = "value") -> DataFrame:
 
 def rec_ranks(t: Tables) -> DataFrame:
     """The written rank table that the recommendation queries start from."""
-    ranks = R.adsorption(graph_weights(t), E.seeds(t.interests()), passes=REC_PASSES)
-    return stored(ranks, "rank-table")
+    return stored(R.adsorption(graph_weights(t), E.seeds(t.interests())), "rank-table")
 
 
 def _second_pass(t: Tables, upto: str) -> DataFrame:
@@ -64,17 +59,13 @@ def _second_pass(t: Tables, upto: str) -> DataFrame:
 
 
 def convergence(t: Tables) -> DataFrame:
-    """The change of passes 2 to 4: three numbers, kept by the loop."""
-    _, history = R.run_passes(
-        graph_weights(t), E.seeds(t.interests()), passes=RANK_PASSES, watch=True
-    )
+    """The change of each pass from the second to the one that ends the loop."""
+    _, history = R.run_passes(graph_weights(t), E.seeds(t.interests()))
     return _rounded(t.spark.createDataFrame(history, "pass long, max_change double"), "max_change")
 
 
 def social_rank(t: Tables, variant: R.Variant = R.CLUSTER) -> DataFrame:
-    ranks = R.adsorption(
-        graph_weights(t), E.seeds(t.interests()), variant, passes=RANK_PASSES
-    )
+    ranks = R.adsorption(graph_weights(t), E.seeds(t.interests()), variant)
     return _rounded(ranks, "article_rank")
 
 
@@ -89,6 +80,7 @@ def _recs(t: Tables, order: str) -> DataFrame:
 
 # -- SQL side ---------------------------------------------------------------------------
 
+_TAGS = "abcdefghijklmno"
 
 def _pass_views(number: int, start: str, variant: R.Variant) -> dict[str, str]:
     """CTEs of one pass; the last one is named v_r<letter> for pass 1 = a, 2 = b, ..."""
@@ -120,7 +112,36 @@ def passes_sql(body: str, passes: int, variant: R.Variant = R.CLUSTER) -> str:
     start = "v_seeds"
     for number in range(1, passes + 1):
         extra.update(_pass_views(number, start, variant))
-        start = f"v_r_{'abcdefghijklmno'[number - 1]}"
+        start = f"v_r_{_TAGS[number - 1]}"
+    return with_views(body, extra)
+
+
+def _change_sql(number: int) -> str:
+    """Pass and largest change over (article, label) against the pass before."""
+    new, old = _TAGS[number - 1], _TAGS[number - 2]
+    return f"""select {number} as pass,
+          max(abs(coalesce(x.value, 0) - coalesce(y.value, 0))) as max_change
+        from (select * from v_r_{new} where node_type = 'a') x
+        full join (select * from v_r_{old} where node_type = 'a') y using (node, label)"""
+
+
+def converged_sql(body: str, variant: R.Variant = R.CLUSTER) -> str:
+    """``body`` over all passes; v_last has the ranks of the pass that ends the loop.
+
+    That is the first one from the second on whose change is within the tolerance, or the
+    last one allowed. SQL has no early end, so all passes are worked out.
+    """
+    numbers = range(1, variant.max_passes + 1)
+    extra: dict[str, str] = {}
+    start = "v_seeds"
+    for number in numbers:
+        extra.update(_pass_views(number, start, variant))
+        start = f"v_r_{_TAGS[number - 1]}"
+    extra["v_changes"] = "\nunion all ".join(_change_sql(n) for n in numbers if n > 1)
+    extra["v_stop"] = f"""select coalesce(min(pass), {variant.max_passes}) as stop
+                         from v_changes where max_change <= {variant.tolerance}"""
+    extra["v_last"] = "\nunion all ".join(
+        f"select * from v_r_{_TAGS[n - 1]} where {n} = (select stop from v_stop)" for n in numbers)
     return with_views(body, extra)
 
 
@@ -131,32 +152,25 @@ def _rank_rows(view: str) -> str:
 _EDGE = "select src_type, src, dst_type, dst from v_edges where "
 
 REC_VIEW = """(select label, cast(node as bigint) as article_id, value as article_rank
-               from v_r_b where node_type = 'a')"""
+               from v_last where node_type = 'a')"""
 
 
 def recs_sql(order: str, columns: str) -> str:
-    return passes_sql(
+    return converged_sql(
         f"""select {columns} from (
               select r.*, n.category, n.headline, n.link, row_number() over (
                 partition by label order by {rounded_sql("article_rank", 12)} {order}, r.article_id)
                 as position
               from {REC_VIEW} r join v_news n on n.id = r.article_id)
-            where position <= 15""",
-        REC_PASSES,
-    )
+            where position <= 15""")
 
 
-_CHANGES = "\nunion all ".join(
-    f"""select {number} as pass,
-          {rounded_sql("max(abs(coalesce(x.value, 0) - coalesce(y.value, 0)))", 8)} as max_change
-        from (select * from v_r_{new} where node_type = 'a') x
-        full join (select * from v_r_{old} where node_type = 'a') y using (node, label)"""
-    for number, old, new in [(2, "a", "b"), (3, "b", "c"), (4, "c", "d")]
-)
+_CHANGES = f"""select pass, {rounded_sql("max_change", 8)} as max_change
+               from v_changes where pass <= (select stop from v_stop)"""
 
 _RANK_OUT = f"""select label, cast(node as bigint) as article_id,
                       {rounded_sql('value', 8)} as article_rank
-               from v_r_d where node_type = 'a'"""
+               from v_last where node_type = 'a'"""
 
 _REC_COLUMNS = ("label, position, article_id, category, headline, link, "
                 f"{rounded_sql('article_rank', 8)} as article_rank")
@@ -208,9 +222,9 @@ ORACLES = {
     "drop_self": passes_sql(_rank_rows("v_noself_b"), 2),
     "reseed": passes_sql(_rank_rows("v_seeded_b"), 2),
     "prune": passes_sql(_rank_rows("v_r_b"), 2),
-    "convergence": passes_sql(_CHANGES, RANK_PASSES),
-    "social_rank": passes_sql(_RANK_OUT, RANK_PASSES),
-    "social_rank_local": passes_sql(_RANK_OUT, RANK_PASSES, R.LOCAL),
+    "convergence": converged_sql(_CHANGES),
+    "social_rank": converged_sql(_RANK_OUT),
+    "social_rank_local": converged_sql(_RANK_OUT, R.LOCAL),
     "user_recs_top15": recs_sql("desc", _REC_COLUMNS),
     "user_recs_lowest15": recs_sql("asc", _REC_COLUMNS),
 }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from graphfeed.functions.scalars import rounded
 from graphfeed.lineage import scratch_path
 from graphfeed.operators import recommend
-from graphfeed.plans.ranking import REC_PASSES, REC_VIEW, passes_sql, rec_ranks, recs_sql
+from graphfeed.plans.ranking import REC_VIEW, converged_sql, rec_ranks, recs_sql
 from graphfeed.plans.views_sql import rounded_sql, with_views
 from graphfeed.sources import articles, items, ranks
 from graphfeed.sources.tables import Tables
@@ -123,13 +123,13 @@ ORACLES = {
           select distinct invitee, inviter from v_invites where chat_id is null)
         union all select 'group_invite', count(*) from (
           select distinct invitee, inviter, chat_id from v_invites where chat_id is not null)"""),
-    "recs_sink_replace": passes_sql(
-        f"select label, article_id, {_RANK} from {REC_VIEW}", REC_PASSES),
-    "recs_sink_upsert": passes_sql(
+    "recs_sink_replace": converged_sql(
+        f"select label, article_id, {_RANK} from {REC_VIEW}"),
+    "recs_sink_upsert": converged_sql(
         f"""select label, article_id, {_RANK} from (
               select label, article_id, article_rank * 2 as article_rank from {REC_VIEW}
               where article_id % 2 = 0 and article_id % 3 <> 0
-              union all select * from {REC_VIEW} where article_id % 3 = 0)""", REC_PASSES),
+              union all select * from {REC_VIEW} where article_id % 3 = 0)"""),
     "user_recs_sink": recs_sql(
         "desc", """label, string_agg(cast(article_id as varchar), ',' order by position) as recs,
                    count(*) as n_recs""").replace(
