@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphfeed.functions.stemmer import with_stem
 from graphfeed.lineage import stored
-from graphfeed.operators.skew import skew_join
 
-TOKEN = "[a-z0-9']+"
+# letters and digits of any script
+TOKEN = r"[\p{L}\p{N}']+"
+
+# Partitions of a written index.
+BUCKETS = 32
 
 # English words without content of their own, the default stop list.
 STOP_WORDS = (
@@ -50,25 +53,37 @@ def build_index(
     postings = tokens(news, stop_words).distinct()
     if not stem:
         return postings.select(F.col("token").alias("keyword"), "article_id")
-    joined = skew_join(postings, stem_tokens(postings), ["token"])
+    joined = postings.join(stem_tokens(postings), ["token"])
     return joined.select(F.col("stem").alias("keyword"), "article_id").distinct()
 
 
-def write_index(index: DataFrame, path: str, buckets: int = 32) -> DataFrame:
+def write_index(index: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
     """Store by keyword bucket; a lookup of known keywords reads only their buckets."""
-    bucket = F.pmod(F.xxhash64("keyword"), F.lit(buckets)).cast("int")
-    index.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(path)
+    rows = index.withColumn("bucket", _bucket(buckets)).repartition("bucket", "keyword")
+    rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
     return index.sparkSession.read.schema("keyword string, article_id long, bucket int").parquet(path)
 
 
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("keyword"), F.lit(buckets)).cast("int")
+
+
+def postings_of(index: DataFrame, keywords: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """The part of a written index in the buckets of the asked keywords.
+
+    Bucket numbers are at most ``buckets`` values, told to the scan as a partition filter.
+    """
+    asked = [r[0] for r in keywords.select(_bucket(buckets)).distinct().collect()]
+    return index.filter(F.col("bucket").isin(asked)).drop("bucket")
+
+
 def query_keywords(queries: DataFrame, stem: bool = True) -> DataFrame:
-    """(query_id, keyword, keyword_position): the text split on spaces, lower case."""
-    words = queries.select(
-        "query_id", F.posexplode(F.split(F.lower("text"), " ")).alias("_pos", "token")
-    ).filter(F.col("token") != "")
+    """(query_id, keyword, keyword_position): the tokens of the text as in headlines."""
+    found = F.regexp_extract_all(F.lower("text"), F.lit(f"({TOKEN})"), F.lit(1))
+    words = queries.select("query_id", F.posexplode(found).alias("_pos", "token"))
     keyword = "token"
     if stem:
-        words = skew_join(words, stem_tokens(words), ["token"])
+        words = words.join(stem_tokens(words), ["token"])
         keyword = "stem"
     return words.groupBy("query_id", F.col(keyword).alias("keyword")).agg(
         F.min("_pos").alias("keyword_position")
@@ -86,14 +101,17 @@ def search(
     is exact, and no query meets a whole list of a frequent word.
     """
     place = F.row_number().over(Window.partitionBy("keyword").orderBy("article_id"))
+    asked = query_keywords(queries, stem)
+    if "bucket" in index.columns:
+        asked = stored(asked, "asked")
+        index = postings_of(index, asked)
     heads = (
         index.select("keyword", "article_id")
         .withColumn("_place", place)
         .filter(F.col("_place") <= n)
         .drop("_place")
     )
-    asked = query_keywords(queries, stem)
-    hits = skew_join(asked, heads, ["keyword"]).groupBy("query_id", "article_id").agg(
+    hits = asked.join(heads, ["keyword"]).groupBy("query_id", "article_id").agg(
         F.min("keyword_position").alias("keyword_position")
     )
     order = Window.partitionBy("query_id").orderBy("keyword_position", "article_id")
@@ -101,6 +119,6 @@ def search(
         F.col("position") <= n
     )
     shown = news.select(F.col("id").alias("article_id"), "headline", "authors", "link")
-    return skew_join(best, shown, ["article_id"]).select(
+    return best.join(shown, ["article_id"]).select(
         "query_id", "position", "article_id", "headline", "authors", "link"
     )
