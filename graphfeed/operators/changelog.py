@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphfeed.operators.skew import newest, previous_within, skew_join
+from graphfeed.operators.skew import newest, previous_within
 
 ORDER = ["op_ts", "op_id"]
 
@@ -70,6 +70,6 @@ def delete_returning(
     """(deleted rows, kept rows)."""
     asked = deletes.select(*keys).distinct()
     return (
-        skew_join(table, asked, keys, "left_semi"),
-        skew_join(table, asked, keys, "left_anti"),
+        table.join(asked, keys, "left_semi"),
+        table.join(asked, keys, "left_anti"),
     )

@@ -2,24 +2,28 @@
 
 Membership is one row per (chat, member). Two chats with the same members are found by a
 fingerprint of the member set: the number of members and the exclusive-or of four 60-bit
-pieces of each member's SHA-256. It is summed per chat without collecting the members, and
-adding one member to a set is one operation on the fingerprint. Sets differ in it unless 240
-bits of SHA-256 collide.
+pieces of each member's keyed SHA-256. It is summed per chat without collecting the members,
+and adding one member to a set is one operation on the fingerprint. The key is drawn anew by
+each process and never stored, so nobody can choose names whose fingerprints agree; unequal
+sets agree by chance with probability 2^-240.
 """
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphfeed.operators.skew import number_within, skew_join
+from graphfeed.operators.skew import number_within
 
 _PIECES = range(4)
+_KEY = secrets.token_hex(32)
 SET_KEY = ["n_members", *[f"h{i}" for i in _PIECES]]
 
 
 def _hash_piece(member: str, i: int) -> Column:
-    digits = F.substring(F.sha2(F.col(member), 256), 15 * i + 1, 15)
+    digits = F.substring(F.sha2(F.concat(F.lit(_KEY), F.col(member)), 256), 15 * i + 1, 15)
     return F.conv(digits, 16, 10).cast("long")
 
 
@@ -35,9 +39,7 @@ def user_chats(membership: DataFrame) -> DataFrame:
 def chat_members(membership: DataFrame) -> DataFrame:
     """Members per chat with the size of the chat."""
     sizes = membership.groupBy("chat_id").agg(F.count(F.lit(1)).alias("n_members"))
-    return skew_join(
-        membership, sizes, ["chat_id"], sizes=sizes.withColumnRenamed("n_members", "n")
-    )
+    return membership.join(sizes, ["chat_id"])
 
 
 def chat_history(messages: DataFrame, hot_rows: int | None = None) -> DataFrame:
@@ -52,9 +54,7 @@ def append_messages(
 
     ``new`` has (chat_id, sender, op_id, text); the order among new ones is op_id.
     """
-    allowed = skew_join(
-        new, membership.withColumnRenamed("member", "sender"), ["chat_id", "sender"], "left_semi"
-    )
+    allowed = new.join(membership.withColumnRenamed("member", "sender"), ["chat_id", "sender"], "left_semi")
     old_rows = messages.select(
         "chat_id", F.lit(0).alias("_new"), F.col("turn").alias("_at"), "text"
     )
@@ -82,13 +82,13 @@ def valid_invites(attempts: DataFrame, friends: DataFrame, presence: DataFrame)
     """Attempts (usr, friend) whose target is a friend and online."""
     pairs = friends.select(F.col("src").alias("usr"), F.col("dst").alias("friend"))
     online = presence.filter("is_online").select(F.col("id").alias("friend"))
-    known = skew_join(attempts, pairs, ["usr", "friend"], "left_semi")
-    return skew_join(known, online, ["friend"], "left_semi")
+    known = attempts.join(pairs, ["usr", "friend"], "left_semi")
+    return known.join(online, ["friend"], "left_semi")
 
 
 def chats_by_ids(membership: DataFrame, ids: DataFrame) -> DataFrame:
     wanted = ids.select("chat_id").filter(F.col("chat_id").isNotNull()).distinct()
-    return skew_join(membership, wanted, ["chat_id"], "left_semi")
+    return membership.join(wanted, ["chat_id"], "left_semi")
 
 
 # -- member sets ------------------------------------------------------------------------
@@ -113,19 +113,14 @@ def duplicate_chats(membership: DataFrame) -> DataFrame:
     """Chats that share their member set with others, with the first such chat."""
     keys = set_keys(membership)
     groups = _representatives(keys)
-    joined = skew_join(
-        keys,
-        groups.filter(F.col("n_chats") > 1),
-        SET_KEY,
-        sizes=groups.withColumnRenamed("n_chats", "n"),
-    )
+    joined = keys.join(groups.filter(F.col("n_chats") > 1), SET_KEY)
     return joined.select("first_chat", "chat_id", "n_members", "n_chats")
 
 
 def find_matching_chats(membership: DataFrame, candidates: DataFrame) -> DataFrame:
     """For each candidate set (set_id, member): the first chat with it and their number."""
     wanted = set_keys(candidates.distinct(), "set_id")
-    found = skew_join(wanted, _representatives(set_keys(membership)), SET_KEY)
+    found = wanted.join(_representatives(set_keys(membership)), SET_KEY)
     return found.select("set_id", "first_chat", "n_chats")
 
 
@@ -139,7 +134,7 @@ def accept_invites(invites: DataFrame, membership: DataFrame) -> DataFrame:
             f"h{i}", _hash_piece("invitee", i).bitwiseXOR(_hash_piece("inviter", i))
         )
     known = _representatives(set_keys(membership)).filter(F.col("n_members") == 2)
-    found = skew_join(asked, known, SET_KEY, "left")
+    found = asked.join(known, SET_KEY, "left")
     new_id = F.sha2(F.concat_ws(",", *pair), 256)
     return found.select(
         "invitee",
@@ -158,8 +153,8 @@ def accept_group_invites(invites: DataFrame, membership: DataFrame) -> DataFrame
     inbox = group_invite_inbox(invites)
     keys = set_keys(membership)
     inside = membership.select("chat_id", F.col("member").alias("invitee"), F.lit(True).alias("_in"))
-    asked = skew_join(inbox, keys, ["chat_id"])
-    asked = skew_join(asked, inside, ["chat_id", "invitee"], "left")
+    asked = inbox.join(keys, ["chat_id"])
+    asked = asked.join(inside, ["chat_id", "invitee"], "left")
     is_in = F.col("_in").isNotNull()
     for i in _PIECES:
         larger = F.col(f"h{i}").bitwiseXOR(_hash_piece("invitee", i))
@@ -167,12 +162,12 @@ def accept_group_invites(invites: DataFrame, membership: DataFrame) -> DataFrame
     asked = asked.withColumn(
         "n_members", F.col("n_members") + F.when(is_in, 0).otherwise(1)
     ).drop("_in")
-    found = skew_join(asked, _representatives(keys), SET_KEY, "left")
+    found = asked.join(_representatives(keys), SET_KEY, "left")
     origin = F.struct("chat_id", "invitee")
     named = found.filter(F.col("first_chat").isNull()).groupBy(*SET_KEY).agg(
         F.min(origin).alias("_origin")
     )
-    found = skew_join(found, named, SET_KEY, "left")
+    found = found.join(named, SET_KEY, "left")
     new_id = F.sha2(F.concat_ws(":", F.col("_origin.chat_id").cast("string"),
                                 F.col("_origin.invitee")), 256)
     return found.select(
@@ -194,7 +189,7 @@ def new_group_members(accepted: DataFrame, membership: DataFrame) -> DataFrame:
         .select("entered_chat", F.col("origin_chat").alias("chat_id"), "origin_invitee")
         .distinct()
     )
-    old = skew_join(membership, made.select("chat_id", "entered_chat"), ["chat_id"]).select(
+    old = membership.join(made.select("chat_id", "entered_chat"), ["chat_id"]).select(
         "entered_chat", "member"
     )
     joining = made.select("entered_chat", F.col("origin_invitee").alias("member"))
@@ -203,10 +198,7 @@ def new_group_members(accepted: DataFrame, membership: DataFrame) -> DataFrame:
 
 def leave(membership: DataFrame, leavers: DataFrame) -> DataFrame:
     """Membership after leaving; a chat without members keeps one row with null."""
-    left = skew_join(
-        membership, leavers.select("chat_id", "member").distinct(), ["chat_id", "member"],
-        "left_anti",
-    )
+    left = membership.join(leavers.select("chat_id", "member").distinct(), ["chat_id", "member"], "left_anti")
     chats = membership.select("chat_id").distinct()
     emptied = chats.join(left.select("chat_id").distinct(), "chat_id", "left_anti")
     return left.unionByName(emptied, allowMissingColumns=True)

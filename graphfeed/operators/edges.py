@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphfeed.operators.skew import skew_join
 
 USER, ARTICLE, CATEGORY = "u", "a", "c"
 EDGE_COLUMNS = ["src_type", "src", "dst_type", "dst"]
@@ -93,9 +92,7 @@ def weighted_edges(edges: DataFrame, shares: dict[str, float] = USER_SHARES) ->
     """
     keys = ["src_type", "src", "edge_class"]
     degrees = node_degrees(edges)
-    joined = skew_join(
-        _with_class(edges), degrees, keys, sizes=degrees.withColumnRenamed("degree", "n")
-    )
+    joined = _with_class(edges).join(degrees, keys)
     share = F.lit(1.0)
     for dst_type, value in shares.items():
         share = F.when(

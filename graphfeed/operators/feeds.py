@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphfeed.operators.skew import number_within, skew_join
+from graphfeed.operators.skew import number_within
 
 
 def newest_first(id_col: str, ts: str = "ts") -> list[Column]:
@@ -35,7 +35,7 @@ def comment_summary(comments: DataFrame) -> DataFrame:
 
 
 def with_comment_summary(posts: DataFrame, comments: DataFrame) -> DataFrame:
-    joined = skew_join(posts, comment_summary(comments), ["post_id"], "left")
+    joined = posts.join(comment_summary(comments), ["post_id"], "left")
     return joined.withColumn("n_comments", F.coalesce("n_comments", F.lit(0)).cast("long"))
 
 
@@ -61,7 +61,7 @@ def attach_comments(
             F.col("text").alias("text"), F.col("likes").alias("likes"), "commenter"
         ).alias("comment"),
     )
-    left = skew_join(shown, posts, ["post_id"], "inner", hot_rows)
+    left = shown.join(posts, ["post_id"])
     silent = posts.join(comments.select("post_id").distinct(), "post_id", "left_anti")
     return left.unionByName(silent, allowMissingColumns=True)
 
@@ -106,20 +106,20 @@ def _feed(
 ) -> DataFrame:
     """Join readers to posts and number each reader's feed.
 
-    How long a feed gets is known from post counts, before any post is joined.
+    With ``n`` only an author's newest ``n`` posts can be in a feed, so the others are left out
+    before any reader meets them. Without it, how long a feed gets is known from post counts.
     """
-    per_author = posts.groupBy("author").agg(F.count(F.lit(1)).alias("n"))
-    reached = skew_join(pairs, per_author, ["author"])
-    lengths = reached.groupBy("reader").agg(F.sum("n").alias("n"))
-    joined = skew_join(rows, pairs, ["author"], "inner", hot_rows, sizes=per_author)
+    newest = newest_first("post_id")
     if n is not None:
-        position = F.row_number().over(
-            Window.partitionBy("reader").orderBy(*newest_first("post_id"))
-        )
-        return joined.withColumn("position", position.cast("long")).filter(F.col("position") <= n)
+        recent = F.row_number().over(Window.partitionBy("author").orderBy(*newest))
+        rows = rows.withColumn("_recent", recent).filter(F.col("_recent") <= n).drop("_recent")
+        position = F.row_number().over(Window.partitionBy("reader").orderBy(*newest))
+        return (rows.join(pairs, ["author"])
+                .withColumn("position", position.cast("long")).filter(F.col("position") <= n))
+    per_author = posts.groupBy("author").agg(F.count(F.lit(1)).alias("n"))
+    lengths = pairs.join(per_author, ["author"]).groupBy("reader").agg(F.sum("n").alias("n"))
     return number_within(
-        joined, ["reader"], newest_first("post_id"), hot_rows=hot_rows, sizes=lengths
-    )
+        rows.join(pairs, ["author"]), ["reader"], newest, hot_rows=hot_rows, sizes=lengths)
 
 
 def home_feed(
@@ -143,13 +143,9 @@ def wall_feed(
     """Own posts and friends' posts written on the user's wall."""
     own = posts.withColumn("reader", F.col("author"))
     # author and wall owner must be friends: one row per post, so nothing fans out
-    by_friends = skew_join(
-        posts.filter(F.col("wall").isNotNull()).withColumn("reader", F.col("wall")),
-        friends.select(F.col("src").alias("reader"), F.col("dst").alias("author")),
-        ["reader", "author"],
-        "left_semi",
-        hot_rows,
-    )
+    pairs = friends.select(F.col("src").alias("reader"), F.col("dst").alias("author"))
+    on_walls = posts.filter(F.col("wall").isNotNull()).withColumn("reader", F.col("wall"))
+    by_friends = on_walls.join(pairs, ["reader", "author"], "left_semi")
     rows = own.unionByName(by_friends)
     rows = with_comment_summary(rows, comments)
     return number_within(rows, ["reader"], newest_first("post_id"), hot_rows=hot_rows)
@@ -168,6 +164,4 @@ def feed_comments(feed: DataFrame, comments: DataFrame) -> DataFrame:
         [F.col("ts").asc(), F.col("comment_id").asc()],
         "comment_position",
     ).select("post_id", "comment_position", "comment_id", "commenter", "text")
-    return skew_join(
-        feed.select("reader", "position", "post_id"), numbered, ["post_id"]
-    )
+    return feed.select("reader", "position", "post_id").join(numbered, ["post_id"])

@@ -32,7 +32,7 @@ from graphfeed.operators.skew import skew_join
 
 RANK_COLUMNS = ["node_type", "node", "label", "value"]
 
-# More edges than this are joined by shuffling instead of broadcasting.
+# With more edges or seeds than this the loop joins by shuffling instead of broadcasting.
 BROADCAST_EDGES = 2_000_000
 
 # Sums of (label, node) that one task of a pass should hold at once.
@@ -94,7 +94,7 @@ def label_totals(ranks: DataFrame) -> DataFrame:
 
 def normalise_by_label(ranks: DataFrame) -> DataFrame:
     """Totals are per label over all nodes, not per node."""
-    joined = skew_join(ranks, label_totals(ranks), ["label"])
+    joined = ranks.join(label_totals(ranks), ["label"])
     return joined.withColumn("value", F.col("value") / F.col("total")).select(*RANK_COLUMNS)
 
 
@@ -131,13 +131,15 @@ class _Graph:
         """Join a table no larger than the edges: one row per node, label or edge."""
         if self.broadcast:
             return ranks.join(F.broadcast(table), keys, how)
-        return skew_join(ranks, table, keys, how)
+        return ranks.join(table, keys, how)
 
 
 def _number_nodes(edges: DataFrame, seeds: DataFrame, broadcast_edges: int) -> _Graph:
     """Give nodes whole numbers, so that the loop joins and groups on longs."""
     edges = stored(edges, "edges")
-    few = edges.count() <= broadcast_edges
+    seeds = stored(seeds, "given-seeds")
+    # nodes and labels are no more than two per edge and one per seed, so both bounds hold for all
+    few = edges.count() <= broadcast_edges and seeds.count() <= broadcast_edges
     names = (
         edges.select(F.col("src_type").alias("type"), F.col("src").alias("name"))
         .unionByName(edges.select(F.col("dst_type").alias("type"), F.col("dst").alias("name")))
@@ -157,7 +159,7 @@ def _number_nodes(edges: DataFrame, seeds: DataFrame, broadcast_edges: int) -> _
         )
         if few:
             return df.join(F.broadcast(numbers), [type_col, name_col])
-        return skew_join(df, numbers, [type_col, name_col])
+        return df.join(numbers, [type_col, name_col])
 
     numbered = with_number(edges, "src_type", "src", "src_id")
     numbered = with_number(numbered, "dst_type", "dst", "dst_id")
@@ -183,7 +185,7 @@ def _number_nodes(edges: DataFrame, seeds: DataFrame, broadcast_edges: int) -> _
     if few:
         from_categories = from_categories.join(F.broadcast(counted), "dst")
     else:
-        from_categories = skew_join(from_categories, counted, ["dst"])
+        from_categories = from_categories.join(counted, ["dst"])
     return _Graph(
         nodes,
         numbered,
@@ -307,11 +309,11 @@ def _moved(ranks: DataFrame, graph: _Graph, limit: float) -> DataFrame:
 
     asked = near.filter((F.col("reach") > 0) & (F.col("reach") <= limit)).select("node", "label")
     into = graph.from_categories.select(F.col("dst").alias("node"), "src", "weight")
-    found = skew_join(
-        graph.lookup(asked, into, ["node"]),
-        held.withColumnRenamed("node", "src"),
-        ["label", "src"],
-    ).select("node", "label", (F.col("value") * F.col("weight")).alias("value"))
+    found = (
+        graph.lookup(asked, into, ["node"])
+        .join(held.withColumnRenamed("node", "src"), ["label", "src"])
+        .select("node", "label", (F.col("value") * F.col("weight")).alias("value"))
+    )
 
     parts = near.select("node", "label", "value").unionByName(moved).unionByName(found)
     return parts.groupBy("node", "label").agg(F.sum("value").alias("value"))

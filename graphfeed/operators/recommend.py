@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphfeed.functions.scalars import rounded
-from graphfeed.operators.skew import skew_join
 
 
 def top_recs(ranks: DataFrame, news: DataFrame, n: int = 15, order: str = "desc") -> DataFrame:
@@ -17,9 +16,7 @@ def top_recs(ranks: DataFrame, news: DataFrame, n: int = 15, order: str = "desc"
     """
     rank = rounded(F.col("article_rank"), 12)
     first = rank.desc() if order == "desc" else rank.asc()
-    known = skew_join(
-        ranks, news.select(F.col("id").alias("article_id")), ["article_id"], "left_semi"
-    )
+    known = ranks.join(news.select(F.col("id").alias("article_id")), ["article_id"], "left_semi")
     position = F.row_number().over(Window.partitionBy("label").orderBy(first, "article_id"))
     return known.withColumn("position", position.cast("long")).filter(F.col("position") <= n)
 
@@ -27,7 +24,7 @@ def top_recs(ranks: DataFrame, news: DataFrame, n: int = 15, order: str = "desc"
 def with_article(recs: DataFrame, news: DataFrame) -> DataFrame:
     """Join the article columns that a recommendation shows."""
     shown = news.select(F.col("id").alias("article_id"), "category", "headline", "link")
-    return skew_join(recs, shown, ["article_id"])
+    return recs.join(shown, ["article_id"])
 
 
 def on_shifted_date(news: DataFrame, today: str, year: int = 2017) -> DataFrame:

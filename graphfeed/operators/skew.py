@@ -1,8 +1,10 @@
 """Operators that stay balanced when one key holds a large part of the rows.
 
-``HOT_ROWS`` is the number of rows of one key that a single task may be given. Keys
-above it are split; there are at most ``rows / HOT_ROWS`` of them, which bounds what is
-broadcast here.
+Plain equi-joins are left to adaptive execution, which splits oversize partitions of either
+side when it has seen them. What it cannot split is cut here: windows over a hot group, and
+many-to-many joins of a known hot key. ``HOT_ROWS`` is the number of rows of one key that a
+single task may be given. Keys above it are split; there are at most ``rows / HOT_ROWS`` of
+them, which bounds what is broadcast here.
 """
 
 from __future__ import annotations
@@ -16,14 +18,6 @@ from graphfeed.lineage import stored
 
 HOT_ROWS = 1_000_000
 
-# An input estimated below this many bytes cannot contain a hot key worth looking for.
-SMALL_INPUT_BYTES = 64 << 20
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate, without running anything."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
 
 def hot_keys(sizes: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys above the limit with the number of pieces each has to be cut into."""
@@ -42,28 +36,26 @@ def skew_join(
 ) -> DataFrame:
     """Join on ``keys`` where ``big`` may hold very many rows of one key.
 
-    Rows of a hot key take one of its pieces by their own content; the matching rows of
-    ``small`` are repeated once per piece. Other keys are joined as they are. ``how`` is
-    any type that keeps at most the rows of ``big``: inner, left, left_semi, left_anti. A
-    stream is joined as it is, since a micro-batch is bounded by its trigger.
+    Rows of a hot key take its pieces in turn, so equal rows spread too; the matching rows of
+    ``small`` are repeated once per piece. Other keys are joined as they are. ``how`` is any
+    type that keeps at most the rows of ``big``: inner, left, left_semi, left_anti. ``big``
+    should be a written table, whose rows keep their places. ``sizes`` may give its rows per
+    key as (keys, n).
     """
     hot_rows = hot_rows or HOT_ROWS
     keys = list(keys)
-    if big.isStreaming:
-        return big.join(small, keys, how)
-    if hot_rows >= HOT_ROWS and estimated_bytes(big) <= SMALL_INPUT_BYTES:
-        return big.join(small, keys, how)
     if sizes is None:
         sizes = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(sizes, keys, hot_rows)
+    hot = stored(hot_keys(sizes, keys, hot_rows), "hot-keys")
     if hot.isEmpty():
         return big.join(small, keys, how)
-    hot = F.broadcast(stored(hot, "hot-keys"))
+    hot = F.broadcast(hot)
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
     salted = (
-        big.join(hot, keys, "left")
-        .withColumn("_piece", F.pmod(F.xxhash64(*big.columns), pieces).cast("int"))
-        .drop("_pieces")
+        big.withColumn("_turn", F.monotonically_increasing_id())
+        .join(hot, keys, "left")
+        .withColumn("_piece", F.pmod("_turn", pieces).cast("int"))
+        .drop("_pieces", "_turn")
     )
     repeated = (
         small.join(hot, keys, "left")
@@ -86,21 +78,21 @@ def number_within(
     Ordinary groups use ``row_number``. Groups above ``hot_rows`` (and the whole table, if
     ``keys`` is empty) are range-partitioned by key and order instead, so that no task sorts
     a whole hot group; the start of each range follows from row counts. ``sizes`` may give
-    the group sizes as (keys, n) where they are known more cheaply than by counting ``df``.
+    the group sizes as (keys, n) where they are known more cheaply than by counting ``df``;
+    without it ``df`` is written once and counted there, so that its plan runs one time.
     """
     hot_rows = hot_rows or HOT_ROWS
     keys = list(keys)
     if not keys:
         return _number_by_range(df, [], order, name)
     ordinary = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    if hot_rows >= HOT_ROWS and estimated_bytes(df) <= SMALL_INPUT_BYTES:
-        return df.withColumn(name, ordinary.cast("long"))
     if sizes is None:
+        df = stored(df, "to-number")
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(sizes, keys, hot_rows).drop("_pieces")
+    hot = stored(hot_keys(sizes, keys, hot_rows).drop("_pieces"), "hot-keys")
     if hot.isEmpty():
         return df.withColumn(name, ordinary.cast("long"))
-    hot = F.broadcast(stored(hot, "hot-keys"))
+    hot = F.broadcast(hot)
     cold_rows = df.join(hot, keys, "left_anti").withColumn(name, ordinary.cast("long"))
     hot_rows_df = df.join(hot, keys, "left_semi")
     return cold_rows.unionByName(_number_by_range(hot_rows_df, keys, order, name))
@@ -146,8 +138,7 @@ def previous_within(
     hot_rows = hot_rows or HOT_ROWS
     keys = list(keys)
     lagged = F.lag(value).over(Window.partitionBy(*keys).orderBy(*order))
-    if hot_rows >= HOT_ROWS and estimated_bytes(df) <= SMALL_INPUT_BYTES:
-        return df.withColumn(name, lagged)
+    df = stored(df, "to-lag")
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     if hot_keys(sizes, keys, hot_rows).isEmpty():
         return df.withColumn(name, lagged)

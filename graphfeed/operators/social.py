@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphfeed.operators.skew import newest, number_within, skew_join
+from graphfeed.operators.skew import newest, number_within
 
 
 def lookup(users: DataFrame, wanted: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Profiles of the wanted ids; all columns or only ``cols``."""
-    found = skew_join(users, wanted.select("id").distinct(), ["id"], "left_semi")
+    found = users.join(wanted.select("id").distinct(), ["id"], "left_semi")
     return found.select("id", *cols) if cols else found
 
 
@@ -38,7 +38,7 @@ def match_users(users: DataFrame, terms: DataFrame) -> DataFrame:
         .select("id", F.substring("id", F.col("_at"), F.col("_len")).alias("term"))
         .distinct()
     )
-    return skew_join(pieces, asked, ["term"])
+    return pieces.join(asked, ["term"])
 
 
 def presence_now(log: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def presence_now(log: DataFrame) -> DataFrame:
 def friends_with_presence(friends: DataFrame, presence: DataFrame) -> DataFrame:
     """Each friendship with the friend's status; unknown users keep null."""
     status = presence.select(F.col("id").alias("dst"), "is_online", "last_seen")
-    return skew_join(friends, status, ["dst"], "left")
+    return friends.join(status, ["dst"], "left")
 
 
 def friends_of(friends: DataFrame, hot_rows: int | None = None) -> DataFrame:
@@ -87,14 +87,9 @@ def expand_friends(friends: DataFrame, opened: DataFrame) -> DataFrame:
     ``opened`` holds (viewer, friend) rows. A list is fetched only for an opened friend, so
     the result is as large as the lists that were asked for.
     """
-    asked = skew_join(
-        opened.distinct(),
-        friends.select(F.col("src").alias("viewer"), F.col("dst").alias("friend")),
-        ["viewer", "friend"],
-        "left_semi",
-    )
+    asked = opened.distinct().join(friends.select(F.col("src").alias("viewer"), F.col("dst").alias("friend")), ["viewer", "friend"], "left_semi")
     lists = friends.select(F.col("src").alias("friend"), F.col("dst").alias("found"))
-    return skew_join(lists, asked, ["friend"]).filter(F.col("found") != F.col("viewer"))
+    return lists.join(asked, ["friend"]).filter(F.col("found") != F.col("viewer"))
 
 
 def two_hop(friends: DataFrame, opened: DataFrame) -> DataFrame:

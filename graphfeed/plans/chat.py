@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from graphfeed.operators import changelog as M
 from graphfeed.operators import chat as L
 from graphfeed.operators import social
-from graphfeed.operators.skew import skew_join
 from graphfeed.plans.views_sql import with_views
 from graphfeed.sources.tables import Tables, text_id
 from graphfeed.streaming import jobs as S
@@ -32,7 +31,7 @@ def same_member_set(t: Tables) -> DataFrame:
     both = F.explode(F.array("invitee", "inviter")).alias("member")
     name = F.concat_ws(">", "invitee", "inviter", F.col("chat_id").cast("string")).alias("set_id")
     people = invites.filter(F.col("chat_id").isNull()).select(name, both)
-    inside = skew_join(L.group_invite_inbox(invites), membership, ["chat_id"]).select(
+    inside = L.group_invite_inbox(invites).join(membership, ["chat_id"]).select(
         name, "member"
     )
     return L.find_matching_chats(membership, people.unionByName(inside))

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphfeed.operators.skew import skew_join
 
 # Sort-key marks of the stored entities (fixed values).
 PROFILE = "user"
@@ -61,7 +60,7 @@ def by_prefix(items: DataFrame, prefix: str, ids: DataFrame | None = None) -> Da
     """Items whose sort key begins with ``prefix``, of all ids or of those in ``ids``."""
     found = items.filter(F.col("user_relation").startswith(prefix))
     if ids is not None:
-        found = skew_join(found, ids.select("id").distinct(), ["id"], "left_semi")
+        found = found.join(ids.select("id").distinct(), ["id"], "left_semi")
     return found
 
 
@@ -69,7 +68,7 @@ def split_entities(items: DataFrame) -> dict[str, DataFrame]:
     """One DataFrame per entity, the mark stripped from the sort key."""
     parts = {"user": items.filter(F.col("user_relation") == PROFILE).select("id")}
     for kind, prefix in PREFIXES.items():
-        rest = F.substring("user_relation", len(prefix) + 1, 1 << 30)
+        rest = F.substring("user_relation", F.lit(len(prefix) + 1), F.length("user_relation"))
         parts[kind] = by_prefix(items, prefix).select("id", rest.alias("key"))
     return parts
 

@@ -52,7 +52,9 @@ def write_recs(ranks: DataFrame, path: str, mode: str = "replace") -> DataFrame:
         rows = kept.unionByName(ranks)
     target = f"{path}/v={(known[-1] if known else 0) + 1}"
     bucket = F.pmod(F.xxhash64("label"), F.lit(BUCKETS)).cast("int")
-    rows.withColumn("label_bucket", bucket).write.partitionBy("label_bucket").parquet(target)
+    # by label within a bucket: a bucket's files are as many as its labels fill
+    rows = rows.withColumn("label_bucket", bucket).repartition("label_bucket", "label")
+    rows.write.partitionBy("label_bucket").parquet(target)
     return read_recs(spark, path)
 
 

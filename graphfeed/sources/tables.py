@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphfeed.operators.skew import dense_index, skew_join
+from graphfeed.operators.skew import dense_index
 
 _EPOCH_MICROS = (
     "cast(cast(ts - timestamp_ntz'1970-01-01 00:00:00' as interval second)"
@@ -248,7 +248,7 @@ class Tables:
     def posts_with_text(self) -> DataFrame:
         headlines = self.news().select(F.col("id").alias("_doc"), F.col("headline").alias("text"))
         posts = self.posts().withColumn("_doc", F.col("post_id") % self.n_docs)
-        return skew_join(posts, headlines, ["_doc"]).drop("_doc")
+        return posts.join(headlines, ["_doc"]).drop("_doc")
 
     def numbered_posts(self) -> DataFrame:
         """(post_id, rn): posts counted from 0 by id, the target of comments and likes."""
@@ -257,12 +257,12 @@ class Tables:
 
     def _at_post(self, events: DataFrame, rn: F.Column) -> DataFrame:
         """Events with the post they are about; one post may get very many."""
-        return skew_join(events.withColumn("rn", rn % self.n_posts), self.numbered_posts(), ["rn"])
+        return events.withColumn("rn", rn % self.n_posts).join(self.numbered_posts(), ["rn"])
 
     def _at_comment(self, events: DataFrame, rn: F.Column) -> DataFrame:
         ids = self.events("error").select(F.col("event_id").alias("comment_id"))
         placed = events.withColumn("rn", rn % ids.count())
-        return skew_join(placed, dense_index(ids, "comment_id", "rn"), ["rn"])
+        return placed.join(dense_index(ids, "comment_id", "rn"), ["rn"])
 
     def comments(self) -> DataFrame:
         """Comment text is 'c' and the id; likes follow from the id."""

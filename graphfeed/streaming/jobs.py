@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from graphfeed.lineage import scratch_path
-from graphfeed.operators.skew import skew_join
 from graphfeed.streaming.tables import KeyedTable
 
 
+# Files a micro-batch takes at most, so that a backlog is worked off in pieces.
+FILES_PER_BATCH = 64
+
+
 def table_stream(
-    spark: SparkSession, sf_dir: str, name: str, files_per_batch: int | None = None
+    spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
     """The files of an input table as a stream; a table is one file or a folder of them."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet")
 
 
@@ -40,16 +41,13 @@ def delivered_messages(
 ) -> DataFrame:
     """A message goes to each member who has its chat open; it is stored only if the sender
     is a member. Stateless, so it runs on streams and tables alike."""
-    recipients = skew_join(
-        open_chats.withColumnRenamed("usr", "recipient"),
-        membership.withColumnRenamed("member", "recipient"),
-        ["chat_id", "recipient"],
-        "left_semi",
-    )
+    inside = membership.withColumnRenamed("member", "recipient")
+    recipients = open_chats.withColumnRenamed("usr", "recipient").join(
+        inside, ["chat_id", "recipient"], "left_semi")
     senders = membership.select("chat_id", F.col("member").alias("sender"),
                                 F.lit(True).alias("is_stored"))
-    reached = skew_join(messages, recipients, ["chat_id"])
-    return skew_join(reached, senders, ["chat_id", "sender"], "left").select(
+    reached = messages.join(recipients, ["chat_id"])
+    return reached.join(senders, ["chat_id", "sender"], "left").select(
         "chat_id", "turn", "sender", "recipient",
         F.coalesce("is_stored", F.lit(False)).alias("is_stored"),
     )
