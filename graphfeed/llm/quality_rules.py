@@ -211,8 +211,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text:
     without a join by id, so rows with null or repeated ids are judged by their own text.
     """
     marks = labels_by_id(labels, id_col)
-    marked = docs.join(marks, F.col(id_col) == F.col("_label_id")).select(
-        F.col(stratum).alias("stratum"), "good", F.col(text).alias("_text"))
+    bare = docs.select(F.col(id_col).alias("_id"), F.col(stratum).alias("stratum"),
+                       F.col(text).alias("_text"))
+    marked = bare.join(marks, F.col("_id") == F.col("_label_id")).drop("_id", "_label_id")
     on = certified_cutoffs(stored(text_counts(marked, "_text"), "labelled-counts"))
     by_stratum = on.groupBy(F.col("stratum").alias("_stratum")).agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_cutoffs"))
