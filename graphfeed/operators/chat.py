@@ -144,6 +144,20 @@ def accept_invites(invites: DataFrame, membership: DataFrame) -> DataFrame:
     )
 
 
+def new_chat_members(accepted: DataFrame) -> DataFrame:
+    """(chat_id, member) rows of the chats that ``accept_invites`` has to create."""
+    both = F.explode(F.array("invitee", "inviter")).alias("member")
+    return accepted.filter("is_new").select("chat_id", both).distinct()
+
+
+def open_invites(invites: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Private invites that are still open: an accepted one goes, and so does its opposite."""
+    done = accepted.select("invitee", "inviter")
+    both_ways = done.unionByName(done.select(
+        F.col("inviter").alias("invitee"), F.col("invitee").alias("inviter"))).distinct()
+    return invite_inbox(invites).join(both_ways, ["invitee", "inviter"], "left_anti")
+
+
 def accept_group_invites(invites: DataFrame, membership: DataFrame) -> DataFrame:
     """Accept group invites: the chat whose members are the old ones and the invitee.
 
@@ -198,7 +212,8 @@ def new_group_members(accepted: DataFrame, membership: DataFrame) -> DataFrame:
 
 def leave(membership: DataFrame, leavers: DataFrame) -> DataFrame:
     """Membership after leaving; a chat without members keeps one row with null."""
-    left = membership.join(leavers.select("chat_id", "member").distinct(), ["chat_id", "member"], "left_anti")
+    gone = leavers.select("chat_id", "member").distinct()
+    left = membership.join(gone, ["chat_id", "member"], "left_anti")
     chats = membership.select("chat_id").distinct()
     emptied = chats.join(left.select("chat_id").distinct(), "chat_id", "left_anti")
     return left.unionByName(emptied, allowMissingColumns=True)

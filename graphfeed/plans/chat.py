@@ -41,6 +41,14 @@ def append_message(t: Tables) -> DataFrame:
     return L.append_messages(t.messages(), t.new_messages(), t.membership())
 
 
+def accept_invite_open(t: Tables) -> DataFrame:
+    """The invites left when everybody accepts the one of the smallest inviter."""
+    invites = t.invites()
+    chosen = L.invite_inbox(invites).groupBy("invitee").agg(F.min("inviter").alias("inviter"))
+    taken = chosen.withColumn("chat_id", F.lit(None).cast("long"))
+    return L.open_invites(invites, L.accept_invites(taken, t.membership()))
+
+
 def accept_group_invite(t: Tables) -> DataFrame:
     return L.accept_group_invites(t.invites(), t.membership()).select(
         "invitee", "inviter", "chat_id", "entered_chat", "is_new", "n_members"
@@ -113,6 +121,9 @@ QUERIES = {
     "invite_inbox": lambda t: L.invite_inbox(t.invites()),
     "group_invite_inbox": lambda t: L.group_invite_inbox(t.invites()),
     "accept_invite": lambda t: L.accept_invites(t.invites(), t.membership()),
+    "accept_invite_members": lambda t: L.new_chat_members(
+        L.accept_invites(t.invites(), t.membership())),
+    "accept_invite_open": accept_invite_open,
     "accept_group_invite": accept_group_invite,
     "accept_group_invite_members": accept_group_invite_members,
     "leave_chat": lambda t: L.leave(t.membership(), t.leavers()),
@@ -210,6 +221,14 @@ ORACLES = {
         select invitee, inviter, coalesce(cast(first_chat as varchar), sha256({_PAIR})) as chat_id,
                first_chat is null as is_new
         from v_inbox left join v_first_chats on members = {_PAIR}"""),
+    "accept_invite_members": _sql(f"""
+        select distinct sha256({_PAIR}) as chat_id, unnest([invitee, inviter]) as member
+        from v_inbox left join v_first_chats on members = {_PAIR} where first_chat is null"""),
+    "accept_invite_open": _sql("""
+        select invitee, inviter from v_inbox i where not exists (
+          select 1 from (select invitee, min(inviter) as inviter from v_inbox group by invitee) c
+          where (c.invitee = i.invitee and c.inviter = i.inviter)
+             or (c.invitee = i.inviter and c.inviter = i.invitee))"""),
     "accept_group_invite": _sql("""
         select invitee, inviter, chat_id, entered_chat, is_new, n_members from v_entered"""),
     "accept_group_invite_members": _sql("""

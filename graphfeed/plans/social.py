@@ -32,18 +32,8 @@ def profile_lookup(t: Tables) -> DataFrame:
 
 
 def prefix_filter(t: Tables) -> DataFrame:
-    """All marked items of the users who have sent a request."""
-    askers = t.requests().select(F.col("src").alias("id"))
-    log = item_log(t)
-    parts = [
-        items.by_prefix(log, prefix, askers).select(F.lit(kind).alias("kind"), "id",
-                                                    "user_relation")
-        for kind, prefix in items.PREFIXES.items() if kind != "comment"
-    ]
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    return found
+    """All marked items of the users who have sent a request, and comments under their posts."""
+    return items.marked_of(item_log(t), t.requests().select(F.col("src").alias("id")))
 
 
 def hashtag_posts(t: Tables) -> DataFrame:
@@ -155,7 +145,10 @@ ORACLES = {
                     where chat_id is null
           union all select 'group_invite', invitee, 'GROUP#' || inviter || ',' || chat_id
                     from v_invites where chat_id is not null) m
-        where id in (select src from v_requests)"""),
+        where id in (select src from v_requests)
+        union all select 'comment', 'POST#' || c.post_id, 'COMMENT#' || c.comment_id
+        from v_comments c join v_posts p using (post_id)
+        where p.author in (select src from v_requests)"""),
     "hashtag_posts": with_views("""
         select hashtag, post_id, author,
                row_number() over (partition by hashtag order by ts desc, post_id) as position

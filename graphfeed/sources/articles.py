@@ -39,7 +39,7 @@ def read_articles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
 def read_with_line_ids(spark: SparkSession, path: str) -> DataFrame:
     """Articles with their zero-based line number over all files in path order.
 
-    A file is read in blocks. The number of a line is the number of lines in earlier blocks
+    Part files come in the order of their numbers. A file is read in blocks. The number of a line is the number of lines in earlier blocks
     plus its place in its own block, so only one row per block is ever ordered. Bad lines
     count, as they do in the file, but are left out of the result.
     """
@@ -49,15 +49,16 @@ def read_with_line_ids(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_seq"),
     )
-    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    part = F.expr("try_cast(regexp_extract(_file, 'part-([0-9]+)', 1) as bigint)")
+    earlier = Window.orderBy(part, "_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
         lines.groupBy("_file", "_block")
         .agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .drop("_n")
     )
-    # one row per file block: bounded by the bytes read over the block size
-    numbered = lines.join(F.broadcast(blocks), ["_file", "_block"]).withColumn(
+    # one row per file block
+    numbered = lines.join(blocks, ["_file", "_block"]).withColumn(
         "id", F.col("_seq") - F.col("_first") + F.col("_before")
     )
     parsed = _parsed(numbered)

@@ -21,9 +21,10 @@ PREFIXES = {
 }
 
 
-def _items(df: DataFrame, key: str | Column, relation: Column) -> DataFrame:
+def _items(df: DataFrame, kind: str, key: str | Column, relation: Column) -> DataFrame:
     key = F.col(key) if isinstance(key, str) else key
-    return df.select(key.cast("string").alias("id"), relation.alias("user_relation"))
+    return df.select(key.cast("string").alias("id"), relation.alias("user_relation"),
+                     F.lit(kind).alias("kind"))
 
 
 def _marked(kind: str, rest: str) -> Column:
@@ -39,18 +40,19 @@ def item_log(
     likes: DataFrame,
     invites: DataFrame,
 ) -> DataFrame:
+    """(id, user_relation, kind). The kind of a part is a literal, so a filter on it leaves out
+    the parts, and their scans, that cannot match."""
     private = invites.filter(F.col("chat_id").isNull())
     group = invites.filter(F.col("chat_id").isNotNull())
     parts = [
-        _items(users, "id", F.lit(PROFILE)),
-        _items(friends, "src", _marked("friend", "dst")),
-        _items(requests, "src", _marked("request", "dst")),
-        _items(posts, "author", _marked("post", "post_id")),
-        _items(comments, F.concat(F.lit(PREFIXES["post"]), F.col("post_id").cast("string")),
-               _marked("comment", "comment_id")),
-        _items(likes, "usr", _marked("articlelike", "article_id")),
-        _items(private, "invitee", _marked("invite", "inviter")),
-        _items(group, "invitee", F.concat(_marked("group_invite", "inviter"), F.lit(","),
+        _items(users, "user", "id", F.lit(PROFILE)),
+        _items(friends, "friend", "src", _marked("friend", "dst")),
+        _items(requests, "request", "src", _marked("request", "dst")),
+        _items(posts, "post", "author", _marked("post", "post_id")),
+        _items(comments, "comment", _marked("post", "post_id"), _marked("comment", "comment_id")),
+        _items(likes, "articlelike", "usr", _marked("articlelike", "article_id")),
+        _items(private, "invite", "invitee", _marked("invite", "inviter")),
+        _items(group, "group_invite", "invitee", F.concat(_marked("group_invite", "inviter"), F.lit(","),
                                           F.col("chat_id").cast("string"))),
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -64,12 +66,23 @@ def by_prefix(items: DataFrame, prefix: str, ids: DataFrame | None = None) -> Da
     return found
 
 
+def marked_of(items: DataFrame, users: DataFrame) -> DataFrame:
+    """The marked items of the users (``id``), with the comments under their posts, which are
+    kept under the post: one pass for the posts' keys and one for the items."""
+    keys = users.select("id").distinct()
+    posts = items.filter(F.col("kind") == "post").join(keys, "id", "left_semi")
+    owners = keys.unionByName(posts.select(F.col("user_relation").alias("id")).distinct())
+    return items.filter(F.col("kind") != "user").join(owners, "id", "left_semi")
+
+
 def split_entities(items: DataFrame) -> dict[str, DataFrame]:
     """One DataFrame per entity, the mark stripped from the sort key."""
-    parts = {"user": items.filter(F.col("user_relation") == PROFILE).select("id")}
+    if "kind" not in items.columns:
+        items = items.withColumn("kind", entity_kind(F.col("user_relation")))
+    parts = {"user": items.filter(F.col("kind") == "user").select("id")}
     for kind, prefix in PREFIXES.items():
         rest = F.substring("user_relation", F.lit(len(prefix) + 1), F.length("user_relation"))
-        parts[kind] = by_prefix(items, prefix).select("id", rest.alias("key"))
+        parts[kind] = items.filter(F.col("kind") == kind).select("id", rest.alias("key"))
     return parts
 
 
