@@ -1,11 +1,14 @@
 """Where intermediate tables live, and how long lineages are cut.
 
 Everything goes to the folder the cluster names in ``spark.checkpoint.dir``, so a
-lost executor never takes an intermediate result with it.
+lost executor never takes an intermediate result with it. Each application has a folder of its
+own there, which goes when its driver's Python ends.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -25,9 +28,24 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_own_folders: set[str] = set()
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of this application; nothing to do if its JVM is gone already."""
+    with contextlib.suppress(Exception):
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/graphfeed/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the application's folder below the shared one."""
+    own = f"{shared_dir(spark).rstrip('/')}/graphfeed/{spark.sparkContext.applicationId}"
+    if own not in _own_folders:
+        _own_folders.add(own)
+        atexit.register(_remove, spark, own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
