@@ -207,14 +207,14 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text:
               stratum: str = "lang") -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns.
 
-    Cutoffs come from the labels; the texts are then measured where they are and filtered,
-    without a join by id, so rows with null or repeated ids are judged by their own text.
+    Texts are measured where they are, once for the cutoffs and once for the filter, so none is
+    ever shuffled, and rows with null or repeated ids are judged by their own text.
     """
-    marks = labels_by_id(labels, id_col)
-    bare = docs.select(F.col(id_col).alias("_id"), F.col(stratum).alias("stratum"),
-                       F.col(text).alias("_text"))
-    marked = bare.join(marks, F.col("_id") == F.col("_label_id")).drop("_id", "_label_id")
-    on = certified_cutoffs(stored(text_counts(marked, "_text"), "labelled-counts"))
+    measured = stored(
+        text_counts(docs.select(F.col(id_col).alias("_id"), F.col(stratum).alias("stratum"),
+                                F.col(text).alias("_text")), "_text"), "text-counts")
+    on = certified_cutoffs(measured.join(
+        labels_by_id(labels, id_col), F.col("_id") == F.col("_label_id")))
     by_stratum = on.groupBy(F.col("stratum").alias("_stratum")).agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_cutoffs"))
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
