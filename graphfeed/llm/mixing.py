@@ -133,7 +133,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: s
     sizes = stored(rows.select("_row", F.col(f"_doc.{id_col}").alias("_id"),
                                F.col(f"_doc.{source}").alias("source"),
                                sized(F.col(f"_doc.{text}")).alias("size")), "mix-sizes")
-    often = copies(sizes, seed).filter("copies > 0").select("_row", "copies")
+    # by hash at every size: the counts are small, the texts are not to be sorted
+    often = copies(sizes, seed).filter("copies > 0").select("_row", "copies").hint("shuffle_hash")
     return (rows.join(often, "_row")
             .select("_doc", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
             .select("_doc.*"))
