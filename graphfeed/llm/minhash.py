@@ -4,14 +4,15 @@
    so copies cost one row each from then on.
 2. A node's signature of ``HASHES`` minima is cut into bands; nodes that share a band are
    candidates. At similarity 0.8 a pair misses all 32 bands of 4 with probability 5e-8.
-3. In a band, nodes are not compared all with all. In each round a band has a few pivots,
-   and every node of another component is compared with them; then the pivots leave the band.
-   Bands whose nodes are all in one component are done. Pivots grow sixteenfold per round, so
-   rounds are few, and a group of copies of any size costs about one comparison per node. A pair
-   is skipped only if its two nodes are known to be in one component.
+3. In a band, every node is first compared with one pivot, which puts a large group of copies
+   into one component at one comparison per node and band. Bands whose nodes are then all in one
+   component are done. In the others, the nodes outside the band's main component are compared
+   with all nodes of other components, in blocks of at most about ``BLOCK`` nodes a side, so no
+   task holds a whole band. A pair is skipped only if its two nodes are known to be in one
+   component, or meet in a band of a lower number.
 4. A comparison reads signatures in batches. After each batch the pair is dropped if the
    posterior probability (uniform prior) that its similarity reaches the threshold is below
-   ``MISS``. What survives is verified on the full sets.
+   ``MISS``. What survives is verified on the full sets; only links leave a block.
 
 Sets of nodes without a shared band are never built a second time.
 """
@@ -37,7 +38,8 @@ ROWS = 4
 HASHES = BANDS * ROWS
 BATCH = 16
 MISS = 1e-7
-MORE_PIVOTS = 16
+BLOCK = 2048
+BLOCK_SHINGLES = 1_000_000
 SEED = 20240229
 
 
@@ -128,7 +130,8 @@ def _sets(docs: DataFrame, doc_id: Column, text: Column, k: int, wanted: DataFra
                     schema=WITH_SET)
 
     some = docs.select(doc_id.cast("long").alias("_id"), text.cast("binary").alias("_text"))
-    want = wanted.select(F.col("_id").alias("_want")).distinct()
+    # by hash at every size: the ids are small, the texts are not to be sorted
+    want = wanted.select(F.col("_id").alias("_want")).distinct().hint("shuffle_hash")
     return some.join(want, F.col("_id").eqNullSafe(F.col("_want")), "left_semi").select(
         "_text").mapInArrow(run, "set_hash binary, shingles array<long>")
 
@@ -152,36 +155,149 @@ def least_matches(percent: int = PERCENT, miss: float = MISS, hashes: int = HASH
     return table
 
 
+def _alive(x: np.ndarray, y: np.ndarray, table: list[tuple[int, int]]) -> np.ndarray:
+    """The rows of ``x`` and ``y`` (signatures) that no batch drops."""
+    alive, seen, matches = np.arange(len(x)), 0, np.zeros(len(x), np.int64)
+    for n, least in table:
+        matches[alive] += (x[alive, seen:n] == y[alive, seen:n]).sum(axis=1)
+        alive, seen = alive[matches[alive] >= least], n
+    return alive
+
+
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, HASHES)
+
+
 def _survivors(pairs: DataFrame, percent: int, miss: float) -> DataFrame:
     """The pairs (a, b, with both signatures) that no batch drops."""
     table = least_matches(percent, miss)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), "<u4").reshape(-1, HASHES)
-                    for c in ("_sa", "_sb"))
-            alive, seen, matches = np.arange(len(x)), 0, np.zeros(len(x), np.int64)
-            for n, least in table:
-                matches[alive] += (x[alive, seen:n] == y[alive, seen:n]).sum(axis=1)
-                alive, seen = alive[matches[alive] >= least], n
-            taken = pa.array(alive)
-            yield pa.RecordBatch.from_arrays(
-                [batch["a"].take(taken), batch["b"].take(taken)], names=["a", "b"])
+            if len(batch):
+                taken = pa.array(_alive(_signatures(batch["_sa"]), _signatures(batch["_sb"]), table))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["a"].take(taken), batch["b"].take(taken)], names=["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int,
-              miss: float) -> DataFrame:
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    """How many numbers two sorted sets have in common."""
+    both = np.sort(np.concatenate([x, y]))
+    return int((both[1:] == both[:-1]).sum())
+
+
+class _Groups:
+    """Nodes of a block that are known to be linked, to skip what needs no comparison."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def top(self, node: int) -> int:
+        while (above := self.up.get(node, node)) != node:
+            self.up[node] = self.up.get(above, above)
+            node = above
+        return node
+
+    def join(self, a: int, b: int) -> None:
+        self.up[self.top(a)] = self.top(b)
+
+
+def _links_of(group: pa.RecordBatch, percent: int, table: list[tuple[int, int]]
+              ) -> list[tuple[int, int]]:
+    """Links between the outer nodes (side 0) and the nodes (side 1) of a block of a band."""
+    side, node, part, outer = (group[c].to_numpy(zero_copy_only=False)
+                               for c in ("side", "node", "component", "outer"))
+    own_band = int(group["band"][0].as_py()) & (BANDS - 1)
+    signs, sets = _signatures(group["signature"]), group["shingles"]
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    linked, links = _Groups(), []
+    for i in range(0, len(left), 64):
+        some = left[i:i + 64]
+        # two outer nodes meet twice; one time counts
+        meet = (part[some][:, None] != part[right]) & (
+            ~outer[right] | (node[some][:, None] < node[right]))
+        x, y = np.nonzero(meet)
+        x, y = some[x], right[y]
+        alive = _alive(signs[x], signs[y], table)
+        x, y = x[alive], y[alive]
+        bands = (signs[x] == signs[y]).reshape(-1, BANDS, ROWS).all(2)
+        first = bands.argmax(1) == own_band
+        for a, b in zip(x[first].tolist(), y[first].tolist(), strict=True):
+            if linked.top(int(part[a])) == linked.top(int(part[b])):
+                continue
+            one, two = sets[a].values.to_numpy(), sets[b].values.to_numpy()
+            both = _shared(one, two)
+            if 100 * both >= percent * (len(one) + len(two) - both):
+                links.append((int(node[a]), int(node[b])))
+                linked.join(int(part[a]), int(part[b]))
+    return links
+
+
+def _blocked(here: DataFrame, nodes: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Links (u, v) in open bands (``here``: band, node, component) that join all components
+    which the bands' pairs link. ``nodes`` has node, signature and shingles.
+
+    The outer nodes of a band, those outside its main component, are cut into blocks, all of its
+    nodes into chunks, and each block meets each chunk in a group of its own.
+    """
+    by_part = here.groupBy("band", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
+    main = F.struct("n", "size", "component")
+    shape = by_part.groupBy("band").agg(
+        F.max(main).alias("main"), F.sum("n").alias("_n"), F.sum("size").alias("_size"))
+    outer, outer_size = F.col("_n") - F.col("main.n"), F.col("_size") - F.col("main.size")
+    shape = shape.select("band", F.col("main.component").alias("main"), *[
+        F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_SHINGLES)).cast("int").alias(name)
+        for name, n, size in [("chunks", F.col("_n"), F.col("_size")), ("blocks", outer, outer_size)]])
+    rows = here.join(shape, "band").select(
+        "band", "node", "component", (F.col("component") != F.col("main")).alias("outer"),
+        "chunks", "blocks")
+    own = F.xxhash64("node", F.lit(1))
+
+    def side(df: DataFrame, number: int, fixed: str, spread: str) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0), F.col(f"{spread}s") - 1)).alias(spread)
+        return df.select("band", "node", "component", "outer", F.lit(number).alias("side"),
+                         F.pmod(own, F.col(f"{fixed}s")).cast("int").alias(fixed), every)
+
+    sides = side(rows.filter("outer"), 0, "block", "chunk").unionByName(
+        side(rows, 1, "chunk", "block"))
+    keys = ["band", "block", "chunk"]
+    table = least_matches(percent, miss)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups come one after another; the last one of a batch may go on in the next."""
+        def out(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            if links := _links_of(group, percent, table):
+                u, v = zip(*links, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            key = np.column_stack([batch[k].to_numpy() for k in keys])
+            before = key[0] if not held else np.array([held[-1][k][-1].as_py() for k in keys])
+            starts = np.flatnonzero((key != np.vstack([before, key[:-1]])).any(1)).tolist()
+            for i, (a, b) in enumerate(zip([0, *starts], [*starts, len(batch)], strict=True)):
+                if i and held:
+                    yield from out(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+                    held = []
+                if a < b:
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield from out(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+
+    return (sides.join(nodes, "node").repartition(*keys).sortWithinPartitions(*keys)
+            .mapInArrow(run, "u long, v long"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Edges (u, v): pairs of nodes whose full sets reach the threshold."""
-    signs = nodes.select("node", "signature")
-    both = (pairs.join(signs.toDF("a", "_sa"), "a").join(signs.toDF("b", "_sb"), "b"))
-    left = _survivors(both.select("a", "b", "_sa", "_sb"), percent, miss)
     shared = F.size(F.array_intersect("_xa", "_xb"))
     return (
-        left.join(sets.toDF("a", "_xa"), "a").join(sets.toDF("b", "_xb"), "b")
+        pairs.join(sets.toDF("a", "_xa"), "a").join(sets.toDF("b", "_xb"), "b")
         .select("a", "b", shared.alias("_both"), (F.size("_xa") + F.size("_xb")).alias("_sum"))
         .filter(100 * F.col("_both") >= percent * (F.col("_sum") - F.col("_both")))
         .select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -191,43 +307,24 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int,
 def _link(nodes: DataFrame, members: DataFrame, sets: DataFrame, percent: int,
           miss: float) -> DataFrame:
     """(node, component) of the nodes that are linked with another."""
-    known = None
-    pivots_per_band, turn = 1, 0
-    while True:
-        here = members
-        if known is None:
-            here = here.withColumn("component", F.col("node"))
-        else:
-            here = here.join(known, "node", "left").withColumn(
-                "component", F.coalesce("component", "node"))
-        open_bands = here.groupBy("band").agg(
-            F.min("component").alias("_low"), F.max("component").alias("_high")
-        ).filter("_low < _high").select("band")
-        here = stored(here.join(open_bands, "band", "left_semi"), "bands-open")
-        if here.isEmpty():
-            return known
-        slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(pivots_per_band))
-        pivots = stored(here.groupBy("band", slot.alias("_slot")).agg(
-            F.min(F.struct("node", "component")).alias("_p"))
-            .select("band", F.col("_p.node").alias("_pivot"), F.col("_p.component").alias("_pc")),
-            "pivots")
-        pairs = (
-            here.join(pivots, "band").filter(F.col("component") != F.col("_pc"))
-            .select(F.least("node", "_pivot").alias("a"), F.greatest("node", "_pivot").alias("b"))
-            .distinct()
-        )
-        edges = stored(_verified(pairs, nodes, sets, percent, miss), "links")
-        if not edges.isEmpty():
-            if known is None:
-                known = stored(components(edges), "components")
-            else:
-                known = stored(_merged(known, edges), "components")
-        elif known is None:
-            known = stored(edges.select(F.col("u").alias("node"), F.col("v").alias("component")),
-                           "components")
-        members = here.join(pivots, (here["band"] == pivots["band"])
-                            & (here["node"] == pivots["_pivot"]), "left_anti").select("band", "node")
-        pivots_per_band, turn = pivots_per_band * MORE_PIVOTS, turn + 1
+    signs = nodes.select("node", "signature")
+    pivots = members.groupBy("band").agg(F.min("node").alias("_pivot"))
+    pairs = members.join(pivots, "band").filter(F.col("node") != F.col("_pivot")).select(
+        F.col("_pivot").alias("a"), F.col("node").alias("b")).distinct()
+    both = pairs.join(signs.toDF("a", "_sa"), "a").join(signs.toDF("b", "_sb"), "b")
+    near = _survivors(both.select("a", "b", "_sa", "_sb"), percent, miss)
+    known = stored(components(_verified(near, sets, percent)), "components")
+
+    here = members.join(known, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    open_bands = here.groupBy("band").agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high"),
+        F.count(F.lit(1)).alias("_n"))
+    # a band of two nodes has nothing left to compare
+    open_bands = open_bands.filter("_low < _high and _n > 2").select("band")
+    here = stored(here.join(open_bands, "band", "left_semi"), "bands-open")
+    edges = stored(_blocked(here, signs.join(sets, "node"), percent, miss), "links")
+    return stored(_merged(known, edges), "components")
 
 
 def _merged(known: DataFrame, edges: DataFrame) -> DataFrame:
@@ -261,13 +358,15 @@ def near_duplicates(
     rows = stored(signed(docs, row, F.col(id_col), F.col(text), shingle_words), "signatures")
     words = rows.filter("n_shingles > 0")
     nodes = stored(
-        words.groupBy("set_hash").agg(F.min("_id").alias("_id"), F.first("signature").alias("signature"))
+        words.groupBy("set_hash").agg(F.min("_id").alias("_id"), F.first("signature").alias("signature"),
+                                      F.first("n_shingles").alias("n_shingles"))
         # sets are told apart by 128 bits; the node's number by 64 of them
         .withColumn("node", F.xxhash64("set_hash")), "nodes")
-    bands = nodes.select("node", F.explode(F.transform(
+    bands = nodes.select("node", "n_shingles", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda b: F.xxhash64(b, F.substring("signature", b * (4 * ROWS) + 1, F.lit(4 * ROWS)))))
-        .alias("band"))
+        # the lowest bits of a band are its number
+        lambda b: F.xxhash64(b, F.substring("signature", b * (4 * ROWS) + 1, F.lit(4 * ROWS)))
+        .bitwiseAND(F.lit(-BANDS).cast("long")).bitwiseOR(b.cast("long")))).alias("band"))
     shared = bands.groupBy("band").agg(F.min("node").alias("_low"), F.max("node").alias("_high")
                                        ).filter("_low < _high").select("band")
     members = stored(bands.join(shared, "band", "left_semi"), "bands")
@@ -275,7 +374,9 @@ def near_duplicates(
     sets = stored(
         _sets(docs, F.col(id_col), F.col(text), shingle_words, met)
         .join(met.select("set_hash", "node"), "set_hash")
-        .groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
+        # by the key of the join, which needs no further shuffle
+        .groupBy("set_hash").agg(F.first("node").alias("node"), F.first("shingles").alias("shingles"))
+        .drop("set_hash"), "sets")
     linked = _link(met, members, sets, percent, miss)
     owner = nodes.select("set_hash", "node", "_id").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
@@ -301,4 +402,5 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **
                   .withColumn("_n", F.monotonically_increasing_id()), "dedup-rows")
     flat = rows.select("_n", F.col(f"_doc.{id_col}").alias("_i"), F.col(f"_doc.{text}").alias("_t"))
     kept = near_duplicates(flat, "_i", "_t", row_col="_n", **how).filter("first")
-    return rows.join(kept.select(F.col("_row").alias("_n")), "_n", "left_semi").select("_doc.*")
+    chosen = kept.select(F.col("_row").alias("_n")).hint("shuffle_hash")
+    return rows.join(chosen, "_n", "left_semi").select("_doc.*")
