@@ -40,7 +40,7 @@ def test_binomial(spark, k, n, share):
 def labelled(frame, spark):
     good = "plain words of a text that goes on and says other things each time it is read number "
     rows = [(i, " ".join(f"{w}{i}x{j}" for j in range(5) for w in good.split()), "s", "en") for i in range(900)]
-    rows += [(900 + i, " ".join(f"w{i}x{j} | # |" for j in range(60)), "s", "en") for i in range(60)]
+    rows += [(900 + i, " ".join(f"w{i}x{j}|#%" for j in range(60)), "s", "en") for i in range(60)]
     rows += [(2000, " ".join(f"{w}" for w in range(80)), "s", None), (2001, None), (None, "short")]
     labels = [(i, int(i < 900)) for i in range(960)] + [(5, 0), (None, 1), (7, None)]
     return frame(rows), spark.createDataFrame(labels, "doc_id long, quality int")
