@@ -94,7 +94,7 @@ class Ranking:
         raw = z @ self.weights
         bad_share = (~good).mean() if len(good) else 0.0
         self.cut = float(np.quantile(raw, bad_share)) if len(raw) else 0.0
-        self.scale = float(np.std(raw)) / 4 + 1e-9
+        self.scale = (float(np.std(raw)) / 4 if len(raw) else 0.0) or 1.0
 
     def _inputs(self, x: np.ndarray) -> np.ndarray:
         """Standard scores and, as too much can be as bad as too little, their sizes."""
