@@ -1,31 +1,45 @@
 """Unigram segmentation into the pieces of a public vocabulary, and back.
 
-The vocabulary file gives pieces and scores. A text is normalised as the file says (a leading marker,
-spaces as markers), and cut into the pieces of highest total score by Viterbi over a double-array
-trie of their bytes. A character that no piece covers costs ten less than the least score and
-becomes byte pieces. Decoding joins pieces, takes byte pieces as UTF-8, and turns markers
-into spaces.
+The vocabulary file gives the pieces. Its scores are ranks of merges, not log probabilities, so
+``fitted`` learns log probabilities from the documents: Spark counts the words of all of them,
+and each round of EM goes over all counted words and sums the expected counts of the pieces.
+
+A text is normalised as the file says (a leading marker, spaces as markers), and cut into the pieces of
+highest total score by Viterbi over a double-array trie of their bytes. A character that no piece covers
+costs ten less than the least score and becomes byte pieces. Decoding joins pieces, takes byte
+pieces as UTF-8, and turns markers into spaces.
 
 If no piece goes on past a space, the best path of a text is the best paths of its words one after
-another; a word is then segmented once and remembered. The trie is a few megabytes and goes with the
-function; the file is read by the driver alone.
+another; a word is then segmented once and remembered. Words of equal size are segmented side by
+side. The trie is a few megabytes and goes with the function; the file is read by the driver alone.
 """
 
 from __future__ import annotations
 
+import copy
 import re
 import struct
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from graphfeed.lineage import stored
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 REMEMBERED = 500_000
+ROUNDS = 4
+PRIOR = 0.5  # count of a piece before any is seen
+LONG = 64  # bytes of a word above which it is segmented alone
+FEW = 64  # words of one size below which they are segmented alone
+TOGETHER = 8_000_000  # characters of texts whose words are segmented together
+UNITS = 1 << 16  # expected counts are summed in whole parts of this size
 
 # Field numbers and piece types of the vocabulary file.
 PIECES, NORMALIZER = 1, 3
@@ -131,17 +145,147 @@ class Vocabulary:
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(
             self.pieces, self.kinds, strict=True)) if k == BYTE}
         usual = [i for i, k in enumerate(self.kinds) if k in (NORMAL, USER)]
-        plain = [self.scores[i] for i in usual if self.kinds[i] == NORMAL]
-        self.least = min(plain, default=0.0) - UNKNOWN_PENALTY
-        for i in usual:  # pieces a user defined always win
-            if self.kinds[i] == USER:
-                self.scores[i] = len(self.pieces[i]) * max(plain, default=0.0) - 0.1
+        self._settle()
         self.trie = DoubleArray([self.pieces[i].encode() for i in usual], usual)
         inner = any(re.search(f"[^{MARK}]{MARK}", self.pieces[i]) for i in usual)
         lines = any("\n" in self.pieces[i] for i in usual)
         self.words = None if inner else re.compile(
             f"{MARK}+[^{MARK}]*|[^{MARK}]+" if lines else f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 
+    def _settle(self) -> None:
+        """Scores that follow from those of the normal pieces."""
+        plain = [s for s, k in zip(self.scores, self.kinds, strict=True) if k == NORMAL]
+        self.least = min(plain, default=0.0) - UNKNOWN_PENALTY
+        for i, kind in enumerate(self.kinds):  # pieces a user defined always win
+            if kind == USER:
+                self.scores[i] = len(self.pieces[i]) * max(plain, default=0.0) - 0.1
+
+    def rescored(self, counts: np.ndarray) -> Vocabulary:
+        """The same pieces, with the logarithms of their shares of ``counts`` as scores."""
+        normal = np.array(self.kinds) == NORMAL
+        weights = np.where(normal, counts + PRIOR, 0.0)
+        logs = np.log(np.where(normal, weights / weights.sum(), 1.0))
+        other = copy.copy(self)
+        other.scores = [float(x) if n else s for x, n, s in zip(logs, normal, self.scores, strict=True)]
+        other._settle()
+        return other
+
+    def units(self, text: str) -> list[str]:
+        """The parts of a normalised text that are segmented by themselves."""
+        return [text] * bool(text) if self.words is None else self.words.findall(text)
+
+    def normalised(self, text: str) -> str:
+        if self.squeeze:
+            text = re.sub(" +", " ", text).strip(" ")
+        if not text:
+            return ""
+        return (MARK if self.prefix else "") + text.replace(" ", MARK)
+
+
+class Lattice:
+    """All ways to cut words of equal size, side by side."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.trie, self.least = vocabulary.trie, vocabulary.least
+        self.scores = np.array(vocabulary.scores)
+
+    def steps(self, data: np.ndarray, reached: np.ndarray) -> Iterator[
+            tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(start, rows, ends, pieces, scores) by start; rows do not repeat, piece -1 is unknown.
+
+        ``data`` has a row of bytes per word. A row goes on from a start where ``reached`` is finite.
+        """
+        base, check, value = self.trie.base, self.trie.check, self.trie.value
+        size = data.shape[1]
+        for at in range(size):
+            rows = live = np.flatnonzero(np.isfinite(reached[:, at]))
+            if not len(live):
+                continue
+            lead = data[live, at]
+            after = at + 1 + (lead >= 0x80) + (lead >= 0xE0) + (lead >= 0xF0)
+            single = np.zeros(len(data), bool)
+            state = np.zeros(len(live), np.int64)
+            for to in range(at, size):
+                go = base[state] + data[live, to]
+                on = (check[go] == state) & (go != 0)
+                live, state = live[on], go[on]
+                if not len(live):
+                    break
+                found = value[state]
+                hit = found >= 0
+                if hit.any():
+                    own, pieces = live[hit], found[hit]
+                    single[own[after[np.searchsorted(rows, own)] == to + 1]] = True
+                    yield at, own, np.full(len(own), to + 1), pieces, self.scores[pieces]
+            lost = ~single[rows]
+            if lost.any():
+                n = int(lost.sum())
+                yield at, rows[lost], after[lost], np.full(n, -1), np.full(n, self.least)
+
+    def best(self, data: np.ndarray) -> list[list[int] | None]:
+        """As ``Coder.segment`` of each row; None where a character is unknown."""
+        n, size = data.shape
+        best = np.full((n, size + 1), -np.inf)
+        best[:, 0] = 0.0
+        start, piece = np.zeros((n, size + 1), np.int64), np.full((n, size + 1), -1)
+        for at, rows, ends, pieces, scores in self.steps(data, best):
+            total = best[rows, at] + scores
+            more = total > best[rows, ends]
+            rows, ends = rows[more], ends[more]
+            best[rows, ends], start[rows, ends], piece[rows, ends] = total[more], at, pieces[more]
+        rows, end = np.arange(n), np.full(n, size)
+        owners, found = [], []
+        while len(rows):
+            owners.append(rows)
+            found.append(piece[rows, end])
+            end = start[rows, end]
+            rows, end = rows[end > 0], end[end > 0]
+        owners, found = np.concatenate(owners[::-1]), np.concatenate(found[::-1])
+        order = np.argsort(owners, kind="stable")
+        unknown = np.zeros(n, bool)
+        unknown[owners[found < 0]] = True
+        ids, stops = found[order].tolist(), np.cumsum(np.bincount(owners, minlength=n)).tolist()
+        return [None if bad else ids[a:b] for a, b, bad in
+                zip([0, *stops], stops, unknown.tolist(), strict=False)]
+
+    def expected(self, data: np.ndarray, counts: np.ndarray, into: np.ndarray) -> None:
+        """Adds how often each piece is expected in the words (forward and backward sums)."""
+        n, size = data.shape
+        ahead = np.full((n, size + 1), -np.inf)
+        ahead[:, 0] = 0.0
+        steps = []
+        for step in self.steps(data, ahead):
+            at, rows, ends, _, scores = step
+            ahead[rows, ends] = np.logaddexp(ahead[rows, ends], ahead[rows, at] + scores)
+            steps.append(step)
+        back = np.full((n, size + 1), -np.inf)
+        back[:, size] = 0.0
+        for at, rows, ends, pieces, scores in reversed(steps):
+            rest = back[rows, ends] + scores
+            back[rows, at] = np.logaddexp(back[rows, at], rest)
+            share = np.exp(ahead[rows, at] + rest - ahead[rows, size]) * counts[rows]
+            known = pieces >= 0
+            np.add.at(into, pieces[known], np.rint(share[known] * UNITS).astype(np.int64))
+
+
+def by_size(units: Iterable[tuple[bytes, int]], most: int = 4096) -> Iterator[
+        tuple[list[int], np.ndarray]]:
+    """(values, bytes by row) of units of equal size, ``most`` at once; ``units`` are (bytes, value)."""
+    groups: dict[int, tuple[list[bytes], list[int]]] = defaultdict(lambda: ([], []))
+    for data, value in units:
+        parts, values = groups[len(data)]
+        parts.append(data)
+        values.append(value)
+        if len(parts) == most:
+            yield values, _rows(parts)
+            del groups[len(data)]
+    for parts, values in groups.values():
+        yield values, _rows(parts)
+
+
+def _rows(parts: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(parts), np.uint8).reshape(len(parts), -1)
+
 
 class Coder:
     """Encodes and decodes; made in each worker from a vocabulary."""
@@ -151,15 +295,25 @@ class Coder:
         self.base, self.check = v.trie.base.tolist(), v.trie.check.tolist()
         self.value = v.trie.value.tolist()
         self.known: dict[str, list[int]] = {}
+        self.lattice = Lattice(v)
         self.spoken = [b"" if k in (CONTROL, UNKNOWN) else bytes([int(p[3:5], 16)]) if k == BYTE
                        else p.encode() for p, k in zip(v.pieces, v.kinds, strict=True)]
 
     def normalised(self, text: str) -> str:
-        if self.v.squeeze:
-            text = re.sub(" +", " ", text).strip(" ")
-        if not text:
-            return ""
-        return (MARK if self.v.prefix else "") + text.replace(" ", MARK)
+        return self.v.normalised(text)
+
+    def remember(self, texts: list[list[str]]) -> None:
+        """Segments the words of ``texts`` that are not known yet, many side by side."""
+        fresh = list({u for units in texts for u in units if u not in self.known})
+        if len(self.known) + len(fresh) > REMEMBERED:
+            self.known.clear()
+            fresh = list({u for units in texts for u in units})
+        short = ((data, i) for i, u in enumerate(fresh) if len(data := u.encode()) <= LONG)
+        for places, rows in by_size(short):
+            if len(places) >= FEW:
+                for i, ids in zip(places, self.lattice.best(rows), strict=True):
+                    if ids is not None:
+                        self.known[fresh[i]] = ids
 
     def segment(self, unit: str) -> list[int]:
         """The pieces of highest total score (Viterbi); ties go to the earlier start."""
@@ -203,11 +357,13 @@ class Coder:
         return out
 
     def encode(self, text: str) -> list[int]:
-        text, known = self.normalised(text), self.known
-        if self.v.words is None:
-            return self.segment(text)
+        return self.joined(self.v.units(self.normalised(text)))
+
+    def joined(self, units: list[str]) -> list[int]:
+        """The pieces of units one after another."""
+        known = self.known
         out: list[int] = []
-        for unit in self.v.words.findall(text):
+        for unit in units:
             ids = known.get(unit)
             if ids is None:
                 ids = self.segment(unit)
@@ -229,6 +385,71 @@ def load(path: str = VOCABULARY) -> Vocabulary:
     return Vocabulary(Path(path).read_bytes())
 
 
+def word_counts(docs: DataFrame, text: Column, vocabulary: Vocabulary) -> DataFrame:
+    """(unit, n): how often each word occurs in all texts."""
+    schema = pa.schema([("unit", pa.string()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            whole = pa.Table.from_arrays([pa.array(list(counts), pa.string()),
+                                          pa.array(list(counts.values()), pa.int64())], schema=schema)
+            counts.clear()
+            yield from whole.to_batches(max_chunksize=10_000)
+
+        for batch in batches:
+            for value in batch["_text"]:
+                counts.update(vocabulary.units(vocabulary.normalised(value.as_py() or "")))
+                if len(counts) >= REMEMBERED:
+                    yield from flush()
+        yield from flush()
+
+    each = docs.select(text.cast("string").alias("_text")).mapInArrow(run, "unit string, n long")
+    return each.groupBy("unit").agg(F.sum("n").alias("n"))
+
+
+def expected_counts(words: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """How often each piece is expected in ``words`` (unit, n) by the scores of ``vocabulary``.
+
+    Words longer than ``LONG`` count the pieces of their best path, others those of all paths.
+    """
+    schema = pa.schema([("piece", pa.int32()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, into = Coder(vocabulary), np.zeros(len(vocabulary.pieces), np.int64)
+
+        def short() -> Iterator[tuple[bytes, int]]:
+            for batch in batches:
+                for unit, n in zip(batch["unit"].to_pylist(), batch["n"].to_pylist(), strict=True):
+                    data = unit.encode()
+                    if len(data) <= LONG:
+                        yield data, n
+                    else:
+                        np.add.at(into, coder.segment(unit), n * UNITS)
+
+        for n, rows in by_size(short()):
+            coder.lattice.expected(rows, np.array(n), into)
+        some = np.flatnonzero(into)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(into[some])], schema=schema)
+
+    out = np.zeros(len(vocabulary.pieces))
+    # one row per piece
+    for row in words.mapInArrow(run, "piece int, n long").groupBy("piece").agg(
+            F.sum("n").alias("n")).collect():
+        out[row["piece"]] = row["n"] / UNITS
+    return out
+
+
+def fitted(docs: DataFrame, text: Column, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Vocabulary:
+    """``vocabulary`` with log probabilities learnt from all texts by EM, from equal ones on."""
+    words = stored(word_counts(docs, text, vocabulary), "piece-words")
+    vocabulary = vocabulary.rescored(np.zeros(len(vocabulary.pieces)))
+    for _ in range(rounds):
+        vocabulary = vocabulary.rescored(expected_counts(words, vocabulary))
+    return vocabulary
+
+
 ENCODED_DDL = "ids array<int>, n_pieces long, n_byte_pieces long, lossless boolean"
 
 
@@ -238,22 +459,33 @@ def encoded(docs: DataFrame, doc_id: Column, text: Column, vocabulary: Vocabular
 
     ``lossless`` says whether decoding gives the text back (as normalised where the vocabulary drops
     spaces); a text that itself holds the marker comes back with a space. Null and empty texts have
-    no piece. Repeated rows and null ids each give a row.
+    no piece. Repeated rows and null ids each give a row. Without a ``vocabulary`` that of the file
+    is fitted to the texts.
     """
-    vocabulary = vocabulary or load()
+    vocabulary = vocabulary or fitted(docs, text, load())
     schema = pa.schema([("_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("n_pieces", pa.int64()),
                         ("n_byte_pieces", pa.int64()), ("lossless", pa.bool_())])
 
+    def parted(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+        first, size, texts = 0, 0, []
+        for i, value in enumerate(batch["_text"], 1):
+            texts.append(value.as_py() or "")
+            size += len(texts[-1])
+            if size >= TOGETHER or i == len(batch):
+                yield batch.slice(first, i - first), texts
+                first, size, texts = i, 0, []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(vocabulary)
         is_byte = np.zeros(len(vocabulary.pieces), bool)
         is_byte[list(vocabulary.bytes.values())] = True
         for batch in batches:
-            for i in range(0, len(batch), 512):
-                part, ids, whole = batch.slice(i, 512), [], []
-                for value in part["_text"]:
-                    text = value.as_py() or ""
-                    own = coder.encode(text)
+            for part, texts in parted(batch):
+                ids, whole = [], []
+                units = [vocabulary.units(vocabulary.normalised(text)) for text in texts]
+                coder.remember(units)
+                for text, words in zip(texts, units, strict=True):
+                    own = coder.joined(words)
                     want = re.sub(" +", " ", text).strip(" ") if vocabulary.squeeze else text
                     ids.append(np.array(own, np.int32))
                     whole.append(coder.decode(own) == want)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 import sentencepiece as library
 from pyspark.sql import functions as F
@@ -98,3 +99,54 @@ def test_round_trip(frame, spark):
     assert S.encoded(docs.limit(0), F.col("doc_id"), F.col("text")).count() == 0
     nothing = spark.createDataFrame([(1, None)], "text long, ids array<int>")
     assert S.decoded(nothing).first().text is None
+
+
+def test_side_by_side_as_alone(vocabulary, coder):
+    rng = random.Random(5)
+    units = ["".join(rng.choice("▁abcdehinorst漢é\U0001f600") for _ in range(rng.randrange(1, 14)))
+             for _ in range(500)]
+    for places, rows in S.by_size(((u.encode(), i) for i, u in enumerate(units)), 7):
+        for i, ids in zip(places, coder.lattice.best(rows), strict=True):
+            alone = coder.segment(units[i])
+            unknown = any(vocabulary.kinds[p] == S.BYTE for p in alone)
+            assert ids == (None if unknown else alone)
+
+
+def cuts(unit, score):
+    if not unit:
+        yield []
+    for n in range(1, len(unit) + 1):
+        if unit[:n] in score:
+            yield from ([unit[:n], *rest] for rest in cuts(unit[n:], score))
+
+
+def test_expected_counts_are_sums_over_all_cuts(spark, vocabulary):
+    rescored = vocabulary.rescored(np.arange(len(vocabulary.pieces)) % 7)
+    score = {p: s for p, s, k in zip(rescored.pieces, rescored.scores, rescored.kinds, strict=True)
+             if k == S.NORMAL}
+    assert sum(np.exp(list(score.values()))) == pytest.approx(1)
+    words, want = {"▁the": 5, "▁reader": 2, "▁naïve": 3, "\n": 4}, {}
+    for word, n in words.items():
+        ways = list(cuts(word, score))
+        weights = np.exp([sum(score[p] for p in way) for way in ways])
+        for way, weight in zip(ways, weights / weights.sum() if ways else [], strict=True):
+            for piece in way:
+                want[piece] = want.get(piece, 0) + n * weight
+    got = S.expected_counts(spark.createDataFrame(list(words.items()), "unit string, n long"), rescored)
+    assert {rescored.pieces[i]: got[i] for i in np.flatnonzero(got)} == pytest.approx(
+        {p: w for p, w in want.items() if w >= 0.5 / S.UNITS}, abs=1e-2)
+
+
+def test_frequent_words_are_whole_pieces(frame):
+    text = "the reader and the information of the other people"
+    docs = frame([(i, text) for i in range(20)])
+    vocabulary = S.load()
+    for row in S.encoded(docs, F.col("doc_id"), F.col("text")).collect():
+        assert [vocabulary.pieces[i] for i in row.ids] == ["▁" + w for w in text.split()]
+
+
+def test_every_word_is_counted(frame, vocabulary, monkeypatch):
+    monkeypatch.setattr(S, "REMEMBERED", 3)  # counts go out whenever so many words are held
+    docs = frame([(1, "a b c d e f a"), (2, "a\nb " + "x" * 500), (3, None)])
+    got = {r.unit: r.n for r in S.word_counts(docs, F.col("text"), vocabulary).collect()}
+    assert got == {"▁a": 3, "▁b": 1, "b": 1, "▁c": 1, "▁d": 1, "▁e": 1, "▁f": 1, "\n": 1, "▁" + "x" * 500: 1}
