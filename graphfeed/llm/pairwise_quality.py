@@ -3,7 +3,7 @@
 In a pair a labelled good document is preferred to a bad one. The chance of that preference is the
 logistic function of the difference of two scores, a score being a weighted sum of features of
 the text; the weights minimise the logistic loss over pairs. A document is then predicted good
-if its score reaches a quantile of the scores of the fitting sample: the share of bad labels.
+if its score reaches a quantile of the scores of all labelled training rows: the share of bad labels.
 
 Features are measured on every whole text in one pass and stored, a few numbers per document.
 Weights are fitted on a bounded sample: the ``SAMPLE`` labelled training documents with the
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphfeed.lineage import stored
+from graphfeed.operators.skew import number_within
 
 SAMPLE = 20_000
 PAIRS = 200_000
@@ -112,19 +113,48 @@ class Ranking:
             if np.abs(step).max() < 1e-6:
                 break
 
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        return self._inputs(x) @ self.weights
+
     def score(self, x: np.ndarray) -> np.ndarray:
         """0..1; a raw score at the quantile becomes ``CUT``."""
-        raw = (self._inputs(x) @ self.weights - self.cut) / self.scale
+        raw = (self.raw(x) - self.cut) / self.scale
         return 1 / (1 + np.exp(-np.clip(raw + np.log(CUT / (1 - CUT)), -700, 700)))
 
 
 def fitted(measures: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking:
-    """The ranking learnt from labelled rows: ``labels`` has ``_id`` and ``good``, one row per id."""
-    rows = (measures.filter(F.col("_id").isNotNull()).join(labels, "_id")
-            .orderBy(F.xxhash64("_id"), "_id").limit(sample)
+    """The ranking learnt from labelled rows: ``labels`` has ``_id`` and ``good``, one row per id.
+
+    Weights come from ``sample`` rows, the cut from all.
+    """
+    known = measures.filter(F.col("_id").isNotNull()).join(labels, "_id")
+    rows = (known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
             .select("features", "good").collect())
-    return Ranking(np.array([r["features"] for r in rows]).reshape(-1, FEATURES),
-                   np.array([r["good"] for r in rows], bool))
+    model = Ranking(np.array([r["features"] for r in rows]).reshape(-1, FEATURES),
+                    np.array([r["good"] for r in rows], bool))
+    if len(rows) == sample:  # there may be more
+        model.cut = cut_of_all(known, model)
+    return model
+
+
+def cut_of_all(known: DataFrame, model: Ranking) -> float:
+    """The raw score at the share of bad labels among all rows of ``known``, as ``np.quantile``."""
+    schema = pa.schema([("_id", pa.int64()), ("raw", pa.float64()), ("good", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch["features"].flatten().to_numpy().reshape(-1, FEATURES)
+            yield pa.RecordBatch.from_arrays(
+                [batch["_id"], pa.array(model.raw(x), pa.float64()), batch["good"]], schema=schema)
+
+    raw = stored(known.select("_id", "features", "good").mapInArrow(
+        run, "_id long, raw double, good boolean"), "quality-labelled")
+    size = raw.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("good")).alias("bad")).first()
+    at = (size["n"] - 1) * (size["bad"] / size["n"])
+    low = int(at)
+    near = number_within(raw, [], [F.col("raw"), F.col("_id")]).filter(
+        F.col("position").isin(low + 1, low + 2)).select("raw").collect()  # at most two rows
+    return float(np.quantile([r["raw"] for r in near], at - low))
 
 
 def ranked(docs: DataFrame, labels: DataFrame, doc_id: Column, text: Column, train: Column

@@ -59,3 +59,13 @@ def test_edges(spark, frame):
     rows = Q.ranked(docs, one_kind, F.col("doc_id"), F.col("text"), F.lit(True)).collect()
     assert len(rows) == 6 and all(0 <= r.score <= 1 for r in rows)
     assert Q.ranked(docs.limit(0), none, F.col("doc_id"), F.col("text"), F.lit(True)).count() == 0
+
+
+def test_cut_is_the_quantile_of_all_labelled_rows(spark):
+    random = np.random.default_rng(8)
+    x = random.standard_normal((400, Q.FEATURES))
+    good = x[:, 0] + random.standard_normal(400) > 0.4
+    rows = [(i, v.tolist(), bool(g)) for i, (v, g) in enumerate(zip(x, good, strict=True))]
+    df = spark.createDataFrame(rows, "_id long, features array<double>, good boolean")
+    model = Q.fitted(df.select("_id", "features"), df.select("_id", "good"), sample=60)
+    assert model.cut == pytest.approx(np.quantile(model.raw(x), (~good).mean()), abs=1e-9)
