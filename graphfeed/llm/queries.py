@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from graphfeed.llm import (
     ann,
     archive,
+    divergence,
+    importance,
     minhash,
     mixing,
     ngram_lm,
@@ -18,6 +20,7 @@ from graphfeed.llm import (
     quality_rules,
     secret_scan,
     sentencepiece,
+    suffix_dedup,
 )
 from graphfeed.llm.common import id_remainder, table
 from graphfeed.llm.queries_sql import ORACLES
@@ -109,6 +112,28 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn by how much they read like the benchmark."""
+    found = importance.resampled(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), F.col("doc_id"),
+        F.col("text"), F.col("text"))
+    return found.withColumnRenamed("_id", "doc_id")
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without the strings of 400 bytes that occur more than once."""
+    found = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text"))
+    return found.select(
+        F.col("_id").alias("doc_id"), "n_bytes", "n_removed",
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ in their terms, and the terms that mark them."""
+    return divergence.audited(table(spark, sf_dir, "documents"), F.col("text"), F.col("lang"),
+                              F.col("source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_lm": op2_ngram_lm,
@@ -120,6 +145,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pairwise_quality": op8_pairwise_quality,
     "op9_mixing": op9_mixing,
     "op10_minhash": op10_minhash,
+    "op11_importance": op11_importance,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_divergence": op13_divergence,
 }
 
 

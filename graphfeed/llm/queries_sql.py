@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from graphfeed.llm import mixing, ngram_lm, quality_rules, secret_scan
+from graphfeed.llm import (
+    divergence, importance, mixing, ngram_lm, quality_rules, secret_scan, suffix_dedup)
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -202,6 +203,110 @@ FROM seqs s LEFT JOIN sizes z USING (doc_id) JOIN reach r ON r.a = s.doc_id
 GROUP BY s.doc_id, z.n"""
 
 
+IMPORTANCE = rf"""
+WITH steps AS (
+  SELECT i, list_reduce(list_prepend(i, [1::BIGINT, 2, 3, 4, 5, 6, 7, 8]), lambda a, k:
+    xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END)) AS c FROM range(256) t(i)),
+texts AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id, text FROM documents UNION ALL
+  SELECT 'b', row_number() OVER (), NULL, text FROM benchmark),
+seqs AS (
+  SELECT side, r, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+feats AS (
+  SELECT side, r, unnest(w || [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS f FROM seqs),
+bytes AS (
+  SELECT f, unnest(range(1, octet_length(encode(f)) + 1)) AS i, hex(f) AS h FROM (SELECT DISTINCT f FROM feats)),
+hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, list(('0x' || h[2 * i - 1:2 * i])::BIGINT ORDER BY i)),
+    lambda r, b: list_reduce(list_prepend(xor(r, b), [1::BIGINT, 2, 3, 4, 5, 6, 7, 8]), lambda a, k:
+      xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))),
+    4294967295::BIGINT) % {importance.BUCKETS} AS bucket
+  FROM bytes GROUP BY f),
+placed AS (SELECT side, r, bucket FROM feats JOIN hashed USING (f)),
+counts AS (
+  SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM placed GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor({importance.SCALE} * ln(((t + 1) * (sum(s) OVER () + {importance.BUCKETS}))::DOUBLE
+    / ((s + 1) * (sum(t) OVER () + {importance.BUCKETS}))::DOUBLE))::BIGINT AS gain FROM counts),
+sums AS (SELECT r, sum(gain) AS total, count(*) AS n FROM placed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r),
+scores AS (
+  SELECT s.doc_id, len(w) AS words, coalesce(n, 0)::BIGINT AS n_features,
+    coalesce(floor(total::DOUBLE / n), 0)::BIGINT AS weight, ('0x' || substr(sha256('{importance.SEED}:'
+      || coalesce(s.doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+  FROM seqs s LEFT JOIN sums USING (r) WHERE side = 'd'),
+noised AS (
+  SELECT *, weight + floor(-{importance.SCALE}.0 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM scores),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY words >= {importance.LEAST_WORDS} ORDER BY score DESC, doc_id) AS k,
+    {importance.PERCENT} * count(*) FILTER (words >= {importance.LEAST_WORDS}) OVER () // 100 AS most FROM noised)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN words >= {importance.LEAST_WORDS} AND k <= most THEN k END AS rank
+FROM ranked"""
+
+SUFFIX_DEDUP = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(coalesce(text, '')) AS h FROM documents),
+windows AS (
+  SELECT r, p, md5_number(substr(h, 2 * p + 1, {2 * suffix_dedup.LENGTH})) AS w FROM (
+    SELECT r, h, unnest(range(0, length(h) // 2 - {suffix_dedup.LENGTH} + 1)) AS p FROM texts
+    WHERE length(h) >= {2 * suffix_dedup.LENGTH})),
+twice AS (SELECT r, p FROM windows QUALIFY count(*) OVER (PARTITION BY w) > 1),
+marked AS (
+  SELECT r, p, coalesce(p - lag(p) OVER (PARTITION BY r ORDER BY p) > {suffix_dedup.LENGTH}, true) AS new FROM twice),
+islands AS (SELECT r, p, count(*) FILTER (new) OVER (PARTITION BY r ORDER BY p) AS k FROM marked),
+spans AS (SELECT r, k, min(p) AS a, max(p) + {suffix_dedup.LENGTH} AS b FROM islands GROUP BY r, k),
+pieces AS (
+  SELECT r, h, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before,
+    lead(a) OVER (PARTITION BY r ORDER BY a) IS NULL AS last FROM spans JOIN texts USING (r)),
+cut AS (
+  SELECT r, sum(b - a) AS gone, count(*) AS n, string_agg(substr(h, 2 * before + 1, 2 * (a - before))
+    || CASE WHEN last THEN substr(h, 2 * b + 1) ELSE '' END, '' ORDER BY a) AS kept
+  FROM pieces GROUP BY r)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed,
+  coalesce(n, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (r)"""
+
+_KEPT_SHARE = (f"1 + ({divergence.SCALE}::HUGEINT * (n + {divergence.PRIOR})) "
+               f"// (total + {divergence.PRIOR} * kept)")
+
+DIVERGENCE = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, {_LOWER} AS t, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+  FROM documents),
+terms AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts),
+kept AS (
+  SELECT lang, term FROM terms GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.LEAST_DOCS}),
+sizes AS (SELECT lang, count(*) AS kept FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM terms JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM texts),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, kept,
+    coalesce(sum(c.n) OVER (PARTITION BY g.lang, g.source), 0) AS total
+  FROM groups g JOIN kept k USING (lang) JOIN sizes USING (lang)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+of_lang AS (
+  SELECT lang, term, sum(n) AS n, any_value(kept) AS kept, sum(sum(n)) OVER (PARTITION BY lang) AS total
+  FROM dense GROUP BY lang, term),
+p AS (SELECT *, {_KEPT_SHARE} AS p FROM dense),
+q AS (SELECT *, {_KEPT_SHARE} AS q FROM of_lang),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y
+      ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s
+    ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+marks AS (
+  SELECT lang, source, term AS item, (p - q)::BIGINT AS value FROM p JOIN q USING (lang, term)
+  WHERE p.n > 0 AND p.p > q.q),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL
+  SELECT lang, source, 'term', item, value FROM marks)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM ranked
+QUALIFY part = 'pair' OR rank <= {divergence.TOP}"""
+
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _quality_rules(),
     "op2_ngram_lm": NGRAM_LM,
@@ -209,4 +314,7 @@ ORACLES: dict[str, str] = {
     "op5_secret_scan": _secret_scan(),
     "op9_mixing": MIXING,
     "op10_minhash": MINHASH,
+    "op11_importance": IMPORTANCE,
+    "op12_suffix_dedup": SUFFIX_DEDUP,
+    "op13_divergence": DIVERGENCE,
 }
