@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from graphfeed.lineage import scratch_path
 
-BLOCK_BYTES = 16_000_000
-PART_KEYS = 4_000_000
+BLOCK_BYTES = 8_000_000
+PART_KEYS = 1_500_000
 
 BLOCKS = pa.schema([("block", pa.int64()), ("texts", pa.binary()), ("ends", pa.binary()),
                     ("rest", pa.binary()), ("n_bytes", pa.int64())])

@@ -175,7 +175,7 @@ def _recounted(blocks: DataFrame, known: DataFrame) -> DataFrame:
             out.append(pa.table([
                 pa.array([lang] * len(key), pa.string()), sources.take(pa.array(key // len(ordinals))),
                 pa.array(ordinals[key % len(ordinals)]), pa.array(n)], schema=schema))
-        return pa.concat_tables(out)
+        return pa.concat_tables([schema.empty_table(), *out])
 
     return (blocks.groupBy("block").cogroup(known.groupBy("block"))
             .applyInArrow(run, "lang string, source string, ordinal long, n long"))

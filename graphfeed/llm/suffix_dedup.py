@@ -230,7 +230,8 @@ def deduplicated(docs: DataFrame, doc_id: Column, text: Column, length: int = LE
 
     shared = step(lambda s: s.names()[1], size * density, NAME_SHIFT, "dedup-names")
     shared = step(lambda s: s.triples()[1], shared, NAME_SHIFT, "dedup-triples")
-    step(lambda s: s.suffixes()[1], shared / density, 0, "dedup-suffixes")
+    # a shared triple may stand at several places of its block
+    step(lambda s: s.suffixes()[1], 2 * shared / density, 0, "dedup-suffixes")
 
     def cut(block: Block, bits: list[list[np.ndarray]]) -> pa.Table:
         sorting = Sorting(block, bits, length, parts)

@@ -18,5 +18,5 @@ def test_query_matches_sql(spark, sf_dir, name):
 def test_all_are_registered():
     names = entry_module.queries()
     assert set(queries.queries()) <= set(names) and "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
