@@ -17,6 +17,7 @@ side. The trie is a few megabytes and goes with the function; the file is read b
 from __future__ import annotations
 
 import copy
+import math
 import re
 import struct
 from collections import Counter, defaultdict
@@ -33,12 +34,13 @@ from graphfeed.lineage import stored
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 500_000
+REMEMBERED = 250_000  # words of each of two generations whose pieces are kept
+COUNTED = 300_000  # distinct words that a task counts before it hands them on
 ROUNDS = 4
 PRIOR = 0.5  # count of a piece before any is seen
-LONG = 64  # bytes of a word above which it is segmented alone
+LONG = 64  # bytes of a word above which it goes through its lattice alone, with the same sums
 FEW = 64  # words of one size below which they are segmented alone
-TOGETHER = 8_000_000  # characters of texts whose words are segmented together
+TOGETHER = 1_500_000  # characters of texts whose words are segmented together
 UNITS = 1 << 16  # expected counts are summed in whole parts of this size
 
 # Field numbers and piece types of the vocabulary file.
@@ -222,8 +224,11 @@ class Lattice:
                 n = int(lost.sum())
                 yield at, rows[lost], after[lost], np.full(n, -1), np.full(n, self.least)
 
-    def best(self, data: np.ndarray) -> list[list[int] | None]:
-        """As ``Coder.segment`` of each row; None where a character is unknown."""
+    def best(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``Coder.segment`` of each row: all pieces, and where those of each row end.
+
+        The end is negative where a character is unknown.
+        """
         n, size = data.shape
         best = np.full((n, size + 1), -np.inf)
         best[:, 0] = 0.0
@@ -244,9 +249,8 @@ class Lattice:
         order = np.argsort(owners, kind="stable")
         unknown = np.zeros(n, bool)
         unknown[owners[found < 0]] = True
-        ids, stops = found[order].tolist(), np.cumsum(np.bincount(owners, minlength=n)).tolist()
-        return [None if bad else ids[a:b] for a, b, bad in
-                zip([0, *stops], stops, unknown.tolist(), strict=False)]
+        stops = np.cumsum(np.bincount(owners, minlength=n))
+        return found[order], np.where(unknown, -stops, stops)
 
     def expected(self, data: np.ndarray, counts: np.ndarray, into: np.ndarray) -> None:
         """Adds how often each piece is expected in the words (forward and backward sums)."""
@@ -287,6 +291,12 @@ def _rows(parts: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(parts), np.uint8).reshape(len(parts), -1)
 
 
+def _log_sum(a: float, b: float) -> float:
+    """log(exp(a) + exp(b))"""
+    low, high = (a, b) if a < b else (b, a)
+    return high if low == -math.inf else high + math.log1p(math.exp(low - high))
+
+
 class Coder:
     """Encodes and decodes; made in each worker from a vocabulary."""
 
@@ -294,7 +304,8 @@ class Coder:
         v = self.v = vocabulary
         self.base, self.check = v.trie.base.tolist(), v.trie.check.tolist()
         self.value = v.trie.value.tolist()
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # pieces as 32-bit numbers
+        self.before: dict[str, bytes] = {}  # the generation before
         self.lattice = Lattice(v)
         self.spoken = [b"" if k in (CONTROL, UNKNOWN) else bytes([int(p[3:5], 16)]) if k == BYTE
                        else p.encode() for p, k in zip(v.pieces, v.kinds, strict=True)]
@@ -304,16 +315,29 @@ class Coder:
 
     def remember(self, texts: list[list[str]]) -> None:
         """Segments the words of ``texts`` that are not known yet, many side by side."""
-        fresh = list({u for units in texts for u in units if u not in self.known})
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = list({u for units in texts for u in units})
+        self._make_room()
+        known, before = self.known, self.before
+        fresh = []
+        for unit in {u for units in texts for u in units if u not in known}:
+            old = before.get(unit)
+            if old is None:
+                fresh.append(unit)
+            else:
+                known[unit] = old
         short = ((data, i) for i, u in enumerate(fresh) if len(data := u.encode()) <= LONG)
         for places, rows in by_size(short):
             if len(places) >= FEW:
-                for i, ids in zip(places, self.lattice.best(rows), strict=True):
-                    if ids is not None:
-                        self.known[fresh[i]] = ids
+                flat, stops = self.lattice.best(rows)
+                flat, first = flat.astype("<i4").tobytes(), 0
+                for i, stop in zip(places, (4 * stops).tolist(), strict=True):
+                    if stop > 0:
+                        known[fresh[i]] = flat[first:stop]
+                    first = abs(stop)
+
+    def _make_room(self) -> None:
+        """Frequent words live on: they are taken over from the generation before."""
+        if len(self.known) >= REMEMBERED:
+            self.before, self.known = self.known, {}
 
     def segment(self, unit: str) -> list[int]:
         """The pieces of highest total score (Viterbi); ties go to the earlier start."""
@@ -357,24 +381,58 @@ class Coder:
         return out
 
     def encode(self, text: str) -> list[int]:
-        return self.joined(self.v.units(self.normalised(text)))
+        return self.joined(self.v.units(self.normalised(text))).tolist()
 
-    def joined(self, units: list[str]) -> list[int]:
+    def joined(self, units: list[str]) -> np.ndarray:
         """The pieces of units one after another."""
-        known = self.known
-        out: list[int] = []
+        known, before, out = self.known, self.before, []
         for unit in units:
             ids = known.get(unit)
             if ids is None:
-                ids = self.segment(unit)
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                if len(unit) <= 64:
+                ids = before.get(unit)
+                if ids is None:
+                    ids = np.array(self.segment(unit), "<i4").tobytes()
+                if len(unit) <= LONG:
                     known[unit] = ids
-            out += ids
-        return out
-
-    def decode(self, ids: list[int]) -> str:
+            out.append(ids)
+        return np.frombuffer(b"".join(out), "<i4")
+
+    def expected(self, unit: str, count: int, into: np.ndarray) -> None:
+        """As ``Lattice.expected`` of one word of any size; only the sums are kept, not the ways."""
+        data, scores = unit.encode(), self.v.scores
+        n = len(data)
+        ahead, back = [-math.inf] * (n + 1), [-math.inf] * (n + 1)
+        ahead[0] = back[n] = 0.0
+        for at in range(n):
+            if ahead[at] > -math.inf:
+                for to, found in self._ways(data, at):
+                    ahead[to] = _log_sum(ahead[to], ahead[at] + (scores[found] if found >= 0 else self.v.least))
+        for at in range(n - 1, -1, -1):
+            if ahead[at] == -math.inf:
+                continue
+            for to, found in self._ways(data, at):
+                rest = back[to] + (scores[found] if found >= 0 else self.v.least)
+                back[at] = _log_sum(back[at], rest)
+                if found >= 0:
+                    into[found] += round(math.exp(ahead[at] + rest - ahead[n]) * count * UNITS)
+
+    def _ways(self, data: bytes, at: int) -> Iterator[tuple[int, int]]:
+        """(end, piece) of the pieces from a place on; -1 for a character that is none."""
+        lead = data[at]
+        after = at + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
+        state, to, single = 0, at, False
+        while to < len(data):
+            go = self.base[state] + data[to]
+            if self.check[go] != state or go == 0:
+                break
+            state, to = go, to + 1
+            if self.value[state] >= 0:
+                single = single or to == after
+                yield to, self.value[state]
+        if not single:
+            yield after, -1
+
+    def decode(self, ids: Iterable[int]) -> str:
         text = b"".join(map(self.spoken.__getitem__, ids)).decode("utf-8", "replace")
         if self.v.prefix and text.startswith(MARK):
             text = text[1:]
@@ -401,7 +459,7 @@ def word_counts(docs: DataFrame, text: Column, vocabulary: Vocabulary) -> DataFr
         for batch in batches:
             for value in batch["_text"]:
                 counts.update(vocabulary.units(vocabulary.normalised(value.as_py() or "")))
-                if len(counts) >= REMEMBERED:
+                if len(counts) >= COUNTED:
                     yield from flush()
         yield from flush()
 
@@ -410,10 +468,7 @@ def word_counts(docs: DataFrame, text: Column, vocabulary: Vocabulary) -> DataFr
 
 
 def expected_counts(words: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """How often each piece is expected in ``words`` (unit, n) by the scores of ``vocabulary``.
-
-    Words longer than ``LONG`` count the pieces of their best path, others those of all paths.
-    """
+    """How often each piece is expected in ``words`` (unit, n) by the scores of ``vocabulary``."""
     schema = pa.schema([("piece", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -426,7 +481,7 @@ def expected_counts(words: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
                     if len(data) <= LONG:
                         yield data, n
                     else:
-                        np.add.at(into, coder.segment(unit), n * UNITS)
+                        coder.expected(unit, n, into)
 
         for n, rows in by_size(short()):
             coder.lattice.expected(rows, np.array(n), into)
@@ -481,19 +536,18 @@ def encoded(docs: DataFrame, doc_id: Column, text: Column, vocabulary: Vocabular
         is_byte[list(vocabulary.bytes.values())] = True
         for batch in batches:
             for part, texts in parted(batch):
-                ids, whole = [], []
                 units = [vocabulary.units(vocabulary.normalised(text)) for text in texts]
                 coder.remember(units)
-                for text, words in zip(texts, units, strict=True):
-                    own = coder.joined(words)
-                    want = re.sub(" +", " ", text).strip(" ") if vocabulary.squeeze else text
-                    ids.append(np.array(own, np.int32))
-                    whole.append(coder.decode(own) == want)
+                ids = [coder.joined(words) for words in units]
+                whole = [coder.decode(own.tolist()) == (
+                    re.sub(" +", " ", text).strip(" ") if vocabulary.squeeze else text)
+                    for own, text in zip(ids, texts, strict=True)]
+                bounds = np.concatenate([[0], np.cumsum([len(own) for own in ids])])
+                flat = np.concatenate(ids)
+                n_bytes = np.diff(np.concatenate([[0], np.cumsum(is_byte[flat])])[bounds])
                 yield pa.RecordBatch.from_arrays(
-                    [part["_id"], pa.array(ids, pa.list_(pa.int32())),
-                     pa.array([len(x) for x in ids], pa.int64()),
-                     pa.array([int(is_byte[x].sum()) for x in ids], pa.int64()), pa.array(whole)],
-                    schema=schema)
+                    [part["_id"], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat)),
+                     pa.array(np.diff(bounds)), pa.array(n_bytes), pa.array(whole)], schema=schema)
 
     return docs.select(doc_id.cast("long").alias("_id"), text.cast("string").alias("_text")).mapInArrow(
         run, f"_id long, {ENCODED_DDL}")

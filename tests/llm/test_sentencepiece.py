@@ -106,10 +106,33 @@ def test_side_by_side_as_alone(vocabulary, coder):
     units = ["".join(rng.choice("▁abcdehinorst漢é\U0001f600") for _ in range(rng.randrange(1, 14)))
              for _ in range(500)]
     for places, rows in S.by_size(((u.encode(), i) for i, u in enumerate(units)), 7):
-        for i, ids in zip(places, coder.lattice.best(rows), strict=True):
+        flat, stops = coder.lattice.best(rows)
+        for i, first, stop in zip(places, [0, *abs(stops)[:-1]], stops, strict=True):
             alone = coder.segment(units[i])
             unknown = any(vocabulary.kinds[p] == S.BYTE for p in alone)
-            assert ids == (None if unknown else alone)
+            assert (stop < 0) == unknown and (unknown or flat[first:stop].tolist() == alone)
+
+
+def test_sums_of_a_word_alone_as_side_by_side(vocabulary):
+    coder = S.Coder(vocabulary.rescored(np.arange(len(vocabulary.pieces)) % 7))
+    rng = random.Random(7)
+    for size in (1, 5, 80, 300):
+        unit = "▁" + "".join(rng.choice("abcdehinorst漢é") for _ in range(size))
+        alone, together = (np.zeros(len(vocabulary.pieces), np.int64) for _ in range(2))
+        coder.expected(unit, 3, alone)
+        for counts, rows in S.by_size([(unit.encode(), 3)]):
+            coder.lattice.expected(rows, np.array(counts), together)
+        assert np.abs(alone - together).max() <= size and alone.sum() > 0
+
+
+def test_words_of_the_generation_before(vocabulary, monkeypatch):
+    monkeypatch.setattr(S, "REMEMBERED", 5)
+    coder = S.Coder(vocabulary)
+    texts = [[f"▁{w}{i}" for w in ("the", "and", "reader")] for i in range(8)]
+    for units in [*texts, *texts]:
+        coder.remember([units])
+        assert coder.joined(units).tolist() == [p for u in units for p in coder.segment(u)]
+        assert len(coder.known) + len(coder.before) <= 16
 
 
 def cuts(unit, score):
@@ -146,7 +169,7 @@ def test_frequent_words_are_whole_pieces(frame):
 
 
 def test_every_word_is_counted(frame, vocabulary, monkeypatch):
-    monkeypatch.setattr(S, "REMEMBERED", 3)  # counts go out whenever so many words are held
+    monkeypatch.setattr(S, "COUNTED", 3)  # counts go out whenever so many words are held
     docs = frame([(1, "a b c d e f a"), (2, "a\nb " + "x" * 500), (3, None)])
     got = {r.unit: r.n for r in S.word_counts(docs, F.col("text"), vocabulary).collect()}
     assert got == {"▁a": 3, "▁b": 1, "b": 1, "▁c": 1, "▁d": 1, "▁e": 1, "▁f": 1, "\n": 1, "▁" + "x" * 500: 1}
