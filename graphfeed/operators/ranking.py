@@ -10,13 +10,17 @@ two facts about it:
 * the total a label has after a pass is the sum of value x out-mass before it, so values can
   be divided before they are moved and pruned in the same stage that sums them;
 * a normalised label keeps fewer than 1 / min_weight rows, but before pruning it reaches
-  nearly every node, because a category passes a sliver on to all of its articles and
-  users. Where all that a node's categories can add is no more than the limit, the node can
-  only stay if something else reaches it too, and the category part is looked up for such
-  nodes alone (``_moved``). The work per label then follows the rows kept, not the nodes;
-* labels never mix. When the edges are few enough to broadcast, ranks stay partitioned by
-  label and a pass needs no shuffle but that of the rows it keeps. A label has at most one
-  row per node, so the same limit bounds the rows of the largest label.
+  nearly every node, because a wide node (a category, a user with very many friends) passes a
+  sliver on along each of its light edges. Where all that the light edges into a node can add is
+  no more than the limit, the node can only stay if something else reaches it too, and the light
+  part is looked up for such nodes alone (``_moved``). The bound holds whatever counts as light,
+  so nothing is lost, and the work per label follows the rows kept, not the nodes.
+
+Edges are written once: the others, of which a node has few as its weights add up to one at most,
+and the light ones in blocks of bounded size, bucketed by source and by source and block, so no
+pass moves an edge and no hub falls to one task. Whether a join broadcasts a small table or merges buckets is left to Catalyst. Labels
+never mix: rows come to the joins dealt by label, and where edges are broadcast the sums
+after it need no further shuffle.
 """
 
 from __future__ import annotations
@@ -26,23 +30,20 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphfeed.lineage import stored
+from graphfeed.lineage import bucketed, stored
 from graphfeed.operators.edges import ARTICLE, CATEGORY, USER
 from graphfeed.operators.skew import skew_join
 
 RANK_COLUMNS = ["node_type", "node", "label", "value"]
 
-# With more edges or seeds than this the loop joins by shuffling instead of broadcasting.
-BROADCAST_EDGES = 2_000_000
+# An edge that weighs less than one part in so many is light; a node with light edges is wide.
+WIDE = 256
+# Light edges of one node that a block should have.
+BLOCK_EDGES = 100_000
 
-# Sums of (label, node) that one task of a pass should hold at once.
-SUMS_PER_TASK = 500_000
-
-# Share of the category edges from which on all of them are moved along as they are.
-MOSTLY = 0.25
-
-# Node types are kept in the two lowest bits of a node number.
+# Node types are kept in the two lowest bits of a node number, and whether it is wide in the third.
 _TYPE_CODES = {USER: 0, ARTICLE: 1, CATEGORY: 2}
+_WIDE_BIT = 4
 
 # Values are compared as if rounded to 12 digits, as sums differ in the last bits.
 _ROUNDING = 0.5e-12
@@ -115,41 +116,34 @@ def prune(ranks: DataFrame, min_weight: float) -> DataFrame:
 
 @dataclass
 class _Graph:
+    """``far``: the light edges, with how many of them end where they do; ``near``: the others."""
+
     nodes: DataFrame
-    edges: DataFrame
+    near: DataFrame
+    far: DataFrame
     out_mass: DataFrame
+    n_wide: DataFrame
+    most_wide: int
     seeds: DataFrame
-    broadcast: bool
-    label_parts: int
-    from_categories: DataFrame
-    n_categories: DataFrame
-    most_categories: int
-
-    def lookup(
-        self, ranks: DataFrame, table: DataFrame, keys: list[str], how: str = "inner"
-    ) -> DataFrame:
-        """Join a table no larger than the edges: one row per node, label or edge."""
-        if self.broadcast:
-            return ranks.join(F.broadcast(table), keys, how)
-        return ranks.join(table, keys, how)
-
-
-def _number_nodes(edges: DataFrame, seeds: DataFrame, broadcast_edges: int) -> _Graph:
+
+
+def _number_nodes(edges: DataFrame, seeds: DataFrame, wide: int, block_edges: int) -> _Graph:
     """Give nodes whole numbers, so that the loop joins and groups on longs."""
     edges = stored(edges, "edges")
-    seeds = stored(seeds, "given-seeds")
-    # nodes and labels are no more than two per edge and one per seed, so both bounds hold for all
-    few = edges.count() <= broadcast_edges and seeds.count() <= broadcast_edges
+    light = F.col("weight") < 1.0 / wide
+    none = F.lit(0).cast("long").alias("n")
     names = (
-        edges.select(F.col("src_type").alias("type"), F.col("src").alias("name"))
-        .unionByName(edges.select(F.col("dst_type").alias("type"), F.col("dst").alias("name")))
-        .unionByName(seeds.select(F.col("node_type").alias("type"), F.col("node").alias("name")))
-        .distinct()
+        edges.select(F.col("src_type").alias("type"), F.col("src").alias("name"),
+                     light.cast("long").alias("n"))
+        .unionByName(edges.select(F.col("dst_type").alias("type"), F.col("dst").alias("name"), none))
+        .unionByName(seeds.select(F.col("node_type").alias("type"), F.col("node").alias("name"), none))
+        .groupBy("type", "name").agg(F.sum("n").alias("n"))
     )
     code = F.lit(None).cast("long")
     for node_type, value in _TYPE_CODES.items():
         code = F.when(F.col("type") == node_type, F.lit(value)).otherwise(code)
-    number = F.shiftleft(F.monotonically_increasing_id(), 2) + code
+    number = (F.shiftleft(F.monotonically_increasing_id(), 3)
+              + F.when(F.col("n") > 0, _WIDE_BIT).otherwise(0) + code)
     # the numbers must not change once given, hence written before they are used
     nodes = stored(names.select("type", "name", number.alias("id")), "nodes")
 
@@ -157,8 +151,6 @@ def _number_nodes(edges: DataFrame, seeds: DataFrame, broadcast_edges: int) -> _
         numbers = nodes.select(
             F.col("type").alias(type_col), F.col("name").alias(name_col), F.col("id").alias(out)
         )
-        if few:
-            return df.join(F.broadcast(numbers), [type_col, name_col])
         return df.join(numbers, [type_col, name_col])
 
     numbered = with_number(edges, "src_type", "src", "src_id")
@@ -170,44 +162,31 @@ def _number_nodes(edges: DataFrame, seeds: DataFrame, broadcast_edges: int) -> _
     starts = with_number(seeds, "node_type", "node", "id").select(
         F.col("id").alias("node"), F.col("id").alias("label"), "value"
     )
-    starts = stored(starts, "seeds")
-    mass = numbered.groupBy(F.col("src").alias("node")).agg(
-        F.sum("weight").alias("mass"),
-        F.max("weight").alias("widest"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    from_categories = numbered.filter(_has_type("src", CATEGORY))
-    # small derivations of a written table: cached, and recomputed if an executor is lost
-    n_categories = from_categories.groupBy(F.col("dst").alias("node")).agg(
-        F.count(F.lit(1)).alias("n_categories")
-    ).persist()
-    counted = n_categories.withColumnRenamed("node", "dst")
-    if few:
-        from_categories = from_categories.join(F.broadcast(counted), "dst")
-    else:
-        from_categories = from_categories.join(counted, ["dst"])
+    out_mass = stored(numbered.groupBy(F.col("src").alias("node")).agg(
+        F.sum("weight").alias("mass"), F.max(F.when(light, F.col("weight"))).alias("widest"),
+        F.ceil(F.count_if(light) / block_edges).cast("int").alias("blocks")), "out-mass")
+    near = numbered.filter(~light)
+    far = numbered.filter(light)
+    n_wide = stored(far.groupBy(F.col("dst").alias("node")).agg(
+        F.count(F.lit(1)).alias("n_wide")), "wide-before")
+    # one row per wide node
+    cut = out_mass.filter(_is_wide("node")).select(F.col("node").alias("src"), "blocks")
+    far = (far.join(cut, "src").join(n_wide.withColumnRenamed("node", "dst"), "dst")
+           .withColumn("block", F.pmod(F.xxhash64("dst"), F.col("blocks")).cast("int"))
+           .drop("blocks"))
     return _Graph(
         nodes,
-        numbered,
-        mass.persist(),
-        starts,
-        few,
-        _label_parts(nodes, starts),
-        from_categories.persist(),
-        n_categories,
-        n_categories.agg(F.max("n_categories")).first()[0] or 0,
+        bucketed(near, ["src"], "near-edges"),
+        bucketed(far, ["src", "block"], "far-edges"),
+        out_mass,
+        n_wide,
+        n_wide.agg(F.max("n_wide")).first()[0] or 0,
+        stored(starts, "seeds"),
     )
 
 
-def _label_parts(nodes: DataFrame, starts: DataFrame) -> int:
-    """Tasks of a pass such that the sums of one task stay in fast memory.
-
-    A task can hold one sum per node for each of its labels.
-    """
-    least = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n_labels = starts.count()
-    sums = n_labels * nodes.count()
-    return min(max(least, sums // SUMS_PER_TASK), max(least, n_labels))
+def _is_wide(node: str) -> Column:
+    return F.col(node).bitwiseAND(F.lit(_WIDE_BIT)) != 0
 
 
 def _has_type(node: str, node_type: str) -> Column:
@@ -217,26 +196,20 @@ def _has_type(node: str, node_type: str) -> Column:
 def _scaled(ranks: DataFrame, graph: _Graph) -> DataFrame:
     """Divide by the total that the label will have after moving."""
     totals = (
-        graph.lookup(ranks, graph.out_mass, ["node"])
+        ranks.join(graph.out_mass, "node")
         .groupBy("label")
         .agg(F.sum(F.col("value") * F.col("mass")).alias("total"))
     )
-    return graph.lookup(ranks, totals, ["label"]).select(
+    return ranks.join(totals, "label").select(
         "node", "label", (F.col("value") / F.col("total")).alias("value")
     )
 
 
 def _spread(
-    ranks: DataFrame, edges: DataFrame, graph: _Graph, where: Column | None = None
+    ranks: DataFrame, edges: DataFrame, keys: list[str], where: Column | None = None
 ) -> DataFrame:
-    """Move values along ``edges`` and sum them per (label, node)."""
-    out = ranks.withColumnRenamed("node", "src")
-    if graph.broadcast:
-        # with all rows of a label in one task, the sums below need no further shuffle
-        joined = out.repartition(graph.label_parts, "label").join(F.broadcast(edges), "src")
-    else:
-        sizes = graph.out_mass.select(F.col("node").alias("src"), "n")
-        joined = skew_join(edges, out, ["src"], sizes=sizes)
+    """Move values along ``edges``, bucketed by ``keys``, and sum them per (label, node)."""
+    joined = ranks.withColumnRenamed("node", "src").repartition("label").join(edges, keys)
     if where is not None:
         joined = joined.filter(where)
     return (
@@ -247,71 +220,49 @@ def _spread(
     )
 
 
-def _category_bounds(held: DataFrame, graph: _Graph) -> DataFrame:
-    """Per label the most one category adds to a node, and all categories together."""
+def _wide_bounds(held: DataFrame) -> DataFrame:
+    """Per label the most one light edge adds to a node, and those of all wide nodes together."""
     each = F.col("value") * F.col("widest")
     # a little room, as the sums that are compared with it differ in the last bits
     room = F.lit(1.000001)
-    return (
-        graph.lookup(held, graph.out_mass, ["node"])
-        .groupBy("label")
-        .agg((F.max(each) * room).alias("one"), (F.sum(each) * room).alias("all"))
-    )
-
-
-def _mostly_moved(bounds: DataFrame, graph: _Graph, limit: float) -> bool:
-    """Whether so many nodes can pass the limit by categories that looking up saves nothing.
-
-    Also true if no label has reached a category yet.
-    """
-    one, all_ = bounds.agg(F.avg("one"), F.avg("all")).first()
-    if one is None:
-        return True
-    if all_ <= limit:
-        return False
-    within = F.avg((F.col("n_categories") * one > limit).cast("double"))
-    share = graph.from_categories.agg(within).first()[0] or 0.0
-    return share > MOSTLY
+    return held.groupBy("label").agg(
+        (F.max(each) * room).alias("one"), (F.sum(each) * room).alias("all"))
 
 
 def _moved(ranks: DataFrame, graph: _Graph, limit: float) -> DataFrame:
     """Sums per (label, node) after moving; sums not above the limit may be missing.
 
-    ``reach`` is the most that the categories of a node can add to it. Pairs whose reach is
-    above the limit get the category values by moving them as usual. The others come up only
+    ``reach`` is the most that the light edges into a node can add to it. Pairs whose reach is
+    above the limit get what comes along them by moving it as usual. The others come up only
     if something else reaches them and both together may pass the limit; for those few the
-    category values are looked up.
+    values behind the light edges are looked up.
     """
-    is_category = _has_type("node", CATEGORY)
-    held = ranks.filter(is_category)
-    bounds = _category_bounds(held, graph)
-    if _mostly_moved(bounds, graph, limit):
-        return _spread(ranks, graph.edges, graph)
-    reach = F.least(F.col("one") * F.col("n_categories"), F.col("all"))
-
-    near = _spread(
-        ranks.filter(~is_category), graph.edges.filter(~_has_type("src", CATEGORY)), graph
-    )
-    near = graph.lookup(near, bounds, ["label"], "left")
-    near = graph.lookup(near, graph.n_categories, ["node"], "left")
+    held = ranks.filter(_is_wide("node")).join(graph.out_mass, "node")
+    bounds = stored(_wide_bounds(held), "bounds")
+    reach = F.least(F.col("one") * F.col("n_wide"), F.col("all"))
+
+    near = _spread(ranks, graph.near, ["src"])
+    near = near.join(bounds, "label", "left").join(graph.n_wide, "node", "left")
     near = near.withColumn("reach", F.coalesce(reach, F.lit(0.0))).filter(
         (F.col("reach") > limit) | (F.col("value") + F.col("reach") > limit)
     )
     near = stored(near.select("node", "label", "value", "reach"), "near")
 
-    strong = F.least(F.col("one") * graph.most_categories, F.col("all")) > limit
+    strong = F.least(F.col("one") * graph.most_wide, F.col("all")) > limit
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
     moved = _spread(
-        graph.lookup(held, bounds.filter(strong), ["label"]),
-        graph.from_categories,
-        graph,
+        held.join(bounds.filter(strong), "label").withColumn("block", F.explode(every))
+        .select("node", "block", "label", "value", "one", "all"),
+        graph.far,
+        ["src", "block"],
         reach > limit,
     )
 
     asked = near.filter((F.col("reach") > 0) & (F.col("reach") <= limit)).select("node", "label")
-    into = graph.from_categories.select(F.col("dst").alias("node"), "src", "weight")
+    into = graph.far.select(F.col("dst").alias("node"), "src", "weight")
     found = (
-        graph.lookup(asked, into, ["node"])
-        .join(held.withColumnRenamed("node", "src"), ["label", "src"])
+        asked.join(into, "node")
+        .join(held.select(F.col("node").alias("src"), "label", "value"), ["label", "src"])
         .select("node", "label", (F.col("value") * F.col("weight")).alias("value"))
     )
 
@@ -327,7 +278,7 @@ def _one_pass(ranks: DataFrame, graph: _Graph, variant: Variant) -> DataFrame:
             _moved(ranks, graph, variant.min_weight).filter(above(value, variant.min_weight)),
             "summed",
         )
-        kept = graph.lookup(summed, label_totals(summed), ["label"]).select(
+        kept = summed.join(label_totals(summed), "label").select(
             "node", "label", (value / F.col("total")).alias("value")
         )
     else:
@@ -356,14 +307,16 @@ def run_passes(
     variant: Variant = CLUSTER,
     passes: int | None = None,
     watch: bool = False,
-    broadcast_edges: int = BROADCAST_EDGES,
+    wide: int = WIDE,
+    block_edges: int = BLOCK_EDGES,
 ) -> tuple[DataFrame, list[tuple[int, float]]]:
     """Ranks after the loop and the change of each watched pass.
 
     ``passes`` fixes the number of passes; without it the loop stops once the change of a
-    pass after the first is within the tolerance.
+    pass after the first is within the tolerance. ``wide`` and ``block_edges`` say how the
+    edges are kept; the ranks do not depend on them.
     """
-    graph = _number_nodes(edges, seeds, broadcast_edges)
+    graph = _number_nodes(edges, seeds, wide, block_edges)
     ranks = graph.seeds
     history: list[tuple[int, float]] = []
     for number in range(1, (passes or variant.max_passes) + 1):
@@ -383,7 +336,7 @@ def _named(ranks: DataFrame, graph: _Graph) -> DataFrame:
     user_names = graph.nodes.filter(F.col("type") == USER).select(
         F.col("id").alias("label"), F.col("name").alias("_label")
     )
-    named = graph.lookup(graph.lookup(ranks, node_names, ["node"]), user_names, ["label"])
+    named = ranks.join(node_names, "node").join(user_names, "label")
     return named.select(
         "node_type", F.col("_node").alias("node"), F.col("_label").alias("label"), "value"
     )

@@ -88,15 +88,24 @@ VARIANTS = {
 }
 
 
-@pytest.mark.parametrize("broadcast_edges", [R.BROADCAST_EDGES, 0])
+@pytest.fixture(params=["10MB", "-1"], ids=["broadcast", "shuffled"])
+def joins(spark, request):
+    """Both plans that Catalyst may choose."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield
+    spark.conf.set(name, old)
+
+
+# all nodes wide, some, none
+@pytest.mark.parametrize("wide", [1, 4, 256])
 @pytest.mark.parametrize("variant", VARIANTS.values(), ids=VARIANTS)
-@pytest.mark.parametrize("passes", [3])
-def test_loop_matches_brute_force(small, variant, passes, broadcast_edges):
+def test_loop_matches_brute_force(small, variant, wide):
     edges, seeds = small
-    ranks, _ = R.run_passes(E.weighted_edges(edges), seeds, variant, passes,
-                            broadcast_edges=broadcast_edges)
+    ranks, _ = R.run_passes(E.weighted_edges(edges), seeds, variant, 3, wide=wide, block_edges=2)
     got = {(r.node_type + r.node, r.label): r.value for r in ranks.collect()}
-    assert got == pytest.approx(brute(edges, seeds, variant, passes))
+    assert got == pytest.approx(brute(edges, seeds, variant, 3))
 
 
 def by_steps(weights, seeds, limit, passes):
@@ -107,49 +116,92 @@ def by_steps(weights, seeds, limit, passes):
     return {(r.node_type + r.node, r.label): r.value for r in ranks.collect()}
 
 
-# from limits that the categories of most nodes can pass to one that none can
-@pytest.mark.parametrize("limit", [0.0001, 0.004, 0.0085, 0.05])
-def test_looking_categories_up_loses_nothing(tables, limit, monkeypatch):
+# from limits that the wide nodes before most nodes can pass to one that none can
+@pytest.mark.parametrize("limit", [0.0001, 0.02, 0.05])
+def test_looking_wide_nodes_up_loses_nothing(tables, limit, joins):
     from graphfeed.plans.ranking import graph_weights
 
-    monkeypatch.setattr(R, "MOSTLY", 1.0)
     weights = stored(graph_weights(tables), "weights")
     seeds = stored(E.seeds(tables.interests()), "seeds")
     want = by_steps(weights, seeds, limit, 2)
-    for broadcast_edges in (R.BROADCAST_EDGES, 0):
-        ranks, _ = R.run_passes(weights, seeds, R.Variant(limit, 0.001, False), 2,
-                                broadcast_edges=broadcast_edges)
-        got = {(r.node_type + r.node, r.label): r.value for r in ranks.collect()}
-        assert got == pytest.approx(want)
+    ranks, _ = R.run_passes(weights, seeds, R.Variant(limit, 0.001, False), 2, wide=40, block_edges=4)
+    got = {(r.node_type + r.node, r.label): r.value for r in ranks.collect()}
+    assert got == pytest.approx(want)
 
 
-def test_limits_above_cover_both_ways(tables):
-    """At the middle limits some pairs are moved to and others looked up."""
+def test_limit_between_the_reaches(tables):
+    """Some pairs are moved to along light edges and others looked up."""
     from graphfeed.plans.ranking import graph_weights
 
-    graph = R._number_nodes(graph_weights(tables), E.seeds(tables.interests()),
-                            R.BROADCAST_EDGES)
+    weights = stored(graph_weights(tables), "weights")
+    seeds = stored(E.seeds(tables.interests()), "seeds")
+    graph = R._number_nodes(weights, seeds, 40, 4)
     ranks = R._scaled(R._one_pass(graph.seeds, graph, R.CLUSTER), graph)
-    bounds = R._category_bounds(ranks.filter(R._has_type("node", "c")), graph)
-    counts = [r.n_categories for r in graph.n_categories.collect()]
+    bounds = R._wide_bounds(ranks.filter(R._is_wide("node")).join(graph.out_mass, "node"))
+    counts = [r.n_wide for r in graph.n_wide.collect()]
     reaches = [min(b.one * n, b["all"]) for b in bounds.collect() for n in counts]
-    for limit in (0.004, 0.0085):
-        assert min(reaches) < limit < max(reaches)
-    assert max(reaches) < 0.05
-
+    limit = (min(reaches) + max(reaches)) / 2
+    assert min(reaches) < limit < max(reaches)
+    got, _ = R.run_passes(weights, seeds, R.Variant(limit, 0.001, False), 2, wide=40, block_edges=4)
+    assert {(r.node_type + r.node, r.label): r.value for r in got.collect()} == pytest.approx(
+        by_steps(weights, seeds, limit, 2))
 
-def test_shuffled_loop_on_tables(tables):
-    """Shuffling the edges gives what broadcasting them gives."""
-    from graphfeed.plans.ranking import graph_weights
 
-    weights, seeds = graph_weights(tables), E.seeds(tables.interests())
-    small, _ = R.run_passes(weights, seeds, passes=2)
-    large, _ = R.run_passes(weights, seeds, passes=2, broadcast_edges=0)
-    key = ["node_type", "node", "label"]
-    joined = small.join(large.withColumnRenamed("value", "other"), key, "full")
-    worst = joined.agg(F.max(F.abs(F.coalesce("value", F.lit(9.0))
-                                   - F.coalesce("other", F.lit(9.0))))).first()[0]
-    assert worst < 1e-12
+@pytest.fixture(scope="module")
+def hubs(spark):
+    """A user with 400 friends and a category of 300 articles, next to small circles."""
+    friends = [("hub", f"f{i}") for i in range(400)] + [(f"f{i}", f"f{i + 1}") for i in range(0, 400, 4)]
+    friends = spark.createDataFrame(friends + [(b, a) for a, b in friends], "src string, dst string")
+    news = spark.createDataFrame([(i, "big" if i < 300 else f"c{i % 9}") for i in range(340)],
+                                 "id long, category string")
+    interests = spark.createDataFrame(
+        [("hub", "big")] + [(f"f{i}", "big" if i % 20 == 0 else f"c{i % 9}") for i in range(0, 400, 5)],
+        "usr string, category string")
+    likes = spark.createDataFrame([(f"f{i}", i * 7 % 340) for i in range(0, 400, 3)],
+                                  "usr string, article_id long")
+    edges = E.all_edges(E.article_category_edges(news), E.interest_edges(interests),
+                        E.like_edges(likes), E.friend_edges(friends))
+    return stored(E.weighted_edges(edges), "weights"), stored(E.seeds(interests), "seeds")
+
+
+def test_two_hubs(hubs, joins):
+    """The hubs' edges lie in blocks, and what they pass on in slivers is not moved."""
+    weights, seeds = hubs
+    limit = 0.01
+    want = by_steps(weights, seeds, limit, 3)
+    ranks, _ = R.run_passes(weights, seeds, R.Variant(limit, 0.001, False), 3, block_edges=50)
+    assert {(r.node_type + r.node, r.label): r.value for r in ranks.collect()} == pytest.approx(want)
+
+    graph = R._number_nodes(weights, seeds, R.WIDE, 50)
+    wide = {r.name for r in graph.nodes.filter(R._is_wide("id")).collect()}
+    assert wide == {"hub", "big"}
+    blocks = graph.far.groupBy("src", "block").count().collect()
+    assert len(blocks) >= 12 and max(r["count"] for r in blocks) < 100
+    assert graph.near.groupBy("src").count().agg(F.max("count")).first()[0] < R.WIDE
+    ranks = graph.seeds
+    for _ in range(2):
+        ranks = R._one_pass(ranks, graph, R.Variant(limit, 0.001, False))
+    scaled = stored(R._scaled(ranks, graph), "scaled")
+    edges = graph.near.unionByName(graph.far.drop("n_wide", "block"))
+    every = scaled.join(edges.select(F.col("src").alias("node"), "dst"), "node").select("label", "dst").distinct()
+    assert R._moved(scaled, graph, limit).count() < every.count() / 5
+
+
+def test_bucketed_edges_are_not_moved(hubs, spark):
+    weights, seeds = hubs
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        graph = R._number_nodes(weights, seeds, R.WIDE, 50)
+        held = graph.seeds.withColumn("block", F.col("label").cast("int"))
+        plans = [R._spread(graph.seeds, graph.near, ["src"]),
+                 R._spread(held, graph.far, ["src", "block"])]
+        plans = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # rows by label, rows by source, sums; the edges have no exchange of their own
+    for plan in plans:
+        assert plan.count("Exchange hashpartitioning") == 3, plan
 
 
 def test_converges(tables):
