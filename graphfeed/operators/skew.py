@@ -113,12 +113,15 @@ def _number_by_range(
     runs = placed.groupBy(*keys, "_part").agg(
         F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy("_part")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    if keys:
+        earlier = (
+            Window.partitionBy(*keys)
+            .orderBy("_part")
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    else:
+        runs = runs.join(_sums_before(runs.select("_part", "_n")), "_part")
     return (
         placed.join(F.broadcast(runs.drop("_n")), [*keys, "_part"])
         .withColumn(name, F.col("_seq") - F.col("_first") + F.col("_before") + 1)
@@ -126,6 +129,47 @@ def _number_by_range(
     )
 
 
+def _sums_before(parts: DataFrame, fan: int = 1024) -> DataFrame:
+    """(_part, _before) from (_part, _n): the sum of ``_n`` over smaller parts, in two levels.
+
+    Parts are numbered by ranges of a table; ``fan`` neighbours are summed in one task, and only
+    one number per such group meets the others.
+    """
+    group = F.floor(F.col("_part") / fan)
+    earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    inside = parts.withColumn("_group", group).withColumn(
+        "_inside", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    totals = F.collect_list(F.struct(F.col("_group").alias("g"), F.col("_total").alias("n")))
+    zero = F.lit(0).cast("long")
+    above = (
+        parts.groupBy(group.alias("_group")).agg(F.sum("_n").alias("_total"))
+        .agg(totals.alias("_all"))
+        .select("_all", F.explode("_all").alias("_one"))
+        .select(F.col("_one.g").alias("_group"), F.aggregate(
+            F.filter("_all", lambda x: x.g < F.col("_one.g")), zero, lambda a, x: a + x.n
+        ).alias("_above"))
+    )
+    return inside.join(above, "_group").select(
+        "_part", (F.col("_inside") + F.col("_above")).alias("_before"))
+
+
+def sums_before(counts: DataFrame, order: Sequence[Column], n: str, name: str) -> DataFrame:
+    """``counts`` with the sum of column ``n`` over all rows before, in a total order.
+
+    Rows are range-partitioned; sums run within a range, and ranges are summed in two levels.
+    """
+    placed = stored(
+        counts.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    earlier = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("_part").agg(F.sum(n).alias("_n"))
+    return (
+        placed.withColumn("_inside", F.coalesce(F.sum(n).over(earlier), F.lit(0)))
+        .join(_sums_before(totals), "_part")
+        .select(*counts.columns, (F.col("_inside") + F.col("_before")).alias(name))
+    )
+
+
 def previous_within(
     df: DataFrame,
     keys: Sequence[str],
@@ -152,14 +196,12 @@ def dense_index(df: DataFrame, id_col: str, name: str = "rn", bits: int = 20) ->
     """Zero-based rank of a unique integer id, without sorting the table in one task.
 
     Ids are cut into blocks of ``2**bits``; a block holds at most that many rows because
-    ids are unique. The running total over blocks sees one row per block.
+    ids are unique. With sparse ids there may be as many blocks as rows: their starts are sums
+    over ranges, not over one task.
     """
     block = F.shiftright(F.col(id_col), bits)
     blocks = df.groupBy(block.alias("_block")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(
-        "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")
-    )
+    starts = sums_before(blocks, [F.col("_block")], "_n", "_start").drop("_n")
     inside = F.row_number().over(Window.partitionBy("_block").orderBy(id_col))
     return (
         df.withColumn("_block", block)

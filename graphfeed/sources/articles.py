@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from graphfeed.operators.skew import sums_before
+
 ARTICLE = T.StructType(
     [
         T.StructField(name, T.StringType())
@@ -39,9 +41,10 @@ def read_articles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
 def read_with_line_ids(spark: SparkSession, path: str) -> DataFrame:
     """Articles with their zero-based line number over all files in path order.
 
-    Part files come in the order of their numbers. A file is read in blocks. The number of a line is the number of lines in earlier blocks
-    plus its place in its own block, so only one row per block is ever ordered. Bad lines
-    count, as they do in the file, but are left out of the result.
+    Part files come in the order of their numbers. A file is read in blocks. The number of a
+    line is the number of lines in earlier blocks plus its place in its own block, so only one
+    row per block is ever ordered, in ranges. Bad lines count, as they do in the file, but are
+    left out of the result.
     """
     lines = spark.read.text(path).select(
         "value",
@@ -50,14 +53,9 @@ def read_with_line_ids(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_seq"),
     )
     part = F.expr("try_cast(regexp_extract(_file, 'part-([0-9]+)', 1) as bigint)")
-    earlier = Window.orderBy(part, "_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        lines.groupBy("_file", "_block")
-        .agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .drop("_n")
-    )
-    # one row per file block
+    blocks = lines.groupBy("_file", "_block").agg(
+        F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    blocks = sums_before(blocks, [part, F.col("_file"), F.col("_block")], "_n", "_before").drop("_n")
     numbered = lines.join(blocks, ["_file", "_block"]).withColumn(
         "id", F.col("_seq") - F.col("_first") + F.col("_before")
     )

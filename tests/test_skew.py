@@ -43,6 +43,29 @@ def test_number_whole_table(frame, rows):
     assert {r.id: r.position for r in got} == want
 
 
+def test_sums_before(frame, rows):
+    """Sums of all rows before, over many ranges in two levels."""
+    got = skew.sums_before(frame, [F.col("ts").desc(), F.col("id")], "v", "before").collect()
+    want, so_far = {}, 0
+    for _, _, i, v in sorted(rows, key=lambda r: (-r[1], r[2])):
+        want[i], so_far = so_far, so_far + v
+    assert {r.id: r.before for r in got} == want
+    parts = frame.select(F.col("id").alias("_part"), F.col("v").alias("_n"))
+    got = skew._sums_before(parts, fan=50).collect()
+    assert {r._part: r._before for r in got} == {
+        i: sum(r[3] for r in rows[:i]) for i in range(len(rows))}
+
+
+def test_dense_index_of_sparse_ids(spark):
+    """Every id in a block of its own; no window without partitions in the plan."""
+    ids = [(i * 7919 % 1009) * (1 << 40) for i in range(500)]
+    got = skew.dense_index(spark.createDataFrame([(i,) for i in ids], "id long"), "id")
+    assert {r.id: r.rn for r in got.collect()} == {i: n for n, i in enumerate(sorted(ids))}
+    windows = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+               if "Window [" in line]
+    assert windows and all("_group" in w or "_part" in w or "_block" in w for w in windows)
+
+
 @pytest.mark.parametrize("hot_rows", [None, 100])
 def test_previous_within(frame, rows, hot_rows):
     order = [F.col("ts").asc(), F.col("id").asc()]
