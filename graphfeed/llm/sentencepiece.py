@@ -306,6 +306,7 @@ class Coder:
         self.value = v.trie.value.tolist()
         self.known: dict[str, bytes] = {}  # pieces as 32-bit numbers
         self.before: dict[str, bytes] = {}  # the generation before
+        self.misspelt: set[str] = set()  # words whose pieces do not spell them
         self.lattice = Lattice(v)
         self.spoken = [b"" if k in (CONTROL, UNKNOWN) else bytes([int(p[3:5], 16)]) if k == BYTE
                        else p.encode() for p, k in zip(v.pieces, v.kinds, strict=True)]
@@ -328,16 +329,29 @@ class Coder:
         for places, rows in by_size(short):
             if len(places) >= FEW:
                 flat, stops = self.lattice.best(rows)
+                right = self._spelt(flat, stops, rows)
                 flat, first = flat.astype("<i4").tobytes(), 0
-                for i, stop in zip(places, (4 * stops).tolist(), strict=True):
+                for i, stop, spelt in zip(places, (4 * stops).tolist(), right, strict=True):
                     if stop > 0:
                         known[fresh[i]] = flat[first:stop]
+                        if not spelt:
+                            self.misspelt.add(fresh[i])
                     first = abs(stop)
 
+    def _spelt(self, flat: np.ndarray, stops: np.ndarray, rows: np.ndarray) -> list[bool]:
+        """Per row whether its pieces spell its bytes."""
+        spoken, size, first, out = self.spoken, rows.shape[1], 0, []
+        ids, data = flat.tolist(), rows.tobytes()
+        for i, stop in enumerate(np.abs(stops).tolist()):
+            out.append(b"".join([spoken[p] for p in ids[first:stop]]) == data[i * size:(i + 1) * size])
+            first = stop
+        return out
+
     def _make_room(self) -> None:
         """Frequent words live on: they are taken over from the generation before."""
         if len(self.known) >= REMEMBERED:
             self.before, self.known = self.known, {}
+            self.misspelt.intersection_update(self.before)
 
     def segment(self, unit: str) -> list[int]:
         """The pieces of highest total score (Viterbi); ties go to the earlier start."""
@@ -385,18 +399,40 @@ class Coder:
 
     def joined(self, units: list[str]) -> np.ndarray:
         """The pieces of units one after another."""
-        known, before, out = self.known, self.before, []
-        for unit in units:
-            ids = known.get(unit)
-            if ids is None:
-                ids = before.get(unit)
-                if ids is None:
-                    ids = np.array(self.segment(unit), "<i4").tobytes()
-                if len(unit) <= LONG:
-                    known[unit] = ids
-            out.append(ids)
+        known, before = self.known, self.before
+        out = list(map(known.get, units))
+        if None in out:
+            for i, unit in enumerate(units):
+                if out[i] is None:
+                    out[i] = known.get(unit) or before.get(unit) or self._learnt(unit)
+                    if len(unit) <= LONG:
+                        known[unit] = out[i]
         return np.frombuffer(b"".join(out), "<i4")
 
+    def _learnt(self, unit: str) -> bytes:
+        ids = self.segment(unit)
+        if b"".join(map(self.spoken.__getitem__, ids)) != unit.encode():
+            self.misspelt.add(unit)
+        return np.array(ids, "<i4").tobytes()
+
+    def lossless(self, text: str, normal: str, units: list[str]) -> bool:
+        """Whether decoding the pieces of ``units``, which make up ``normal``, gives ``text`` back.
+
+        Pieces are decoded once per word, when it is learnt; a text of words that are spelt right
+        decodes to ``normal``.
+        """
+        if self.misspelt and not self.misspelt.isdisjoint(units):
+            return self.decode(self.joined(units).tolist()) == self._wanted(text)
+        return self._spaced(normal) == self._wanted(text)
+
+    def _wanted(self, text: str) -> str:
+        return re.sub(" +", " ", text).strip(" ") if self.v.squeeze else text
+
+    def _spaced(self, normal: str) -> str:
+        if self.v.prefix and normal.startswith(MARK):
+            normal = normal[1:]
+        return normal.replace(MARK, " ")
+
     def expected(self, unit: str, count: int, into: np.ndarray) -> None:
         """As ``Lattice.expected`` of one word of any size; only the sums are kept, not the ways."""
         data, scores = unit.encode(), self.v.scores
@@ -433,10 +469,7 @@ class Coder:
             yield after, -1
 
     def decode(self, ids: Iterable[int]) -> str:
-        text = b"".join(map(self.spoken.__getitem__, ids)).decode("utf-8", "replace")
-        if self.v.prefix and text.startswith(MARK):
-            text = text[1:]
-        return text.replace(MARK, " ")
+        return self._spaced(b"".join(map(self.spoken.__getitem__, ids)).decode("utf-8", "replace"))
 
 
 def load(path: str = VOCABULARY) -> Vocabulary:
@@ -536,12 +569,11 @@ def encoded(docs: DataFrame, doc_id: Column, text: Column, vocabulary: Vocabular
         is_byte[list(vocabulary.bytes.values())] = True
         for batch in batches:
             for part, texts in parted(batch):
-                units = [vocabulary.units(vocabulary.normalised(text)) for text in texts]
+                normal = [vocabulary.normalised(text) for text in texts]
+                units = [vocabulary.units(text) for text in normal]
                 coder.remember(units)
                 ids = [coder.joined(words) for words in units]
-                whole = [coder.decode(own.tolist()) == (
-                    re.sub(" +", " ", text).strip(" ") if vocabulary.squeeze else text)
-                    for own, text in zip(ids, texts, strict=True)]
+                whole = list(map(coder.lossless, texts, normal, units))
                 bounds = np.concatenate([[0], np.cumsum([len(own) for own in ids])])
                 flat = np.concatenate(ids)
                 n_bytes = np.diff(np.concatenate([[0], np.cumsum(is_byte[flat])])[bounds])
