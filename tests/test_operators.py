@@ -61,6 +61,27 @@ def test_rank_table_versions(spark, tmp_path):
     assert ranks.versions(spark, path) == [1, 2, 3]
 
 
+def test_an_upsert_writes_only_the_buckets_it_touches(spark, tmp_path):
+    path = str(tmp_path / "recs")
+    old = spark.range(400).selectExpr("concat('u', id % 40) label", "id article_id", "1.0D article_rank")
+    ranks.write_recs(old, path, rows_per_bucket=25)
+    buckets, before = ranks.bucket_folders(spark, path)
+    assert buckets == 16 and len(before) > 8
+    # a key twice: the higher rank is put
+    new = spark.createDataFrame([("u3", 3, 5.0), ("u3", 3, 7.0), ("u3", 900, 2.0)], ranks.RECS)
+    got = ranks.write_recs(new, path, mode="upsert")
+    _, after = ranks.bucket_folders(spark, path)
+    assert sum(before[b] != after[b] for b in before) == 1
+    want = {(r.label, r.article_id): 1.0 for r in old.collect()} | {("u3", 3): 7.0, ("u3", 900): 2.0}
+    assert {(r.label, r.article_id): r.article_rank for r in got.collect()} == want and got.count() == 401
+    ranks.drop_old(spark, path)
+    assert ranks.read_recs(spark, path).count() == 401
+    ranks.write_recs(new.limit(0), path)
+    ranks.drop_old(spark, path)
+    assert ranks.read_recs(spark, path).count() == 0 and ranks.versions(spark, path) == [3]
+    assert ranks.write_recs(new, path, mode="upsert").count() == 2
+
+
 # pairs from the published description of the algorithm
 STEMS = dict(p.split(">") for p in """
     caresses>caress ponies>poni ties>ti cats>cat feed>feed agreed>agre plastered>plaster bled>bled

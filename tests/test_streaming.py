@@ -51,3 +51,21 @@ def test_a_repeated_batch_counts_once(spark, tmp_path):
     table.merge(second, 1)
     table.merge(second, 1)
     assert sorted(map(tuple, table.read().collect())) == [(1, 1), (2, 2), (3, 1)]
+
+
+def test_many_batches_leave_few_runs(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), "k long, n long", ["k"], ["n"], fan=3)
+    want = {}
+    for i in range(30):
+        rows = [(i % 7, i), (i % 4, i)]
+        want |= dict(rows)
+        table.merge(spark.createDataFrame(rows, table.schema).coalesce(1), i)
+        # read while the runs just merged are still there
+        if i % 9 == 8:
+            assert dict(map(tuple, table.read().collect())) == want
+    assert sum(map(len, table.runs())) <= 3 * 4
+    # an old batch comes again, to a writer that knows nothing of the one before
+    again = KeyedTable(spark, table.path, table.schema, ["k"], ["n"], fan=3)
+    again.merge(spark.createDataFrame([(1, 8), (0, 8)], table.schema), 8)
+    assert dict(map(tuple, again.read().collect())) == want
+    assert KeyedTable(spark, str(tmp_path / "none"), table.schema, ["k"], ["n"]).read().count() == 0
