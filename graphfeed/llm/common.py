@@ -21,3 +21,13 @@ def words(text: Column) -> Column:
 def id_remainder(doc_id: Column) -> Column:
     """crc32 of the id as text, mod 5; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(5))
+
+
+def hash_sample(df: DataFrame, key: str, size: int, count: int) -> DataFrame:
+    """About ``size`` of the ``count`` rows: those with the smallest hashes of ``key``, all if no more.
+
+    A threshold, not a sorted limit, so that no more than the sample ever leaves the executors.
+    """
+    if count <= size:
+        return df
+    return df.filter(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < (1 << 40) * size // count)

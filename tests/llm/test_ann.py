@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +73,30 @@ def test_graph_search_finds_the_nearest():
         assert len(set(f)) == 40 and (np.diff(d) >= 0).all()
         near = np.argsort(((points - q) ** 2).sum(1))[:10]
         assert len(set(near) & set(f)) >= 9
+
+
+@pytest.mark.parametrize("clusters", [None, 40])
+def test_recall_with_many_lists(spark, tmp_path, clusters):
+    """64 dimensions, hundreds of lists, with and without clusters."""
+    random = np.random.default_rng(5)
+    x = random.standard_normal((20_000, 64))
+    if clusters:
+        x += 2 * random.standard_normal((clusters, 64))[random.integers(0, clusters, len(x))]
+    rows = pa.table({"vec_id": np.arange(len(x)), "embedding": list(x)})
+    pq.write_table(rows, tmp_path / "v.parquet", row_group_size=4000)
+    got = {}
+    for r in A.nearest(spark.read.parquet(str(tmp_path / "v.parquet")), F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, len(x), 100):
+        distance = ((x - x[q]) ** 2).sum(1)
+        distance[q] = np.inf
+        hits += len(got[q] & set(np.argsort(distance)[:10].tolist()))
+    assert len(got) == 200 and hits >= 0.93 * 10 * len(got)
+
+
+def test_groups_hold_every_list_once():
+    points = np.random.default_rng(3).standard_normal((1000, 5))
+    group = A.grouped(points, 64)
+    assert np.bincount(group).max() <= 64 and np.bincount(group).min() > 0
+    assert A.grouped(np.zeros((200, 3)), 64).max() >= 3
