@@ -6,8 +6,8 @@ the text; the weights minimise the logistic loss over pairs. A document is then
 if its score reaches a quantile of the scores of all labelled training rows: the share of bad labels.
 
 Features are measured on every whole text in one pass and stored, a few numbers per document.
-Weights are fitted on a bounded sample: the ``SAMPLE`` labelled training documents with the
-smallest hash of their id, and ``PAIRS`` pairs of them.
+Weights are fitted on a bounded sample: the labelled training documents with the smallest
+hashes of their ids, about ``SAMPLE`` of them, and ``PAIRS`` pairs of them.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphfeed.lineage import stored
+from graphfeed.llm.common import hash_sample
 from graphfeed.operators.skew import number_within
 
 SAMPLE = 20_000
@@ -125,14 +126,15 @@ class Ranking:
 def fitted(measures: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking:
     """The ranking learnt from labelled rows: ``labels`` has ``_id`` and ``good``, one row per id.
 
-    Weights come from ``sample`` rows, the cut from all.
+    Weights come from about ``sample`` rows, the cut from all.
     """
-    known = measures.filter(F.col("_id").isNotNull()).join(labels, "_id")
-    rows = (known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
-            .select("features", "good").collect())
+    known = stored(measures.filter(F.col("_id").isNotNull()).join(labels, "_id").select(
+        "_id", "features", "good"), "quality-known")
+    count = known.count()
+    rows = sorted(hash_sample(known, "_id", sample, count).collect())
     model = Ranking(np.array([r["features"] for r in rows]).reshape(-1, FEATURES),
                     np.array([r["good"] for r in rows], bool))
-    if len(rows) == sample:  # there may be more
+    if count > len(rows):
         model.cut = cut_of_all(known, model)
     return model
 

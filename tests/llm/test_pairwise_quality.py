@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -69,3 +71,20 @@ def test_cut_is_the_quantile_of_all_labelled_rows(spark):
     df = spark.createDataFrame(rows, "_id long, features array<double>, good boolean")
     model = Q.fitted(df.select("_id", "features"), df.select("_id", "good"), sample=60)
     assert model.cut == pytest.approx(np.quantile(model.raw(x), (~good).mean()), abs=1e-9)
+
+
+def test_query_against_plain_numpy(spark):
+    """The whole query at once: labelled rows in order of id, one process, no Spark."""
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in table(spark, sf_dir, "documents").collect()}
+    marks = {r.doc_id: r.quality == 1 for r in table(spark, sf_dir, "labels").collect()}
+    classes = Q._class_table()
+    x = {i: Q.features((t or "").encode(), classes) for i, t in texts.items()}
+    taught = [i for i in sorted(marks) if i in texts and zlib.crc32(str(i).encode()) % 5]
+    model = Q.Ranking(np.array([x[i] for i in taught]), np.array([marks[i] for i in taught]))
+    rows = queries.op8_pairwise_quality(spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        want = float(model.score(x[r.doc_id])[0])
+        assert r.score == pytest.approx(want, abs=1e-9) and r.predicted == int(r.score >= 0.3)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
