@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphfeed.operators.skew import newest, number_within
 
+# Letters of the longest parts by which user ids are looked up.
+GRAM = 3
+
 
 def lookup(users: DataFrame, wanted: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Profiles of the wanted ids; all columns or only ``cols``."""
@@ -16,29 +19,50 @@ def lookup(users: DataFrame, wanted: DataFrame, cols: Sequence[str] | None = Non
     return found.select("id", *cols) if cols else found
 
 
-def match_users(users: DataFrame, terms: DataFrame) -> DataFrame:
+def _grams(rows: DataFrame, column: str, sizes: Sequence[int]) -> DataFrame:
+    """``column`` and its distinct substrings of the given sizes, as ``gram``."""
+    cut = F.array(*[F.lit(size) for size in sizes])
+    starts = F.when(F.length(column) >= F.col("_len"),
+                    F.sequence(F.lit(1), F.length(column) - F.col("_len") + 1))
+    return (
+        rows.select(column, F.explode(cut).alias("_len"))
+        .select(column, "_len", F.explode(starts).alias("_at"))
+        .select(column, F.substring(column, F.col("_at"), F.col("_len")).alias("gram"))
+        .distinct()
+    )
+
+
+def match_users(users: DataFrame, terms: DataFrame, n: int | None = None) -> DataFrame:
     """(term, id) for each user id that contains a term; empty terms match nothing.
 
-    Ids are cut into their distinct substrings and joined by equality, so the work is the
-    ids' letters, not users x terms. Ids are short; only lengths of actual terms are cut.
+    Ids are indexed by their substrings of up to ``GRAM`` letters. A term that short is one of
+    these; a longer one is looked up by its rarest part, and the ids found are compared with it. With
+    ``n`` the first ``n`` ids of each term are kept, and no list of a short term is longer
+    from the start.
     """
     asked = terms.select("term").filter(F.length("term") > 0).distinct()
-    # distinct lengths: never more than the longest id has letters
-    lengths = asked.select(F.length("term").alias("_len")).distinct()
-    longest = users.agg(F.max(F.length("id"))).first()[0] or 0
-    wanted = [r[0] for r in lengths.filter(F.col("_len") <= longest).collect()]
-    sizes = F.array(*[F.lit(v) for v in wanted]).cast("array<int>")
-    starts = F.when(
-        F.length("id") >= F.col("_len"),
-        F.sequence(F.lit(1), F.length("id") - F.col("_len") + 1),
-    )
-    pieces = (
-        users.select("id", F.explode(sizes).alias("_len"))
-        .select("id", "_len", F.explode(starts).alias("_at"))
-        .select("id", F.substring("id", F.col("_at"), F.col("_len")).alias("term"))
-        .distinct()
+    short = asked.filter(F.length("term") <= GRAM).select("term", F.col("term").alias("gram"))
+    long = asked.filter(F.length("term") > GRAM)
+    index = _grams(users.select("id").distinct(), "id", range(1, GRAM + 1))
+    parts = index.filter(F.length("gram") == GRAM)
+    counts = parts.groupBy("gram").agg(F.count(F.lit(1)).alias("_ids"))
+    # a part that no id has is the rarest
+    rarest = (
+        _grams(long, "term", [GRAM]).join(counts, ["gram"], "left")
+        .groupBy("term")
+        .agg(F.min_by("gram", F.struct(F.coalesce("_ids", F.lit(0)), "gram")).alias("gram"))
     )
-    return pieces.join(asked, ["term"])
+    heads = index if n is None else _first(index, "gram", n)
+    found = short.join(heads, ["gram"]).unionByName(
+        rarest.join(parts, ["gram"]).filter(F.contains("id", "term"))
+    ).select("term", "id")
+    return found if n is None else _first(found, "term", n)
+
+
+def _first(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` smallest ids per key; cut in every task before they are moved."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy("id"))
+    return rows.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
 
 
 def presence_now(log: DataFrame) -> DataFrame:

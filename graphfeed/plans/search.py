@@ -18,10 +18,22 @@ def inverted_index(t: Tables, stem: bool) -> DataFrame:
     return stored.drop("bucket")
 
 
+# Paths of the indexes this application has written, by application, input folder and stemming.
+_INDEXES: dict[tuple[str, str, bool], str] = {}
+
+
+def _index_path(t: Tables, stem: bool) -> str:
+    """The index over all articles: written by the first search, read by the following ones."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, stem)
+    if key not in _INDEXES:
+        path = scratch_path(t.spark, "index")
+        N.write_index(N.build_index(t.news(), stem=stem), path)
+        _INDEXES[key] = path
+    return _INDEXES[key]
+
+
 def keyword_search(t: Tables, stem: bool) -> DataFrame:
-    news = t.news()
-    index = N.write_index(N.build_index(news, stem=stem), scratch_path(t.spark, "index"))
-    return N.search(index, news, t.search_queries(), stem=stem)
+    return N.search(_index_path(t, stem), t.news(), t.search_queries(), stem=stem)
 
 
 def token_counts(t: Tables) -> DataFrame:

@@ -84,6 +84,7 @@ QUERIES = {
     "prefix_filter": prefix_filter,
     "hashtag_posts": hashtag_posts,
     "user_autocomplete": lambda t: social.match_users(t.users(), t.search_terms()),
+    "user_autocomplete_top10": lambda t: social.match_users(t.users(), t.search_terms(), n=10),
     "signup_validation": lambda t: V.checked_signups(t.signup_forms()).select(
         "form_id", "username", "reason"),
     "account_update_validation": lambda t: V.checked_account_updates(t.update_forms()).select(
@@ -156,6 +157,9 @@ ORACLES = {
               union select tag2, post_id, author, ts from v_posts)"""),
     "user_autocomplete": with_views(
         "select term, id from v_terms join v_users on contains(id, term)"),
+    "user_autocomplete_top10": with_views("""
+        select term, id from v_terms join v_users on contains(id, term)
+        qualify row_number() over (partition by term order by id) <= 10"""),
     "article_date_filter": with_views("""
         select id, date, headline from v_news where date in ('2017-02-29', '2017-06-11')"""),
     "signup_validation": with_views(f"""

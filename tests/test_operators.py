@@ -126,6 +126,50 @@ def test_search_cut_is_exact(spark):
         assert [got[query][i] for i in sorted(got[query])] == best
 
 
+def test_search_reads_an_index_that_grows_by_segments(spark, tmp_path):
+    path = str(tmp_path / "index")
+    texts = [f"alpha{i % 50} word{i} common" for i in range(300)]
+    news = spark.createDataFrame([(i, text, "", "") for i, text in enumerate(texts)],
+                                 "id long, headline string, authors string, link string")
+    queries = spark.createDataFrame([(1, "alpha7 common"), (2, "word299"), (3, "absent")],
+                                    "query_id long, text string")
+
+    def files():
+        return {str(f) for f in (tmp_path / "index").rglob("*.parquet")}
+
+    def found(index):
+        return sorted(map(tuple, search.search(index, news, queries, n=10, stem=False).select(
+            "query_id", "position", "article_id").collect()))
+
+    search.write_index(search.build_index(news.filter("id < 200"), stem=False), path, rows_per_bucket=100)
+    first = files()
+    buckets, _ = search.segments(spark, path)
+    assert buckets > 2
+    for low in range(200, 300, 20):  # the last 20 come once more with the next
+        part = news.filter(f"id >= {low - 20} and id < {low + 20}")
+        search.add_to_index(search.build_index(part, stem=False), path, fan=4)
+        assert first <= files()
+    assert len(search.segments(spark, path)[1]) <= 4
+    whole = search.build_index(news, stem=False)
+    assert found(path) == found(whole)
+    asked = spark.createDataFrame([("word299",)], "keyword string")
+    plan = search.postings_of(spark, path, asked)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan
+    assert set(search.read_index(spark, path).drop("bucket").distinct().collect()) == set(whole.collect())
+
+
+def test_autocomplete_by_rarest_part(spark):
+    names = [f"user{i}x{i * 7 % 101}" for i in range(400)] + ["useruser", "a", "zz"]
+    wanted = ["u", "er", "ser", "user", "user1", "x100", "userx", "zz", "zzz", "useruseruser", "r9x6"]
+    users = spark.createDataFrame([(v,) for v in names * 2], "id string")
+    terms = spark.createDataFrame([(v,) for v in wanted] + [(None,)], "term string")
+    want = sorted((t, v) for t in wanted for v in names if t in v)
+    assert sorted(map(tuple, social.match_users(users, terms).collect())) == want
+    first = sorted((t, v) for t in wanted for v in sorted(v for v in names if t in v)[:5])
+    got = social.match_users(users, terms, n=5).select("term", "id")
+    assert sorted(map(tuple, got.collect())) == first
+
+
 def test_autocomplete_is_case_sensitive_and_skips_empty(spark):
     users = spark.createDataFrame([("Anna",), ("anna",), ("nan",)], "id string")
     terms = spark.createDataFrame([("an",), ("",), ("nna",), ("far too long a term",)],
