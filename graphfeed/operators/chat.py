@@ -15,6 +15,7 @@ import secrets
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphfeed.lineage import stored
 from graphfeed.operators.skew import number_within
 
 _PIECES = range(4)
@@ -210,6 +211,43 @@ def new_group_members(accepted: DataFrame, membership: DataFrame) -> DataFrame:
     return old.unionByName(joining).distinct()
 
 
+def chat_versions(accepted: DataFrame) -> DataFrame:
+    """(chat, parent, added): a row for each chat that ``accept_group_invites`` has to create.
+
+    Its members are those of ``parent`` and ``added``; they are not copied. A parent may be such a
+    chat itself.
+    """
+    return (
+        accepted.filter("is_new")
+        .select(F.col("entered_chat").alias("chat"), F.col("origin_chat").cast("string").alias("parent"),
+                F.col("origin_invitee").alias("added"))
+        .distinct()
+    )
+
+
+def members_of(asked: DataFrame, versions: DataFrame, membership: DataFrame) -> DataFrame:
+    """(chat, member) of the asked chats, resolved through their versions.
+
+    A round goes one version back for all chats at once; a chat whose parent is a stored one
+    has arrived. Only the asked chats' members are read.
+    """
+    steps = versions.select(F.col("chat").alias("_at"), "parent", "added")
+    at = stored(asked.select("chat").distinct().withColumn("_at", F.col("chat")), "versions")
+    roots, added = at, []
+    while True:
+        back = stored(at.join(steps, ["_at"]), "versions")
+        if back.isEmpty():
+            break
+        added.append(back.select("chat", F.col("added").alias("member")))
+        at = back.select("chat", F.col("parent").alias("_at"))
+        roots = roots.unionByName(at)
+    known = membership.select(F.col("chat_id").cast("string").alias("_at"), "member")
+    found = roots.join(known, ["_at"]).select("chat", "member")
+    for rows in added:
+        found = found.unionByName(rows)
+    return found.distinct()
+
+
 def leave(membership: DataFrame, leavers: DataFrame) -> DataFrame:
     """Membership after leaving; a chat without members keeps one row with null."""
     gone = leavers.select("chat_id", "member").distinct()

@@ -60,6 +60,18 @@ def accept_group_invite_members(t: Tables) -> DataFrame:
     return L.new_group_members(L.accept_group_invites(t.invites(), membership), membership)
 
 
+def accept_group_invite_versions(t: Tables) -> DataFrame:
+    return L.chat_versions(L.accept_group_invites(t.invites(), t.membership()))
+
+
+def accepted_chat_members(t: Tables) -> DataFrame:
+    """The members of the first new chat of each invitee, read through the versions."""
+    membership = t.membership()
+    accepted = L.accept_group_invites(t.invites(), membership)
+    asked = accepted.filter("is_new").groupBy("invitee").agg(F.min("entered_chat").alias("chat"))
+    return L.members_of(asked, L.chat_versions(accepted), membership)
+
+
 def insert_if_absent(t: Tables) -> DataFrame:
     signups = t.profile_log()
     return M.insert_if_absent(signups, "id").select("id", "op_id", "email", "affiliation")
@@ -126,6 +138,8 @@ QUERIES = {
     "accept_invite_open": accept_invite_open,
     "accept_group_invite": accept_group_invite,
     "accept_group_invite_members": accept_group_invite_members,
+    "accept_group_invite_versions": accept_group_invite_versions,
+    "accepted_chat_members": accepted_chat_members,
     "leave_chat": lambda t: L.leave(t.membership(), t.leavers()),
     "insert_if_absent": insert_if_absent,
     "partial_update": partial_update,
@@ -234,6 +248,14 @@ ORACLES = {
     "accept_group_invite_members": _sql("""
         select distinct entered_chat, unnest(string_split(members, ',')) as member
         from v_entered where is_new"""),
+    "accept_group_invite_versions": _sql("""
+        select entered_chat as chat, cast(chat_id as varchar) as parent, invitee as added from v_entered
+        where is_new
+        qualify row_number() over (partition by entered_chat order by chat_id, invitee) = 1"""),
+    "accepted_chat_members": _sql("""
+        select distinct entered_chat as chat, unnest(string_split(members, ',')) as member
+        from v_entered where is_new and entered_chat in (
+          select min(entered_chat) from v_entered where is_new group by invitee)"""),
     "leave_chat": _sql("""
         select m.chat_id, m.member from v_membership m
         anti join v_leavers l on l.chat_id = m.chat_id and l.member = m.member

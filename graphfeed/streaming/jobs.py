@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from graphfeed.lineage import scratch_path
+from graphfeed.lineage import scratch_path, stored
+from graphfeed.operators.skew import HOT_ROWS, skew_join
 from graphfeed.streaming.tables import KeyedTable
 
 
@@ -36,32 +37,63 @@ def drain(writer: DataStreamWriter, name: str, spark: SparkSession) -> None:
 # -- S1 ---------------------------------------------------------------------------------
 
 
+def recipients_of(membership: DataFrame, open_chats: DataFrame) -> DataFrame:
+    """(chat_id, recipient): the members who have the chat open."""
+    inside = membership.withColumnRenamed("member", "recipient")
+    return open_chats.withColumnRenamed("usr", "recipient").join(
+        inside, ["chat_id", "recipient"], "left_semi")
+
+
 def delivered_messages(
-    messages: DataFrame, membership: DataFrame, open_chats: DataFrame
+    messages: DataFrame,
+    membership: DataFrame,
+    recipients: DataFrame,
+    readers: DataFrame,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """A message goes to each member who has its chat open; it is stored only if the sender
-    is a member. Stateless, so it runs on streams and tables alike."""
-    inside = membership.withColumnRenamed("member", "recipient")
-    recipients = open_chats.withColumnRenamed("usr", "recipient").join(
-        inside, ["chat_id", "recipient"], "left_semi")
+    is a member.
+
+    ``readers`` has the number of recipients per chat (chat_id, n). The messages of a chat that would
+    give more than ``hot_rows`` rows are dealt to several tasks; the size of each chat is known before
+    any message meets its recipients. ``messages`` is a table or a micro-batch.
+    """
     senders = membership.select("chat_id", F.col("member").alias("sender"),
                                 F.lit(True).alias("is_stored"))
-    reached = messages.join(recipients, ["chat_id"])
-    return reached.join(senders, ["chat_id", "sender"], "left").select(
-        "chat_id", "turn", "sender", "recipient",
-        F.coalesce("is_stored", F.lit(False)).alias("is_stored"),
+    # judged once per message, not once per recipient
+    judged = messages.join(senders, ["chat_id", "sender"], "left").select(
+        "chat_id", "turn", "sender", F.coalesce("is_stored", F.lit(False)).alias("is_stored"))
+    sizes = (
+        messages.groupBy("chat_id").agg(F.count(F.lit(1)).alias("_messages"))
+        .join(readers, ["chat_id"])
+        .select("chat_id", (F.col("_messages") * F.col("n")).alias("n"))
     )
+    reached = skew_join(judged, recipients, ["chat_id"], hot_rows=hot_rows, sizes=sizes)
+    return reached.select("chat_id", "turn", "sender", "recipient", "is_stored")
 
 
 def deliver(
-    messages: DataFrame, membership: DataFrame, open_chats: DataFrame
+    messages: DataFrame, membership: DataFrame, open_chats: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
+    """The deliveries of a stream of messages, a folder per micro-batch: one that is repeated
+    replaces its own."""
     spark = messages.sparkSession
-    out = delivered_messages(messages, membership, open_chats)
+    recipients = stored(recipients_of(membership, open_chats), "recipients")
+    readers = stored(recipients.groupBy("chat_id").agg(F.count(F.lit(1)).alias("n")), "readers")
     path = scratch_path(spark, "delivered")
-    drain(out.writeStream.outputMode("append").format("parquet").option("path", path),
-          "delivered", spark)
-    return spark.read.schema(out.schema).parquet(path)
+    types = dict(messages.dtypes) | dict(recipients.dtypes)
+    schema = (f"chat_id {types['chat_id']}, turn {types['turn']}, sender {types['sender']}, "
+              f"recipient {types['recipient']}, is_stored boolean")
+    spark.createDataFrame([], schema).write.parquet(f"{path}/batch=-1")
+
+    def send(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # sized, judged and sent
+        delivered_messages(batch, membership, recipients, readers, hot_rows).write.mode(
+            "overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.unpersist()
+
+    drain(messages.writeStream.foreachBatch(send), "delivered", spark)
+    return spark.read.schema(schema).parquet(path).drop("batch")
 
 
 # -- S2, S3 -----------------------------------------------------------------------------

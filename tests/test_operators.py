@@ -260,3 +260,16 @@ def test_scan_is_pruned(tables):
     plan = tables.likes()._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(event_type,click)" in plan
     assert "ReadSchema: struct<user_id:bigint,event_type:string,props:string>" in plan
+
+
+def test_members_through_chains_of_versions(spark):
+    membership = spark.createDataFrame([(1, "a"), (1, "b"), (2, "z")], "chat_id long, member string")
+    versions = spark.createDataFrame(
+        [("n1", "1", "c"), ("n2", "n1", "d"), ("n3", "n2", "e"), ("other", "2", "y"), ("n1b", "1", "f")],
+        "chat string, parent string, added string")
+    asked = spark.createDataFrame([("n3",), ("n1b",), ("2",), ("none",), ("n3",)], "chat string")
+    got = {}
+    for row in chat.members_of(asked, versions, membership).collect():
+        got.setdefault(row.chat, []).append(row.member)
+    assert {c: sorted(m) for c, m in got.items()} == {
+        "n3": list("abcde"), "n1b": list("abf"), "2": ["z"]}

@@ -43,6 +43,34 @@ def test_changes(spark, tables, event_files):
     assert sorted(live.select(columns).collect()) == sorted(batch.select(columns).collect())
 
 
+def test_a_hot_chat_is_spread(spark, tmp_path):
+    talk = [("hot", i, f"u{i % 9}") for i in range(300)] + [("calm", i, "u1") for i in range(5)] + [
+        ("empty", 1, "u1")]
+    rows = spark.createDataFrame(talk, "chat_id string, turn long, sender string")
+    rows.repartition(3).write.parquet(str(tmp_path / "talk"))
+    membership = spark.createDataFrame(
+        [("hot", f"u{i}") for i in range(7)] + [("calm", "u1"), ("calm", "u2")], "chat_id string, member string")
+    opened = spark.createDataFrame([("hot", f"u{i}") for i in range(2, 9)] + [("calm", "u2"), ("empty", "u1")],
+                                   "chat_id string, usr string")
+    inside, viewing = set(map(tuple, membership.collect())), set(map(tuple, opened.collect()))
+    want = sorted((c, t, s, r, (c, s) in inside) for c, t, s in talk for chat, r in inside & viewing if chat == c)
+    live = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "talk"))
+    got = jobs.deliver(live, membership, opened, hot_rows=50)
+    assert sorted(map(tuple, got.collect())) == want
+    # as one table: no task of the join holds most of the hot chat
+    recipients = jobs.recipients_of(membership, opened)
+    readers = recipients.groupBy("chat_id").agg(F.count(F.lit(1)).alias("n"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spread = jobs.delivered_messages(rows, membership, recipients, readers, hot_rows=50)
+        tasks = spread.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r[1] for r in tasks) < 0.6 * len(want) and sorted(map(tuple, spread.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_a_repeated_batch_counts_once(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), "k long, n long", ["k"], ["n"])
     first = spark.createDataFrame([(1, 1), (2, 1)], table.schema)
