@@ -156,12 +156,23 @@ def profile_feed(posts: DataFrame, comments: DataFrame, hot_rows: int | None = N
     return posts_of(with_comment_summary(posts, comments), hot_rows)
 
 
-def feed_comments(feed: DataFrame, comments: DataFrame) -> DataFrame:
-    """The comments under each feed row, in time order."""
-    numbered = number_within(
+def numbered_comments(comments: DataFrame) -> DataFrame:
+    """Comments with their place under their post, in time order."""
+    return number_within(
         comments,
         ["post_id"],
         [F.col("ts").asc(), F.col("comment_id").asc()],
         "comment_position",
     ).select("post_id", "comment_position", "comment_id", "commenter", "text")
-    return feed.select("reader", "position", "post_id").join(numbered, ["post_id"])
+
+
+def feed_comments(feed: DataFrame, comments: DataFrame) -> DataFrame:
+    """The comments under each feed row, in time order."""
+    return feed.select("reader", "position", "post_id").join(
+        numbered_comments(comments), ["post_id"])
+
+
+def shown_comments(feed: DataFrame, comments: DataFrame) -> DataFrame:
+    """The comments under the posts of a feed, once per post however many readers it has."""
+    shown = feed.select("post_id").distinct()
+    return numbered_comments(comments.join(shown, ["post_id"], "left_semi"))

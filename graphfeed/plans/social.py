@@ -65,6 +65,11 @@ def home_feed_comments(t: Tables) -> DataFrame:
     return feeds.feed_comments(feeds.home_feed(t.posts(), t.friends(), comments), comments)
 
 
+def home_feed_top20_comments(t: Tables) -> DataFrame:
+    comments = t.comments()
+    return feeds.shown_comments(feeds.home_feed(t.posts(), t.friends(), comments, n=20), comments)
+
+
 def wall_feed(t: Tables) -> DataFrame:
     return feeds.wall_feed(t.posts(), t.friends(), t.comments()).select("reader", *FEED)
 
@@ -109,6 +114,7 @@ QUERIES = {
     "home_feed_comments": home_feed_comments,
     "home_feed_top20": lambda t: feeds.home_feed(
         t.posts(), t.friends(), t.comments(), n=20).select("reader", *FEED),
+    "home_feed_top20_comments": home_feed_top20_comments,
     "wall_feed": wall_feed,
     "profile_feed": profile_feed,
     "friend_symmetry": lambda t: social.symmetric(t.friend_pairs()),
@@ -204,6 +210,9 @@ ORACLES = {
         from (select reader, position, post_id from v_home)
         join v_numbered_comments using (post_id)"""),
     "home_feed_top20": with_views(f"select reader, {_FEED} from v_home where position <= 20"),
+    "home_feed_top20_comments": with_views("""
+        select post_id, comment_position, comment_id, commenter, text from v_numbered_comments
+        where post_id in (select post_id from v_home where position <= 20)"""),
     "wall_feed": with_views(f"""
         select reader, {_FEED} from (
           select *, row_number() over (partition by reader order by ts desc, post_id) as position
