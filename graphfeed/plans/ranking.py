@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from graphfeed.functions.scalars import rounded
 from graphfeed.lineage import stored
 from graphfeed.operators import edges as E
+from graphfeed.operators import mass as M
 from graphfeed.operators import ranking as R
 from graphfeed.operators import recommend
 from graphfeed.plans.views_sql import rounded_sql, with_views
@@ -38,11 +39,16 @@ def rec_ranks(t: Tables) -> DataFrame:
     return stored(R.adsorption(graph_weights(t), E.seeds(t.interests())), "rank-table")
 
 
-def _second_pass(t: Tables, upto: str) -> DataFrame:
-    """The named intermediate of pass 2, starting from the ranks after pass 1."""
+def _first_pass(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Seeds, weighted edges and the ranks after pass 1."""
     seeds = stored(E.seeds(t.interests()), "seeds")
     weights = stored(graph_weights(t), "weights")
-    first = stored(R.run_passes(weights, seeds, passes=1)[0], "ranks")
+    return seeds, weights, stored(R.run_passes(weights, seeds, passes=1)[0], "ranks")
+
+
+def _second_pass(t: Tables, upto: str) -> DataFrame:
+    """The named intermediate of pass 2, starting from the ranks after pass 1."""
+    seeds, weights, first = _first_pass(t)
     step = R.sum_labels(R.propagate(weights, first))
     if upto == "sum_labels":
         return _rounded(step)
@@ -58,6 +64,19 @@ def _second_pass(t: Tables, upto: str) -> DataFrame:
     return _rounded(R.prune(step, R.CLUSTER.min_weight))
 
 
+def _asked_mass(t: Tables, upto: str) -> DataFrame:
+    """The same intermediates for each user's own neighbourhood, from mass kept in two factors."""
+    seeds, weights, first = _first_pass(t)
+    mass = M.moved(weights, first)
+    if upto != "sum_labels":
+        mass = M.normalise_by_label(mass)
+        if upto != "normalise_by_label":
+            mass = M.drop_self(mass)
+            if upto != "drop_self":
+                mass = M.reseed(mass, seeds)
+    return _rounded(M.at(mass, M.own_neighbourhood(weights)))
+
+
 def convergence(t: Tables) -> DataFrame:
     """The change of each pass from the second to the one that ends the loop."""
     _, history = R.run_passes(graph_weights(t), E.seeds(t.interests()))
@@ -151,6 +170,16 @@ def _rank_rows(view: str) -> str:
 
 _EDGE = "select src_type, src, dst_type, dst from v_edges where "
 
+
+def _asked_rows(view: str) -> str:
+    """Rows of ``view`` for each user's label at the user and at whatever the user points to."""
+    return f"""select node_type, node, label, {rounded_sql('value', 8)} as value from {view}
+               join (select dst_type as node_type, dst as node, src as label from v_edges
+                     where src_type = 'u'
+                     union select 'u', src, src from v_edges where src_type = 'u')
+               using (node_type, node, label)"""
+
+
 REC_VIEW = """(select label, cast(node as bigint) as article_id, value as article_rank
                from v_last where node_type = 'a')"""
 
@@ -175,6 +204,10 @@ _RANK_OUT = f"""select label, cast(node as bigint) as article_id,
 _REC_COLUMNS = ("label, position, article_id, category, headline, link, "
                 f"{rounded_sql('article_rank', 8)} as article_rank")
 
+# the steps of a pass and the views they make in pass 2
+_STEPS = {"sum_labels": "v_p_b", "normalise_by_label": "v_norm_b", "drop_self": "v_noself_b",
+          "reseed": "v_seeded_b"}
+
 QUERIES = {
     "edges_article_category": lambda t: E.article_category_edges(t.news()),
     "edges_user_category": lambda t: E.interest_edges(t.interests()),
@@ -190,6 +223,7 @@ QUERIES = {
     "drop_self": lambda t: _second_pass(t, "drop_self"),
     "reseed": lambda t: _second_pass(t, "reseed"),
     "prune": lambda t: _second_pass(t, "prune"),
+    **{f"{step}_asked": lambda t, step=step: _asked_mass(t, step) for step in _STEPS},
     "convergence": convergence,
     "social_rank": social_rank,
     "social_rank_local": lambda t: social_rank(t, R.LOCAL),
@@ -222,6 +256,7 @@ ORACLES = {
     "drop_self": passes_sql(_rank_rows("v_noself_b"), 2),
     "reseed": passes_sql(_rank_rows("v_seeded_b"), 2),
     "prune": passes_sql(_rank_rows("v_r_b"), 2),
+    **{f"{step}_asked": passes_sql(_asked_rows(view), 2) for step, view in _STEPS.items()},
     "convergence": converged_sql(_CHANGES),
     "social_rank": converged_sql(_RANK_OUT),
     "social_rank_local": converged_sql(_RANK_OUT, R.LOCAL),
