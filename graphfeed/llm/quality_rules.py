@@ -1,14 +1,16 @@
 """Quality rules whose cutoffs are certified on labelled holdouts.
 
-A rule rejects a document when one of its measures lies above a cutoff. A cutoff of a fixed
-grid is *certified* for a stratum if the labelled good documents there show that it rejects
-at most a share ``risk / rules`` of good ones: with ``k`` of ``n`` rejected, the exact
-binomial probability of at most ``k`` under that share must not exceed ``doubt`` divided by
-the number of tests (strata x rules x cutoffs, Bonferroni). So with probability ``1 - doubt``
-no rule of any stratum breaks its bound, and all rules together reject at most a share
-``risk`` of the good documents of a stratum. Of the certified cutoffs the one is taken
-that rejects most labelled bad documents beyond the good ones, the mildest among equals; where
-no cutoff rejects more bad than good ones, or a stratum has too few labels, the rule is off.
+A rule rejects a document when one of its measures lies above a cutoff. The labelled documents
+of a stratum are split by a hash of their id. On the smaller part each rule gets the cutoff of a
+fixed grid that rejects most bad documents beyond the good ones, among those that reject at most
+a share ``risk / rules`` of good ones; rules without one are off, the others are put in order
+of that gain. The larger part, the holdout, *certifies* them together, in that order: the first
+``j`` rules are on if the exact binomial probability of at most as many good holdout documents
+rejected by any of them as were found, under a share ``risk``, does not exceed ``doubt`` divided by
+the number of strata tested (Bonferroni). Within a stratum the tests are a fixed sequence, set
+before the holdout is looked at, that ends at its first failure, so they need no correction
+among themselves. So with probability ``1 - doubt`` the rules reject at most a share ``risk`` of
+the good documents in every stratum. A stratum with too few labels has no rules.
 
 Everything is DataFrame expressions. A text is measured inside its row, by sorting its
 windows, so texts are never shuffled; only measures (a few numbers per document) are stored.
@@ -26,6 +28,7 @@ MIN_WORDS = 50
 REPEAT_PERCENT = 50
 RISK = 0.05
 DOUBT = 0.05
+CHOOSING = 2  # fifths of the labels that choose cutoffs; the others are the holdout
 
 # For each rule the cutoffs that are tested, mildest last.
 CUTOFFS = {
@@ -113,10 +116,12 @@ def certified_cutoffs(
     labelled: DataFrame, risk: float = RISK, doubt: float = DOUBT,
     cutoffs: dict[str, list[float]] | None = None,
 ) -> DataFrame:
-    """(stratum, rule, cutoff, n_good, false_rejects, bad_rejects) of the rules switched on.
+    """(stratum, rule, cutoff, place, n_good, false_rejects) of the rules switched on.
 
-    ``labelled`` has ``stratum``, ``good`` (boolean; rows without it are left out) and the
-    counts of ``text_counts``. At most strata x rules rows.
+    ``labelled`` has ``stratum``, ``good`` (boolean; rows without it are left out), ``holdout``
+    (boolean) and the counts of ``text_counts``. ``n_good`` are the good documents of the holdout and
+    ``false_rejects`` those of them that a rule up to this ``place`` rejects. At most strata x
+    rules rows.
     """
     cutoffs = cutoffs or CUTOFFS
     grid = {rule: F.array(*[F.lit(float(c)) for c in values]) for rule, values in cutoffs.items()}
@@ -129,7 +134,7 @@ def certified_cutoffs(
                       passed(rule).alias("level")) for rule in cutoffs]
     # how many cutoffs, mildest last and so in ascending order, each document lies above
     counted = (
-        labelled.filter(F.col("good").isNotNull())
+        labelled.filter(F.col("good").isNotNull() & ~F.col("holdout"))
         .select("stratum", "good", F.inline(F.array(*level)))
         .groupBy("stratum", "rule", "cutoffs", "level")
         .agg(F.sum(F.col("good").cast("long")).alias("good"),
@@ -146,31 +151,56 @@ def certified_cutoffs(
              F.sum(F.when(F.col("level") > F.col("pos"), F.col("bad")).otherwise(0))
              .alias("bad_rejects"))
     )
-    # as many tests as rows: every stratum has every rule and cutoff
-    tests = F.count(F.lit(1)).over(Window.partitionBy("rule")) * len(cutoffs)
-    share = risk / len(cutoffs)
+    gain = F.col("bad_rejects") - F.col("false_rejects")
+    best = F.max_by(F.struct("cutoff", gain.alias("gain")), F.struct(gain, "cutoff"))
+    order = Window.partitionBy("stratum").orderBy(F.desc("gain"), "rule")
+    # every stratum has a first place, and no place has more strata than the first
+    strata = F.max("_strata").over(Window.partitionBy("stratum"))
+    chosen = stored(
+        tested.filter((gain > 0) & (F.col("false_rejects") <= F.col("n_good") * (risk / len(cutoffs))))
+        .groupBy("stratum", "rule").agg(best.alias("_best")).select("stratum", "rule", "_best.*")
+        .withColumn("place", F.row_number().over(order))
+        .withColumn("_strata", F.count(F.lit(1)).over(Window.partitionBy("place")))
+        .withColumn("_strata", strata), "chosen-cutoffs")
+
+    # the first place of each good document of the holdout at which a rule rejects it
+    by_stratum = chosen.groupBy(F.col("stratum").alias("_stratum")).agg(F.map_from_entries(
+        F.collect_list(F.struct("rule", F.struct("cutoff", "place")))).alias("_rules"))
+    rule_of = {rule: F.element_at(F.col("_rules"), rule) for rule in cutoffs}
+    places = F.array_min(F.array(*[
+        F.when(what[rule] > rule_of[rule].cutoff, rule_of[rule].place) for rule in cutoffs]))
+    firsts = (
+        labelled.filter(F.col("good") & F.col("holdout"))
+        .join(by_stratum, F.col("stratum").eqNullSafe(F.col("_stratum")))
+        .groupBy("_stratum", places.alias("first")).agg(F.count(F.lit(1)).alias("n"))
+    )
+    certified = (
+        chosen.join(firsts, F.col("stratum").eqNullSafe(F.col("_stratum")))
+        .groupBy("stratum", "rule", "cutoff", "place", "_strata")
+        .agg(F.sum("n").alias("n_good"),
+             F.coalesce(F.sum(F.when(F.col("first") <= F.col("place"), F.col("n"))), F.lit(0))
+             .alias("false_rejects"))
+    )
+    # rejections only grow along the sequence, so what holds is a beginning of it
     holds = F.when(
-        F.col("false_rejects") <= F.col("n_good") * share,
-        binomial_at_most(F.col("false_rejects"), F.col("n_good"), share) <= doubt / F.col("_tests"),
+        F.col("false_rejects") <= F.col("n_good") * risk,
+        binomial_at_most(F.col("false_rejects"), F.col("n_good"), risk) <= doubt / F.col("_strata"),
     ).otherwise(False)
-    best = F.max_by(
-        F.struct("cutoff", "n_good", "false_rejects", "bad_rejects"),
-        F.struct(F.col("bad_rejects") - F.col("false_rejects"), "cutoff"))
-    return (
-        tested.withColumn("_tests", tests)
-        .filter((F.col("bad_rejects") > F.col("false_rejects")) & holds)
-        .groupBy("stratum", "rule").agg(best.alias("_best"))
-        .select("stratum", "rule", "_best.*")
-    )
+    return certified.filter(holds).drop("_strata")
+
+
+def in_holdout(id_col: Column) -> Column:
+    return F.crc32(id_col.cast("string").cast("binary")) % 5 >= CHOOSING
 
 
 def labels_by_id(labels: DataFrame, id_col: str = "doc_id", label: str = "quality") -> DataFrame:
-    """(id, good), one row per id; ids with a null or with both labels are left out."""
+    """(id, good, holdout), one row per id; ids with a null or with both labels are left out."""
     marks = labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull())
     return (marks.groupBy(F.col(id_col).alias("_label_id"))
             .agg(F.min(F.col(label)).alias("_low"), F.max(F.col(label)).alias("_high"))
             .filter(F.col("_low") == F.col("_high"))
-            .select("_label_id", (F.col("_low") == 1).alias("good")))
+            .select("_label_id", (F.col("_low") == 1).alias("good"),
+                    in_holdout(F.col("_label_id")).alias("holdout")))
 
 
 def verdicts(

@@ -17,7 +17,7 @@ def _quality_rules() -> str:
     tests = " UNION ALL ".join(
         f"SELECT '{rule}' AS rule, {c} AS cutoff" for rule, values in
         quality_rules.CUTOFFS.items() for c in values)
-    share = quality_rules.RISK / len(quality_rules.CUTOFFS)
+    risk, share = quality_rules.RISK, quality_rules.RISK / len(quality_rules.CUTOFFS)
     return rf"""
 WITH split AS (
   SELECT doc_id, coalesce(lang, '<none>') AS stratum, coalesce(text, '') AS t,
@@ -38,7 +38,7 @@ counts AS (
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
     coalesce(c.n, 0) AS n_repeat_words, len(lines) AS n_lines,
-    len([x for x in w if length(x) <= 2]) AS n_short
+    len([x for x in w if length(x) <= 2]) AS n_short, {_CRC_MOD_5} < {quality_rules.CHOOSING} AS choosing
   FROM split s LEFT JOIN covered c USING (doc_id)),
 marks AS (
   SELECT doc_id, min(quality) AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL
@@ -54,15 +54,26 @@ tests AS ({tests}),
 tested AS (
   SELECT stratum, rule, cutoff, sum(good) AS n,
     coalesce(sum(good) FILTER (v > cutoff), 0) AS k,
-    coalesce(sum(1 - good) FILTER (v > cutoff), 0) AS bad, count(*) OVER () AS m
-  FROM measured JOIN tests USING (rule) WHERE good IS NOT NULL GROUP BY stratum, rule, cutoff),
+    coalesce(sum(1 - good) FILTER (v > cutoff), 0) AS bad
+  FROM measured JOIN tests USING (rule) WHERE good IS NOT NULL AND choosing GROUP BY stratum, rule, cutoff),
+picked AS (
+  SELECT stratum, rule, cutoff, bad - k AS gain FROM tested WHERE bad > k AND k <= n * {share}::DOUBLE
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY bad - k DESC, cutoff DESC) = 1),
+chosen AS (
+  SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY gain DESC, rule) AS place FROM picked),
+firsts AS (
+  SELECT stratum, doc_id, min(CASE WHEN v > cutoff THEN place END) AS first
+  FROM measured JOIN chosen USING (stratum, rule) WHERE good = 1 AND NOT choosing GROUP BY stratum, doc_id),
+certified AS (
+  SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (first <= place) AS k
+  FROM chosen JOIN firsts USING (stratum) GROUP BY stratum, rule, cutoff, place),
 chances AS (
-  SELECT *, list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share})
-    + (n - i) * ln(1 - {share})) for i in range(0, (k + 1)::BIGINT)]) AS p
-  FROM tested WHERE bad > k AND k <= n * {share}),
+  SELECT *, list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk})
+    + (n - i) * ln(1 - {risk})) for i in range(0, (k + 1)::BIGINT)]) AS p
+  FROM certified WHERE k <= n * {risk}::DOUBLE),
 best AS (
-  SELECT stratum, rule, cutoff FROM chances WHERE p <= {quality_rules.DOUBT} / m
-  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY bad - k DESC, cutoff DESC) = 1),
+  SELECT stratum, rule, cutoff FROM chances
+  WHERE p <= {quality_rules.DOUBT} / (SELECT count(DISTINCT stratum) FROM chosen)),
 broken AS (
   SELECT doc_id, string_agg(rule, ',' ORDER BY list_position(
     {list(quality_rules.CUTOFFS)}, rule)) AS rejected_by
