@@ -7,16 +7,19 @@ rewritten (other separators, no leading plus sign) so that it learns shapes the
 
 A text is cut into overlapping windows. Every span of the four kinds holds a digit or an at sign,
 so only windows with one are decoded; others could give nothing. Spans decoded in all windows of a
-text are reconciled over the whole text: one that touches an inner window edge is left to the
-next window, a candidate must have what its kind needs (``plausible``) and touch no base span,
-and among candidates that overlap the set of highest total confidence is taken.
+text are reconciled over the whole text: runs cut by an inner window edge are joined with those of
+their kind that they overlap in the next windows, so a span may be longer than a window, a candidate
+must have what its kind needs (``plausible``) and touch no base span, and among candidates that
+overlap the set of highest total confidence is taken.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphfeed.lineage import stored
+from graphfeed.llm.common import hash_sample
 
 KINDS = ["email", "ip", "card", "phone"]
 WINDOW = 96
@@ -351,13 +355,38 @@ def spans_of(tags: np.ndarray, chance: np.ndarray, length: int) -> list[tuple[in
     return out
 
 
+def joined(pieces: list[tuple[int, int, int, float, bool, bool]]
+           ) -> list[tuple[int, int, int, float]]:
+    """(start, rank, end, confidence) of the whole runs, and of cut ones that others complete.
+
+    A piece is a run of one window with whether the window's edge cuts it before and after. Pieces
+    of a kind that overlap are joined if one is cut; both ends of the whole must be uncut. Its
+    confidence is per character that of its pieces.
+    """
+    out = [p[:4] for p in pieces if not p[4] and not p[5]]
+    for rank in {p[1] for p in pieces if p[4] or p[5]}:
+        mine = sorted(p for p in pieces if p[1] == rank)
+        at = 0
+        while at < len(mine):
+            start, end, after = mine[at][0], mine[at][2], at + 1
+            while after < len(mine) and mine[after][0] < end:
+                end, after = max(end, mine[after][2]), after + 1
+            group, at = mine[at:after], after
+            if (any(p[4] or p[5] for p in group) and any(p[0] == start and not p[4] for p in group)
+                    and any(p[2] == end and not p[5] for p in group)):
+                share = sum(p[3] for p in group) / sum(p[2] - p[0] for p in group)
+                out.append((start, rank, end, share * (end - start)))
+    return out
+
+
 def reconciled(found: list[tuple[int, int, int, float]], base: list[tuple[int, int, int]]
                ) -> list[tuple[int, int, int]]:
     """The set of candidates of highest total confidence that touch neither each other nor the base."""
     best: dict[tuple[int, int, int], float] = {}
-    edges = sorted(base)
+    base = sorted(base)
+    starts, reach = [b[0] for b in base], [0, *accumulate((b[2] for b in base), max)]
     for start, rank, end, score in found:
-        if not any(b[0] < end and start < b[2] for b in edges):
+        if reach[bisect_left(starts, end)] <= start:  # no base span begins before its end and passes its start
             best[start, rank, end] = max(score, best.get((start, rank, end), 0.0))
     spans = sorted(best, key=lambda s: (s[2], s))
     ends, total, taken = [s[2] for s in spans], [0.0], [None]
@@ -405,9 +434,10 @@ def scanned(docs: DataFrame, doc_id: Column, text: Column) -> DataFrame:
 
 
 def training_windows(scans: DataFrame, sample: int = SAMPLE) -> list[str]:
-    """At most ``sample`` window texts that hold a base span, and half as many that don't.
+    """About ``sample`` window texts that hold base spans, as many of each kind, and half as many
+    that hold none.
 
-    Those with the smallest hash, so the same on every run; equal texts count once.
+    Those with the smallest hashes, so the same on every run; equal texts count once.
     """
     start = F.col("r.start")
     size = F.length("r.text")
@@ -415,13 +445,17 @@ def training_windows(scans: DataFrame, sample: int = SAMPLE) -> list[str]:
     each = each.select("base", start.alias("a"), "r.text", F.explode(F.sequence(
         F.lit(0), F.greatest(F.ceil((size - WINDOW) / STRIDE), F.lit(0)).cast("int"))).alias("i"))
     low = F.col("a") + F.col("i") * STRIDE
+    inside = F.filter("base", lambda s: (s["start"] >= low) & (s["end"] <= low + WINDOW))
     each = each.select(
         F.substring("text", F.col("i") * STRIDE + 1, F.lit(WINDOW)).alias("text"),
-        F.exists("base", lambda s: (s.start >= low) & (s.end <= low + WINDOW)).alias("some"))
-    hashed = each.distinct().withColumn("h", F.xxhash64("text"))
-    picked = [hashed.filter("some").orderBy("h", "text").limit(sample),
-              hashed.filter("not some").orderBy("h", "text").limit(sample // 2)]
-    return [r["text"] for part in picked for r in part.select("text").collect()]
+        F.transform(inside, lambda s: s["rank"]).alias("ranks"))
+    sorts = [(F.array_contains("ranks", rank), sample // len(KINDS)) for rank in range(len(KINDS))]
+    sorts.append((F.size("ranks") == 0, sample // 2))
+    counts = each.agg(*[F.approx_count_distinct(F.when(has, F.col("text"))).alias(f"n{i}")
+                        for i, (has, _) in enumerate(sorts)]).first()
+    picked = [hash_sample(each.filter(has).select("text"), "text", many, count)
+              for (has, many), count in zip(sorts, counts, strict=True)]
+    return sorted(r["text"] for r in reduce(DataFrame.unionByName, picked).distinct().collect())
 
 
 def found(docs: DataFrame, doc_id: Column, text: Column, sample: int = SAMPLE) -> DataFrame:
@@ -437,11 +471,11 @@ def found(docs: DataFrame, doc_id: Column, text: Column, sample: int = SAMPLE) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch["base"].to_pylist()
-            added = [[] for _ in rows]
-            for row, start, inside, found in _decoded(batch, tagger) if tagger else ():
-                for a, rank, b, score in found:
-                    if plausible(rank, inside[a:b]):
-                        added[row].append((start + a, rank, start + b, score))
+            pieces = [[] for _ in rows]
+            for row, piece in _decoded(batch, tagger) if tagger else ():
+                pieces[row].append(piece)
+            added = [_candidates(mine, batch["regions"][row].as_py()) if mine else []
+                     for row, mine in enumerate(pieces)]
             base = [[(s["start"], s["rank"], s["end"]) for s in row] for row in rows]
             every = [sorted(known + reconciled(more, known)) for known, more in
                      zip(base, added, strict=True)]
@@ -454,8 +488,18 @@ def found(docs: DataFrame, doc_id: Column, text: Column, sample: int = SAMPLE) -
                                  "spans array<struct<start:int,rank:int,end:int>>")
 
 
-def _decoded(batch: pa.RecordBatch, tagger: Tagger) -> Iterator[tuple[int, int, str, list]]:
-    """(row, start, text, spans) of every window; spans cut by an inner edge are left out."""
+def _candidates(pieces: list, parts: list[dict]) -> list[tuple[int, int, int, float]]:
+    """The joined runs of a text that have what their kind needs; a run lies within one region."""
+    starts, out = [p["start"] for p in parts], []
+    for start, rank, end, score in joined(pieces):
+        part = parts[bisect_right(starts, start) - 1]
+        if plausible(rank, part["text"][start - part["start"]:end - part["start"]]):
+            out.append((start, rank, end, score))
+    return out
+
+
+def _decoded(batch: pa.RecordBatch, tagger: Tagger) -> Iterator[tuple[int, tuple]]:
+    """(row, piece) of every run in every window, see ``joined``."""
     def windows() -> Iterator[tuple[int, int, str, int]]:
         sizes = batch["n_chars"].to_pylist()
         for row, parts in enumerate(batch["regions"]):
@@ -465,12 +509,12 @@ def _decoded(batch: pa.RecordBatch, tagger: Tagger) -> Iterator[tuple[int, int,
 
     held: list[tuple[int, int, str, int]] = []
 
-    def flush() -> Iterator[tuple[int, int, str, list]]:
+    def flush() -> Iterator[tuple[int, tuple]]:
         tags, chance = tagger.decode(_rows([w[2] for w in held]))
         for (row, start, text, size), t, c in zip(held, tags, chance, strict=True):
-            spans = [s for s in spans_of(t, c, len(text))
-                     if (s[0] > 0 or start == 0) and (s[2] < len(text) or start + len(text) == size)]
-            yield row, start, text, spans
+            last = start + len(text) == size
+            for a, rank, b, score in spans_of(t, c, len(text)):
+                yield row, (start + a, rank, start + b, score, a == 0 < start, b == len(text) and not last)
 
     for window in windows():
         held.append(window)

@@ -95,6 +95,57 @@ def test_reconciled_is_the_best_set():
         assert sum(score[s] for s in P.reconciled(found, base)) == best
 
 
+def test_joined_by_hand():
+    whole, left, mid, right = (5, 0, 20, 3.0), (40, 2, 96, 50.0), (48, 2, 144, 96.0), (96, 2, 150, 54.0)
+    got = P.joined([(*whole, False, False), (*left, False, True), (*mid, True, True), (*right, True, False)])
+    assert got[0] == whole and got[1][:3] == (40, 2, 150) and got[1][3] == pytest.approx(110 * 200 / 206)
+    assert P.joined([(*left, False, True)]) == P.joined([(*mid, True, True), (*right, True, False)]) == []
+    assert P.joined([(*left, False, True), (48, 3, 150, 1.0, True, False)]) == []
+    # the next window sees the whole run: it comes out once more, no shorter one does
+    assert {g[:3] for g in P.joined([(90, 1, 96, 5.0, False, True), (90, 1, 104, 12.0, False, False)])} == {(90, 1, 104)}
+
+
+def test_runs_longer_than_a_window_are_found(tagger, monkeypatch):
+    """With a decoder that tags by pattern, spans come out whole wherever they lie."""
+    def decode(self, x):
+        chars = np.char.mod("%c", np.where((x >= 1) & (x <= 95), x + 31, 63))
+        tags = np.zeros(x.shape, np.int8)
+        for i, row in enumerate(chars):
+            for m in re.finditer(r"[0-9 ]+", "".join(row)):
+                tags[i, m.start():m.end()] = 6
+                if m.start() > 0:
+                    tags[i, m.start()] = 5
+        return tags, np.ones(x.shape)
+    monkeypatch.setattr(P.Tagger, "decode", decode)
+    number = "  ".join("4111111111111111")
+    for size in (0, 30, 47, 48, 95, 96, 200):
+        for wide in (number, number.replace("  ", "   "), number.replace("  ", " " * 9)):
+            text = "a" * size + "|" + wide + "|" + "b" * 150
+            batch = __import__("pyarrow").record_batch({
+                "regions": [[{"start": a, "text": t} for a, t in P.regions(text)]], "n_chars": [len(text)]})
+            pieces = [p for _, p in P._decoded(batch, tagger)]
+            got = {c[:3] for c in P._candidates(pieces, batch["regions"][0].as_py())}
+            assert got == {(size + 1, 2, size + 1 + len(wide))}
+
+
+def test_decoding_and_loss_by_enumeration(monkeypatch):
+    monkeypatch.setattr(P, "WINDOW", 4)
+    random = np.random.default_rng(2)
+    tagger = P.Tagger(seed=8)
+    for name in ("trans", "begin"):
+        tagger.p[name] = random.standard_normal(tagger.p[name].shape)
+    x = random.integers(0, P.CHARACTERS, (3, 4))
+    e, p = tagger.emissions(x), tagger.p
+    paths = list(__import__("itertools").product(range(P.TAGS), repeat=4))
+    tags, _ = tagger.decode(x)
+    for i in range(3):
+        score = np.array([p["begin"][w[0]] + sum(e[i, t, w[t]] for t in range(4))
+                          + sum(p["trans"][w[t], w[t + 1]] for t in range(3)) for w in paths])
+        assert tuple(tags[i]) == paths[int(score.argmax())]
+        loss, _ = tagger.step(x[i:i + 1], np.array([paths[77]]))
+        assert loss == pytest.approx(np.log(np.exp(score).sum()) - score[77], rel=1e-5)
+
+
 def _texts(n, seed):
     random = np.random.default_rng(seed)
     out = []
@@ -124,6 +175,48 @@ def test_held_out_accuracy(tagger):
     assert total > 80 and right >= 0.8 * total
 
 
+def added_figures(tagger, seed=6):
+    """(right, added, wanted): spans in shapes the base misses, in held-out windows."""
+    random, right, added, wanted = np.random.default_rng(seed), 0, 0, 0
+    windows = []
+    for t in _texts(400, seed):
+        window = t[40:40 + P.WINDOW]
+        spans = P.base_spans(window)
+        windows.append(P.rewritten(window, spans, random) if spans else (window, []))
+    tags, chance = tagger.decode(P._rows([w for w, _ in windows]))
+    for (w, spans), t, c in zip(windows, tags, chance, strict=True):
+        base = P.base_spans(w)
+        got = P.reconciled([s for s in P.spans_of(t, c, len(w)) if P.plausible(s[1], w[s[0]:s[2]])], base)
+        want = {s for s in spans if s[2] <= len(w) and not any(b[0] < s[2] and s[0] < b[2] for b in base)}
+        right, added, wanted = right + len(want & set(got)), added + len(got), wanted + len(want)
+    return right, added, wanted
+
+
+def test_added_spans_in_held_out_windows(tagger):
+    right, added, wanted = added_figures(tagger)
+    print(f"right {right}, added {added}, wanted {wanted}")
+    assert wanted >= 100 and right >= 0.7 * wanted and right >= 0.8 * added
+
+
+def test_base_spans_that_touch_candidates_by_brute_force():
+    random = np.random.default_rng(4)
+    for _ in range(200):
+        base = [(a, r, a + int(random.integers(1, 12))) for r, a in enumerate(random.integers(0, 40, 4).tolist())]
+        a = int(random.integers(0, 45))
+        one = (a, 0, a + int(random.integers(1, 9)), 1.0)
+        assert bool(P.reconciled([one], base)) == (not any(x < one[2] and a < y for x, _, y in base))
+
+
+def test_training_windows_are_spread_over_kinds(frame):
+    """Nearly all spans are addresses; the other kinds still get their share."""
+    rows = [(i, f"see {i % 250}.{i // 250}.7.9 there") for i in range(900)]
+    rows += [(1000 + i, t) for i, t in enumerate(_texts(100, 8))]
+    scans = P.scanned(frame(rows), F.col("doc_id"), F.col("text"))
+    kinds = [{r for _, r, _ in P.base_spans(w)} for w in P.training_windows(scans, 160)]
+    assert all(sum(k in some for some in kinds) >= 25 for k in range(4))
+    assert sum(1 in some for some in kinds) <= 120 and any(not some for some in kinds)
+
+
 def test_whole_documents(frame):
     far = "quiet words " * 9000
     rows = [(i, t) for i, t in enumerate(_texts(300, 3))]
