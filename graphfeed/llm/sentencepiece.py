@@ -10,8 +10,9 @@ costs ten less than the least score and becomes byte pieces. Decoding joins piec
 pieces as UTF-8, and turns markers into spaces.
 
 If no piece goes on past a space, the best path of a text is the best paths of its words one after
-another; a word is then segmented once and remembered. Words of equal size are segmented side by
-side. The trie is a few megabytes and goes with the function; the file is read by the driver alone.
+another; a word is then segmented once and remembered. Texts are taken many together, so a word is
+looked up once for all of them. Words of equal size are segmented side by side. The trie is a few
+megabytes and goes with the function; the file is read by the driver alone.
 """
 
 from __future__ import annotations
@@ -21,11 +22,12 @@ import math
 import re
 import struct
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +42,9 @@ ROUNDS = 4
 PRIOR = 0.5  # count of a piece before any is seen
 LONG = 64  # bytes of a word above which it goes through its lattice alone, with the same sums
 FEW = 64  # words of one size below which they are segmented alone
-TOGETHER = 1_500_000  # characters of texts whose words are segmented together
+TOGETHER = 3_000_000  # characters of texts whose words are segmented together
 UNITS = 1 << 16  # expected counts are summed in whole parts of this size
+PLAIN = 600.0  # words that cannot be less likely than exp(-PLAIN) are summed without logarithms
 
 # Field numbers and piece types of the vocabulary file.
 PIECES, NORMALIZER = 1, 3
@@ -150,7 +153,7 @@ class Vocabulary:
         self._settle()
         self.trie = DoubleArray([self.pieces[i].encode() for i in usual], usual)
         inner = any(re.search(f"[^{MARK}]{MARK}", self.pieces[i]) for i in usual)
-        lines = any("\n" in self.pieces[i] for i in usual)
+        lines = self.lines = any("\n" in self.pieces[i] for i in usual)
         self.words = None if inner else re.compile(
             f"{MARK}+[^{MARK}]*|[^{MARK}]+" if lines else f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 
@@ -176,6 +179,24 @@ class Vocabulary:
         """The parts of a normalised text that are segmented by themselves."""
         return [text] * bool(text) if self.words is None else self.words.findall(text)
 
+    def spaced(self, text: str) -> str:
+        """The units of a normalised text, which has no spaces, with spaces between them."""
+        if self.words is None:
+            return text
+        if self.lines or MARK * 2 in text:
+            return " ".join(self.units(text))
+        return text.replace(MARK, " " + MARK).replace("\n", " \n ")
+
+    def unit_table(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct units of normalised texts, the number of each unit in order, and where texts end.
+
+        The empty unit may be among them.
+        """
+        lists = pc.split_pattern(pa.array([self.spaced(text) for text in texts], pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        return (coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(),
+                lists.offsets.to_numpy()[1:])
+
     def normalised(self, text: str) -> str:
         if self.squeeze:
             text = re.sub(" +", " ", text).strip(" ")
@@ -185,44 +206,51 @@ class Vocabulary:
 
 
 class Lattice:
-    """All ways to cut words of equal size, side by side."""
+    """All ways to cut words of equal size, side by side.
+
+    Places are numbered by their offset in the word, then by word, so the next byte of a word is ``n`` on.
+    """
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self.trie, self.least = vocabulary.trie, vocabulary.least
-        self.scores = np.array(vocabulary.scores)
+        trie = vocabulary.trie
+        self.base, self.check, self.value = (x.astype(np.int64) for x in (trie.base, trie.check, trie.value))
+        self.scores = np.array([*vocabulary.scores, vocabulary.least])  # the last for an unknown character
 
-    def steps(self, data: np.ndarray, reached: np.ndarray) -> Iterator[
-            tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(start, rows, ends, pieces, scores) by start; rows do not repeat, piece -1 is unknown.
+    def ways(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[slice]]:
+        """(from, to, piece) of every piece in the words, and the ways from each offset.
 
-        ``data`` has a row of bytes per word. A row goes on from a start where ``reached`` is finite.
+        ``data`` has a row of bytes per word; piece -1 is an unknown character. The ways from one
+        offset come by their length and lead to different places.
         """
-        base, check, value = self.trie.base, self.trie.check, self.trie.value
-        size = data.shape[1]
-        for at in range(size):
-            rows = live = np.flatnonzero(np.isfinite(reached[:, at]))
-            if not len(live):
-                continue
-            lead = data[live, at]
-            after = at + 1 + (lead >= 0x80) + (lead >= 0xE0) + (lead >= 0xF0)
-            single = np.zeros(len(data), bool)
-            state = np.zeros(len(live), np.int64)
-            for to in range(at, size):
-                go = base[state] + data[live, to]
-                on = (check[go] == state) & (go != 0)
-                live, state = live[on], go[on]
-                if not len(live):
-                    break
-                found = value[state]
-                hit = found >= 0
-                if hit.any():
-                    own, pieces = live[hit], found[hit]
-                    single[own[after[np.searchsorted(rows, own)] == to + 1]] = True
-                    yield at, own, np.full(len(own), to + 1), pieces, self.scores[pieces]
-            lost = ~single[rows]
-            if lost.any():
-                n = int(lost.sum())
-                yield at, rows[lost], after[lost], np.full(n, -1), np.full(n, self.least)
+        n, size = data.shape
+        flat = data.T.ravel()
+        start = np.flatnonzero((flat & 0xC0) != 0x80)
+        lead = flat[start]
+        after = start + n * (1 + (lead >= 0x80) + (lead >= 0xE0) + (lead >= 0xF0)).astype(np.int64)
+        single = np.zeros(len(flat), bool)
+        froms, tos, pieces = [], [], []
+        origin, own_after, place, state = start, after, start, np.zeros(len(start), np.int64)
+        while len(place):
+            go = self.base[state] + flat[place]
+            on = np.flatnonzero((self.check[go] == state) & (go != 0))
+            origin, own_after, place, state = origin[on], own_after[on], place[on] + n, go[on]
+            found = self.value[state]
+            hit = np.flatnonzero(found >= 0)
+            froms.append(origin[hit])
+            tos.append(place[hit])
+            pieces.append(found[hit])
+            single[froms[-1][tos[-1] == own_after[hit]]] = True
+            on = np.flatnonzero(place < len(flat))
+            origin, own_after, place, state = origin[on], own_after[on], place[on], state[on]
+        lost = ~single[start]
+        froms.append(start[lost])
+        tos.append(after[lost])
+        pieces.append(np.full(len(froms[-1]), -1))
+        froms, tos, pieces = np.concatenate(froms), np.concatenate(tos), np.concatenate(pieces)
+        offset = (froms // n).astype(np.min_scalar_type(size))
+        order = np.argsort(offset, kind="stable")
+        stops = np.cumsum(np.bincount(offset, minlength=size)).tolist()
+        return froms[order], tos[order], pieces[order], list(map(slice, [0, *stops], stops))
 
     def best(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """As ``Coder.segment`` of each row: all pieces, and where those of each row end.
@@ -230,23 +258,27 @@ class Lattice:
         The end is negative where a character is unknown.
         """
         n, size = data.shape
-        best = np.full((n, size + 1), -np.inf)
-        best[:, 0] = 0.0
-        start, piece = np.zeros((n, size + 1), np.int64), np.full((n, size + 1), -1)
-        for at, rows, ends, pieces, scores in self.steps(data, best):
-            total = best[rows, at] + scores
-            more = total > best[rows, ends]
-            rows, ends = rows[more], ends[more]
-            best[rows, ends], start[rows, ends], piece[rows, ends] = total[more], at, pieces[more]
-        rows, end = np.arange(n), np.full(n, size)
+        froms, tos, pieces, offsets = self.ways(data)
+        scores = self.scores[pieces]
+        best = np.full(n * (size + 1), -np.inf)
+        best[:n] = 0.0
+        way = np.zeros(n * (size + 1), np.int64)
+        for own in offsets:
+            to, total = tos[own], best[froms[own]] + scores[own]
+            more = np.flatnonzero(total > best[to])
+            to = to[more]
+            best[to], way[to] = total[more], more + own.start
+        rows, at = np.arange(n), np.arange(n) + n * size
         owners, found = [], []
         while len(rows):
+            last = way[at]
             owners.append(rows)
-            found.append(piece[rows, end])
-            end = start[rows, end]
-            rows, end = rows[end > 0], end[end > 0]
+            found.append(pieces[last])
+            at = froms[last]
+            on = np.flatnonzero(at >= n)
+            rows, at = rows[on], at[on]
         owners, found = np.concatenate(owners[::-1]), np.concatenate(found[::-1])
-        order = np.argsort(owners, kind="stable")
+        order = np.argsort(owners.astype(np.min_scalar_type(n)), kind="stable")
         unknown = np.zeros(n, bool)
         unknown[owners[found < 0]] = True
         stops = np.cumsum(np.bincount(owners, minlength=n))
@@ -255,21 +287,30 @@ class Lattice:
     def expected(self, data: np.ndarray, counts: np.ndarray, into: np.ndarray) -> None:
         """Adds how often each piece is expected in the words (forward and backward sums)."""
         n, size = data.shape
-        ahead = np.full((n, size + 1), -np.inf)
-        ahead[:, 0] = 0.0
-        steps = []
-        for step in self.steps(data, ahead):
-            at, rows, ends, _, scores = step
-            ahead[rows, ends] = np.logaddexp(ahead[rows, ends], ahead[rows, at] + scores)
-            steps.append(step)
-        back = np.full((n, size + 1), -np.inf)
-        back[:, size] = 0.0
-        for at, rows, ends, pieces, scores in reversed(steps):
-            rest = back[rows, ends] + scores
-            back[rows, at] = np.logaddexp(back[rows, at], rest)
-            share = np.exp(ahead[rows, at] + rest - ahead[rows, size]) * counts[rows]
-            known = pieces >= 0
-            np.add.at(into, pieces[known], np.rint(share[known] * UNITS).astype(np.int64))
+        froms, tos, pieces, offsets = self.ways(data)
+        scores = self.scores[pieces]
+        # a word has at least the weight of its characters one by one, none below the unknown one
+        if size * -self.scores[-1] <= PLAIN:
+            weights = np.exp(scores)
+            ahead, back = np.zeros((2, n * (size + 1)))
+            ahead[:n] = back[n * size:] = 1.0
+            for own in offsets:
+                ahead[tos[own]] += ahead[froms[own]] * weights[own]
+            for at in range(size - 1, -1, -1):
+                own = offsets[at]
+                back[at * n:at * n + n] = np.bincount(froms[own] - at * n, back[tos[own]] * weights[own], n)
+            share = ahead[froms] * weights * back[tos] * (counts / ahead[n * size:])[froms % n]
+        else:
+            ahead, back = np.full((2, n * (size + 1)), -np.inf)
+            ahead[:n] = back[n * size:] = 0.0
+            for own in offsets:
+                to = tos[own]
+                ahead[to] = np.logaddexp(ahead[to], ahead[froms[own]] + scores[own])
+            for own in reversed(offsets):
+                np.logaddexp.at(back, froms[own], back[tos[own]] + scores[own])
+            share = np.exp(ahead[froms] + scores + back[tos] - ahead[n * size:][froms % n]) * counts[froms % n]
+        known = pieces >= 0
+        np.add.at(into, pieces[known], np.rint(share[known] * UNITS).astype(np.int64))
 
 
 def by_size(units: Iterable[tuple[bytes, int]], most: int = 4096) -> Iterator[
@@ -291,6 +332,32 @@ def _rows(parts: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(parts), np.uint8).reshape(len(parts), -1)
 
 
+def counted_by_size(batches: Iterable[pa.RecordBatch], alone: Callable[[str, int], None],
+                    most: int = 4096) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(n, bytes by row) of units of equal size from (unit, n), some ``most`` at once.
+
+    Units of more than ``LONG`` bytes go to ``alone``.
+    """
+    groups: dict[int, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
+    for batch in batches:
+        units, counts = batch["unit"].cast(pa.large_binary()), batch["n"].to_numpy()
+        places = np.frombuffer(units.buffers()[1], np.int64)[units.offset:units.offset + len(units) + 1]
+        data, sizes = np.frombuffer(units.buffers()[2] or b"", np.uint8), np.diff(places)
+        for i in np.flatnonzero(sizes > LONG).tolist():
+            alone(units[i].as_py().decode(), int(counts[i]))
+        for size in np.unique(sizes[(sizes > 0) & (sizes <= LONG)]).tolist():
+            own = np.flatnonzero(sizes == size)
+            groups[size].append((counts[own], data[places[own][:, None] + np.arange(size)]))
+            if sum(len(n) for n, _ in groups[size]) >= most:
+                yield _stacked(groups.pop(size))
+    yield from map(_stacked, groups.values())
+
+
+def _stacked(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    counts, rows = zip(*parts, strict=True)
+    return np.concatenate(counts), np.concatenate(rows)
+
+
 def _log_sum(a: float, b: float) -> float:
     """log(exp(a) + exp(b))"""
     low, high = (a, b) if a < b else (b, a)
@@ -310,6 +377,9 @@ class Coder:
         self.lattice = Lattice(v)
         self.spoken = [b"" if k in (CONTROL, UNKNOWN) else bytes([int(p[3:5], 16)]) if k == BYTE
                        else p.encode() for p, k in zip(v.pieces, v.kinds, strict=True)]
+        self.spoken_data = np.frombuffer(b"".join(self.spoken), np.uint8)
+        self.spoken_sizes = np.array([len(x) for x in self.spoken])
+        self.spoken_ends = np.cumsum(self.spoken_sizes)
 
     def normalised(self, text: str) -> str:
         return self.v.normalised(text)
@@ -339,13 +409,16 @@ class Coder:
                     first = abs(stop)
 
     def _spelt(self, flat: np.ndarray, stops: np.ndarray, rows: np.ndarray) -> list[bool]:
-        """Per row whether its pieces spell its bytes."""
-        spoken, size, first, out = self.spoken, rows.shape[1], 0, []
-        ids, data = flat.tolist(), rows.tobytes()
-        for i, stop in enumerate(np.abs(stops).tolist()):
-            out.append(b"".join([spoken[p] for p in ids[first:stop]]) == data[i * size:(i + 1) * size])
-            first = stop
-        return out
+        """Per row whether its pieces spell its bytes; rows with unknown characters count as misspelt."""
+        n, size = rows.shape
+        owner = np.repeat(np.arange(n), np.diff(np.abs(stops), prepend=0))
+        right = (np.bincount(owner, self.spoken_sizes[flat], n) == size) & (stops > 0)
+        flat = flat[right[owner]]
+        sizes = self.spoken_sizes[flat]
+        places = np.repeat(self.spoken_ends[flat] - np.cumsum(sizes), sizes) + np.arange(sizes.sum())
+        data = self.spoken_data[places]
+        right[right] = (data.reshape(-1, size) == rows[right]).all(axis=1)
+        return right.tolist()
 
     def _make_room(self) -> None:
         """Frequent words live on: they are taken over from the generation before."""
@@ -399,6 +472,19 @@ class Coder:
 
     def joined(self, units: list[str]) -> np.ndarray:
         """The pieces of units one after another."""
+        return np.frombuffer(b"".join(self.looked_up(units)), "<i4")
+
+    def strung(self, units: list[str], order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of ``units`` in an order one after another, and where those of each end."""
+        packed = self.looked_up(units)
+        flat = np.frombuffer(b"".join(packed), "<i4")
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        first, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
+        ends = np.cumsum(sizes)
+        return flat[np.repeat(first - ends + sizes, sizes) + np.arange(sizes.sum())], ends
+
+    def looked_up(self, units: list[str]) -> list[bytes]:
+        """The pieces of each unit, segmented here if they are not known."""
         known, before = self.known, self.before
         out = list(map(known.get, units))
         if None in out:
@@ -407,7 +493,7 @@ class Coder:
                     out[i] = known.get(unit) or before.get(unit) or self._learnt(unit)
                     if len(unit) <= LONG:
                         known[unit] = out[i]
-        return np.frombuffer(b"".join(out), "<i4")
+        return out
 
     def _learnt(self, unit: str) -> bytes:
         ids = self.segment(unit)
@@ -476,6 +562,17 @@ def load(path: str = VOCABULARY) -> Vocabulary:
     return Vocabulary(Path(path).read_bytes())
 
 
+def parted(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The rows of a batch whose texts are taken together, and those texts."""
+    first, size, texts = 0, 0, []
+    for i, value in enumerate(batch["_text"], 1):
+        texts.append(value.as_py() or "")
+        size += len(texts[-1])
+        if size >= TOGETHER or i == len(batch):
+            yield batch.slice(first, i - first), texts
+            first, size, texts = i, 0, []
+
+
 def word_counts(docs: DataFrame, text: Column, vocabulary: Vocabulary) -> DataFrame:
     """(unit, n): how often each word occurs in all texts."""
     schema = pa.schema([("unit", pa.string()), ("n", pa.int64())])
@@ -490,8 +587,11 @@ def word_counts(docs: DataFrame, text: Column, vocabulary: Vocabulary) -> DataFr
             yield from whole.to_batches(max_chunksize=10_000)
 
         for batch in batches:
-            for value in batch["_text"]:
-                counts.update(vocabulary.units(vocabulary.normalised(value.as_py() or "")))
+            for _, texts in parted(batch):
+                units, order, _ = vocabulary.unit_table([vocabulary.normalised(text) for text in texts])
+                for unit, n in zip(units, np.bincount(order, minlength=len(units)).tolist(), strict=True):
+                    if unit:
+                        counts[unit] += n
                 if len(counts) >= COUNTED:
                     yield from flush()
         yield from flush()
@@ -506,18 +606,8 @@ def expected_counts(words: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, into = Coder(vocabulary), np.zeros(len(vocabulary.pieces), np.int64)
-
-        def short() -> Iterator[tuple[bytes, int]]:
-            for batch in batches:
-                for unit, n in zip(batch["unit"].to_pylist(), batch["n"].to_pylist(), strict=True):
-                    data = unit.encode()
-                    if len(data) <= LONG:
-                        yield data, n
-                    else:
-                        coder.expected(unit, n, into)
-
-        for n, rows in by_size(short()):
-            coder.lattice.expected(rows, np.array(n), into)
+        for n, rows in counted_by_size(batches, lambda unit, n: coder.expected(unit, n, into)):
+            coder.lattice.expected(rows, n, into)
         some = np.flatnonzero(into)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(into[some])], schema=schema)
 
@@ -554,15 +644,6 @@ def encoded(docs: DataFrame, doc_id: Column, text: Column, vocabulary: Vocabular
     schema = pa.schema([("_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("n_pieces", pa.int64()),
                         ("n_byte_pieces", pa.int64()), ("lossless", pa.bool_())])
 
-    def parted(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-        first, size, texts = 0, 0, []
-        for i, value in enumerate(batch["_text"], 1):
-            texts.append(value.as_py() or "")
-            size += len(texts[-1])
-            if size >= TOGETHER or i == len(batch):
-                yield batch.slice(first, i - first), texts
-                first, size, texts = i, 0, []
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(vocabulary)
         is_byte = np.zeros(len(vocabulary.pieces), bool)
@@ -570,12 +651,13 @@ def encoded(docs: DataFrame, doc_id: Column, text: Column, vocabulary: Vocabular
         for batch in batches:
             for part, texts in parted(batch):
                 normal = [vocabulary.normalised(text) for text in texts]
-                units = [vocabulary.units(text) for text in normal]
-                coder.remember(units)
-                ids = [coder.joined(words) for words in units]
-                whole = list(map(coder.lossless, texts, normal, units))
-                bounds = np.concatenate([[0], np.cumsum([len(own) for own in ids])])
-                flat = np.concatenate(ids)
+                units, order, ends = vocabulary.unit_table(normal)
+                coder.remember([units])
+                flat, stops = coder.strung(units, order)
+                rough = not coder.misspelt.isdisjoint(units)
+                whole = [coder.lossless(text, own, vocabulary.units(own) if rough else [])
+                         for text, own in zip(texts, normal, strict=True)]
+                bounds = np.concatenate([[0], stops[ends - 1]])
                 n_bytes = np.diff(np.concatenate([[0], np.cumsum(is_byte[flat])])[bounds])
                 yield pa.RecordBatch.from_arrays(
                     [part["_id"], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat)),

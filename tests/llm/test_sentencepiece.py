@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece as library
 from pyspark.sql import functions as F
@@ -173,3 +174,61 @@ def test_every_word_is_counted(frame, vocabulary, monkeypatch):
     docs = frame([(1, "a b c d e f a"), (2, "a\nb " + "x" * 500), (3, None)])
     got = {r.unit: r.n for r in S.word_counts(docs, F.col("text"), vocabulary).collect()}
     assert got == {"▁a": 3, "▁b": 1, "b": 1, "▁c": 1, "▁d": 1, "▁e": 1, "▁f": 1, "\n": 1, "▁" + "x" * 500: 1}
+
+
+def test_units_of_many_texts_as_of_each(vocabulary):
+    texts = ["a b  a\nb \n\n c", "▁▁ x▁y", "", " \n ", "漢 \U0001f600 a", "x" * 300, "a\tb\x1f c\u00a0d"]
+    normal = [vocabulary.normalised(text) for text in texts]
+    units, order, ends = vocabulary.unit_table(normal)
+    assert len(set(units)) == len(units) and ends[-1] == len(order)
+    for own, first, end in zip(normal, [0, *ends[:-1]], ends, strict=True):
+        assert [units[i] for i in order[first:end] if units[i]] == vocabulary.units(own)
+
+
+def test_pieces_strung_from_distinct_units(coder, vocabulary):
+    texts = ["the reader and the 漢 reader", "x" * 200 + " the", "", "and\nthe"]
+    normal = [vocabulary.normalised(text) for text in texts]
+    units, order, ends = vocabulary.unit_table(normal)
+    coder.remember([units])
+    flat, stops = coder.strung(units, order)
+    for text, first, end in zip(texts, [0, *stops[ends - 1][:-1]], stops[ends - 1], strict=True):
+        assert flat[first:end].tolist() == coder.encode(text)
+
+
+def test_sums_with_and_without_logarithms(vocabulary, monkeypatch):
+    lattice = S.Lattice(vocabulary.rescored(np.arange(len(vocabulary.pieces)) % 7))
+    rng = random.Random(8)
+    units = ["▁" + "".join(rng.choice("abcdehinorst漢é\U0001f600") for _ in range(rng.randrange(1, 9)))
+             for _ in range(300)]
+    plain, logs = (np.zeros(len(vocabulary.pieces), np.int64) for _ in range(2))
+    for into, most in ((plain, S.PLAIN), (logs, -1.0)):
+        monkeypatch.setattr(S, "PLAIN", most)
+        for _, rows in S.by_size((u.encode(), 1) for u in units):
+            lattice.expected(rows, np.ones(len(rows), np.int64), into)
+    assert np.abs(plain - logs).max() <= 2 and plain.sum() > 0
+
+
+def test_counted_words_by_size():
+    words = {"▁the": 5, "▁né": 2, "abcd": 3, "x" * 100: 7, "▁a": 1, "éa": 4}
+    whole = pa.RecordBatch.from_pydict({"unit": list(words), "n": list(words.values())})
+    for batches in ([whole], [whole.slice(0, 2), whole.slice(2)]):
+        alone, got = [], {}
+        for counts, rows in S.counted_by_size(batches, lambda unit, n: alone.append((unit, n)), 2):
+            got |= {row.tobytes().decode(): n for row, n in zip(rows, counts, strict=True)}
+        assert got | dict(alone) == words and alone == [("x" * 100, 7)]
+
+
+def test_words_do_not_walk_the_trie_offset_by_offset(vocabulary):
+    """The trie is walked once per length of piece, not once per offset and length."""
+    class Counting(np.ndarray):
+        walks = 0
+
+        def __getitem__(self, key):
+            Counting.walks += 1
+            return np.asarray(self)[key]
+
+    lattice = S.Lattice(vocabulary)
+    lattice.base = lattice.base.view(Counting)
+    word = "▁internationalisationsinternationalisation".encode()
+    lattice.best(np.frombuffer(word, np.uint8).reshape(1, -1))
+    assert Counting.walks <= 1 + max(len(p.encode()) for p in vocabulary.pieces)
