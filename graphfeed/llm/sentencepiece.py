@@ -42,7 +42,7 @@ ROUNDS = 4
 PRIOR = 0.5  # count of a piece before any is seen
 LONG = 64  # bytes of a word above which it goes through its lattice alone, with the same sums
 FEW = 64  # words of one size below which they are segmented alone
-TOGETHER = 3_000_000  # characters of texts whose words are segmented together
+TOGETHER = 1_000_000  # characters of texts whose words are taken together
 UNITS = 1 << 16  # expected counts are summed in whole parts of this size
 PLAIN = 600.0  # words that cannot be less likely than exp(-PLAIN) are summed without logarithms
 

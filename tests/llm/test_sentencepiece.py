@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -195,6 +196,24 @@ def test_pieces_strung_from_distinct_units(coder, vocabulary):
         assert flat[first:end].tolist() == coder.encode(text)
 
 
+def test_texts_taken_together_stay_small_in_memory(coder, vocabulary):
+    rng = random.Random(9)
+    words = [f"{rng.getrandbits(40):x}" for _ in range(5000)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(700)]  # three million characters in one batch
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["_text"])
+    coder.remember([vocabulary.units(vocabulary.normalised(" ".join(words)))])
+    n_texts = most = 0
+    for part, own in S.parted(batch):
+        tracemalloc.start()
+        units, order, ends = vocabulary.unit_table([vocabulary.normalised(text) for text in own])
+        coder.strung(units, order)
+        most = max(most, tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        n_texts += len(part)
+    assert n_texts == len(texts)
+    assert most < 30e6
+
+
 def test_sums_with_and_without_logarithms(vocabulary, monkeypatch):
     lattice = S.Lattice(vocabulary.rescored(np.arange(len(vocabulary.pieces)) % 7))
     rng = random.Random(8)
