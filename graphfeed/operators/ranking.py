@@ -16,21 +16,27 @@ two facts about it:
   part is looked up for such nodes alone (``_moved``). The bound holds whatever counts as light,
   so nothing is lost, and the work per label follows the rows kept, not the nodes.
 
-Edges are written once: the others, of which a node has few as its weights add up to one at most,
-and the light ones in blocks of bounded size, bucketed by source and by source and block, so no
-pass moves an edge and no hub falls to one task. Whether a join broadcasts a small table or merges buckets is left to Catalyst. Labels
-never mix: rows come to the joins dealt by label, and where edges are broadcast the sums
-after it need no further shuffle.
+Values move along edges in cells (``operators/cells.py``): the rows of some labels meet the packed
+edges into some nodes, and are summed and cut there. Only rows that stay leave a cell, so what is
+shuffled follows the rows kept and not the edges that they have.
+
+Edges are also written as rows: the ordinary ones and the light ones in blocks of bounded size, bucketed
+by source and by source and block, so moving along them (``_spread``) moves no edge and no hub falls
+to one task. That way go what light edges alone may lift above the limit, and all that comes to a node
+with more edges into it than a cell holds. Whether a join broadcasts a small table or merges buckets
+is left to Catalyst.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphfeed.lineage import bucketed, stored
+from graphfeed.operators import cells
 from graphfeed.operators.edges import ARTICLE, CATEGORY, USER
 from graphfeed.operators.skew import skew_join
 
@@ -116,18 +122,27 @@ def prune(ranks: DataFrame, min_weight: float) -> DataFrame:
 
 @dataclass
 class _Graph:
-    """``far``: the light edges, with how many of them end where they do; ``near``: the others."""
+    """``far``: the light edges, with how many of them end where they do; ``near``: the others.
+
+    ``packs``: both as arrays, in ``blocks`` blocks. ``crowded``: edges of either kind, in none of the
+    above, into nodes with too many for a cell; None if there is no such node.
+    """
 
     nodes: DataFrame
     near: DataFrame
     far: DataFrame
+    packs: DataFrame
+    blocks: int
+    crowded: DataFrame | None
     out_mass: DataFrame
     n_wide: DataFrame
     most_wide: int
     seeds: DataFrame
 
 
-def _number_nodes(edges: DataFrame, seeds: DataFrame, wide: int, block_edges: int) -> _Graph:
+def _number_nodes(
+    edges: DataFrame, seeds: DataFrame, wide: int, block_edges: int, cell_edges: int = cells.CELL_EDGES
+) -> _Graph:
     """Give nodes whole numbers, so that the loop joins and groups on longs."""
     edges = stored(edges, "edges")
     light = F.col("weight") < 1.0 / wide
@@ -165,6 +180,12 @@ def _number_nodes(edges: DataFrame, seeds: DataFrame, wide: int, block_edges: in
     out_mass = stored(numbered.groupBy(F.col("src").alias("node")).agg(
         F.sum("weight").alias("mass"), F.max(F.when(light, F.col("weight"))).alias("widest"),
         F.ceil(F.count_if(light) / block_edges).cast("int").alias("blocks")), "out-mass")
+    # at most (edges / cell_edges) rows
+    busy = stored(numbered.groupBy("dst").count().filter(F.col("count") > cell_edges).select("dst"), "busy")
+    crowded = None
+    if not busy.isEmpty():
+        crowded = bucketed(numbered.join(F.broadcast(busy), "dst", "left_semi"), ["src"], "crowded-edges")
+        numbered = numbered.join(F.broadcast(busy), "dst", "left_anti")
     near = numbered.filter(~light)
     far = numbered.filter(light)
     n_wide = stored(far.groupBy(F.col("dst").alias("node")).agg(
@@ -174,10 +195,13 @@ def _number_nodes(edges: DataFrame, seeds: DataFrame, wide: int, block_edges: in
     far = (far.join(cut, "src").join(n_wide.withColumnRenamed("node", "dst"), "dst")
            .withColumn("block", F.pmod(F.xxhash64("dst"), F.col("blocks")).cast("int"))
            .drop("blocks"))
+    near, far = bucketed(near, ["src"], "near-edges"), bucketed(far, ["src", "block"], "far-edges")
     return _Graph(
         nodes,
-        bucketed(near, ["src"], "near-edges"),
-        bucketed(far, ["src", "block"], "far-edges"),
+        near,
+        far,
+        *cells.packed(near, far, cell_edges),
+        crowded,
         out_mass,
         n_wide,
         n_wide.agg(F.max("n_wide")).first()[0] or 0,
@@ -195,10 +219,11 @@ def _has_type(node: str, node_type: str) -> Column:
 
 def _scaled(ranks: DataFrame, graph: _Graph) -> DataFrame:
     """Divide by the total that the label will have after moving."""
-    totals = (
+    totals = stored(
         ranks.join(graph.out_mass, "node")
         .groupBy("label")
-        .agg(F.sum(F.col("value") * F.col("mass")).alias("total"))
+        .agg(F.sum(F.col("value") * F.col("mass")).alias("total")),
+        "totals",
     )
     return ranks.join(totals, "label").select(
         "node", "label", (F.col("value") / F.col("total")).alias("value")
@@ -235,44 +260,32 @@ def _moved(ranks: DataFrame, graph: _Graph, limit: float) -> DataFrame:
     ``reach`` is the most that the light edges into a node can add to it. Pairs whose reach is
     above the limit get what comes along them by moving it as usual. The others come up only
     if something else reaches them and both together may pass the limit; for those few the
-    values behind the light edges are looked up.
+    values behind the light edges are looked up, in the cell that sums the ordinary edges.
     """
     held = ranks.filter(_is_wide("node")).join(graph.out_mass, "node")
     bounds = stored(_wide_bounds(held), "bounds")
     reach = F.least(F.col("one") * F.col("n_wide"), F.col("all"))
-
-    near = _spread(ranks, graph.near, ["src"])
-    near = near.join(bounds, "label", "left").join(graph.n_wide, "node", "left")
-    near = near.withColumn("reach", F.coalesce(reach, F.lit(0.0))).filter(
-        (F.col("reach") > limit) | (F.col("value") + F.col("reach") > limit)
-    )
-    near = stored(near.select("node", "label", "value", "reach"), "near")
-
-    strong = F.least(F.col("one") * graph.most_wide, F.col("all")) > limit
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    moved = _spread(
-        held.join(bounds.filter(strong), "label").withColumn("block", F.explode(every))
-        .select("node", "block", "label", "value", "one", "all"),
-        graph.far,
-        ["src", "block"],
-        reach > limit,
-    )
-
-    asked = near.filter((F.col("reach") > 0) & (F.col("reach") <= limit)).select("node", "label")
-    into = graph.far.select(F.col("dst").alias("node"), "src", "weight")
-    found = (
-        asked.join(into, "node")
-        .join(held.select(F.col("node").alias("src"), "label", "value"), ["label", "src"])
-        .select("node", "label", (F.col("value") * F.col("weight")).alias("value"))
-    )
-
-    parts = near.select("node", "label", "value").unionByName(moved).unionByName(found)
-    return parts.groupBy("node", "label").agg(F.sum("value").alias("value"))
+    parts = [cells.moved(ranks, bounds, graph.packs, graph.blocks, limit)]
+
+    strong = bounds.filter(F.least(F.col("one") * graph.most_wide, F.col("all")) > limit)
+    if not strong.isEmpty():
+        every = F.sequence(F.lit(0), F.col("blocks") - 1)
+        parts.append(_spread(
+            held.join(strong, "label").withColumn("block", F.explode(every))
+            .select("node", "block", "label", "value", "one", "all"),
+            graph.far,
+            ["src", "block"],
+            reach > limit,
+        ))
+    if graph.crowded is not None:
+        parts.append(_spread(ranks, graph.crowded, ["src"]))
+    if len(parts) == 1:
+        return parts[0]
+    return reduce(DataFrame.unionByName, parts).groupBy("node", "label").agg(F.sum("value").alias("value"))
 
 
 def _one_pass(ranks: DataFrame, graph: _Graph, variant: Variant) -> DataFrame:
     value = F.col("value")
-    scaled = ranks
     if variant.prune_first:
         summed = stored(
             _moved(ranks, graph, variant.min_weight).filter(above(value, variant.min_weight)),
@@ -282,14 +295,11 @@ def _one_pass(ranks: DataFrame, graph: _Graph, variant: Variant) -> DataFrame:
             "node", "label", (value / F.col("total")).alias("value")
         )
     else:
-        scaled = _scaled(ranks, graph).persist()
-        kept = _moved(scaled, graph, variant.min_weight).filter(
+        kept = _moved(_scaled(ranks, graph), graph, variant.min_weight).filter(
             above(value, variant.min_weight)
         )
     kept = kept.filter(F.col("node") != F.col("label")).unionByName(graph.seeds)
-    ranks = stored(kept, "ranks")
-    scaled.unpersist()
-    return ranks
+    return stored(kept, "ranks")
 
 
 def _max_change(new: DataFrame, old: DataFrame) -> float:
@@ -309,14 +319,15 @@ def run_passes(
     watch: bool = False,
     wide: int = WIDE,
     block_edges: int = BLOCK_EDGES,
+    cell_edges: int = cells.CELL_EDGES,
 ) -> tuple[DataFrame, list[tuple[int, float]]]:
     """Ranks after the loop and the change of each watched pass.
 
     ``passes`` fixes the number of passes; without it the loop stops once the change of a
-    pass after the first is within the tolerance. ``wide`` and ``block_edges`` say how the
-    edges are kept; the ranks do not depend on them.
+    pass after the first is within the tolerance. ``wide``, ``block_edges`` and ``cell_edges`` say
+    how the edges are kept; the ranks do not depend on them.
     """
-    graph = _number_nodes(edges, seeds, wide, block_edges)
+    graph = _number_nodes(edges, seeds, wide, block_edges, cell_edges)
     ranks = graph.seeds
     history: list[tuple[int, float]] = []
     for number in range(1, (passes or variant.max_passes) + 1):
